@@ -109,7 +109,7 @@ def within(x: np.ndarray, n: int, radius: int, block: int = 64) -> np.ndarray:
     counters = np.zeros((depth, words), dtype=np.uint64)
     over = np.zeros(words, dtype=np.uint64)
     if n % 64:
-        over[-1] = np.uint64(_ALL & ~((1 << (n % 64)) - 1))
+        over[-1] = np.uint64(_ALL ^ ((1 << (n % 64)) - 1))
     live = np.arange(words)
     for p in range(64):
         carry = x[p, live] if len(live) != words else x[p]
