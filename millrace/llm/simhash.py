@@ -105,6 +105,7 @@ def within(x: np.ndarray, n: int, radius: int, block: int = 64) -> np.ndarray:
     Blocks of words whose pairs are all over are abandoned.
     """
     words = x.shape[1]
+    n = int(n)
     depth = max(1, radius.bit_length())
     counters = np.zeros((depth, words), dtype=np.uint64)
     over = np.zeros(words, dtype=np.uint64)
