@@ -7,6 +7,7 @@ from importlib import import_module
 _OPS = {
     "op5_benchmark_decontamination": "decontaminate",
     "op6_secret_scan": "secrets",
+    "op7_token_files": "tokenfile",
     "op9_simhash_near_dups": "simhash",
 }
 
