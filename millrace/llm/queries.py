@@ -5,10 +5,13 @@ from __future__ import annotations
 from importlib import import_module
 
 _OPS = {
+    "op3_mix_sources": "mixing",
     "op5_benchmark_decontamination": "decontaminate",
     "op6_secret_scan": "secrets",
     "op7_token_files": "tokenfile",
+    "op8_warc_archive": "warc",
     "op9_simhash_near_dups": "simhash",
+    "op10_suffix_array_dedup": "repeats",
 }
 
 
@@ -17,4 +20,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import mixing, warc
+
+    return {"op3_mix_sources": mixing.ORACLE_SQL, "op8_warc_archive": warc.ORACLE_SQL}
