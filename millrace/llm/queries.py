@@ -5,7 +5,10 @@ from __future__ import annotations
 from importlib import import_module
 
 _OPS = {
+    "op1_language_id": "language",
+    "op2_document_fingerprints": "fingerprints",
     "op3_mix_sources": "mixing",
+    "op4_toxicity": "toxicity",
     "op5_benchmark_decontamination": "decontaminate",
     "op6_secret_scan": "secrets",
     "op7_token_files": "tokenfile",
