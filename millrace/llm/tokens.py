@@ -13,7 +13,7 @@ import re
 from functools import lru_cache
 
 #: Pieces kept by a worker; beyond that new pieces are encoded but not kept.
-MEMO = 700_000
+MEMO = 900_000
 #: Pieces over this many characters aren't kept.
 LONG = 40
 #: A space that may not be cut at: white space beside it.
@@ -58,6 +58,7 @@ class Encoder:
         self.dtype = "<u2" if self.width == 2 else "<u4"
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
+        self.codes = [i.to_bytes(self.width, "little") for i in range(self.size)]
         import regex
         from public_tokenizers import PATTERN
 
@@ -73,11 +74,17 @@ class Encoder:
         got = self.tokens.get(token)
         if got is None:
             word = token.encode().decode("latin-1").translate(self.letters)
-            got = b"".join(t.id.to_bytes(self.width, "little") for t in self.model.tokenize(word))
+            got = b"".join([self.codes[t.id] for t in self.model.tokenize(word)])
             if len(self.tokens) < MEMO and len(token) <= LONG:
                 self.tokens[token] = got
         return got
 
+    def first(self, part: str) -> bytes:
+        """ids of a text's first piece, which has no space before it."""
+        if not part or _ODD.search(part):
+            return self.whole(part) if part else b""
+        return b"".join(map(self._pre_token, self.split(part)))
+
     def piece(self, part: str) -> bytes:
         """ids of " " + part, where part is not empty and starts and ends with a non-space."""
         if part.isalpha():
@@ -106,7 +113,7 @@ class Encoder:
             for p in set(parts).difference(memo):
                 (memo if len(memo) < MEMO and len(p) <= LONG else extra)[p] = self.piece(p)
             look = memo.__getitem__ if not extra else (memo | extra).__getitem__ if len(memo) < 10_000 else lambda p, e=extra: e[p] if p in e else memo[p]
-            out.append(self.whole(first) + b"".join(map(look, parts)))
+            out.append(self.first(first) + b"".join(map(look, parts)))
         return out
 
 
