@@ -110,7 +110,7 @@ def write_warc(pages: DataFrame, folder: str | None = None) -> tuple[str, list[t
     folder = folder or shared_folder(spark, "warc")
     n = partitions(spark)
     rows = pages.select(id_key("page_id").alias("key"), "url", F.coalesce(F.col("html"), F.lit("")).alias("html"), F.sha2(F.coalesce(F.col("html"), F.lit("")), 256).alias("digest"))
-    rows = rows.join(revisits(pages), ["key", "digest"], "left").repartition(n, "key").sortWithinPartitions("key", "url", "digest")
+    rows = rows.join(revisits(pages), ["key", "digest"], "left").sortWithinPartitions("key", "url", "digest")
 
     def archive(batches):
         from pyspark import TaskContext
