@@ -10,6 +10,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def collapse_space(c: Column) -> Column:
@@ -28,7 +29,7 @@ def strip_tags(c: Column) -> Column:
     return collapse_space(out)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def decode_entities(s: pd.Series) -> pd.Series:
     """All named, decimal and hexadecimal entities."""
     return s.map(lambda x: None if x is None else _html.unescape(x))
@@ -128,17 +129,17 @@ def main_content(page: str) -> str:
     return page
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def html_to_markdown(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else to_markdown(x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def article_markdown(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else to_markdown(main_content(x)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def absolute_urls(page: pd.Series, base: pd.Series) -> pd.Series:
     """href and src attributes made absolute."""
     def one(x, b):
@@ -158,7 +159,7 @@ def chunks_of(text: str, size: int = 20000) -> list[str]:
     return [*out, text[at:]] if at < len(text) or not out else out
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def chunks(s: pd.Series, size: pd.Series) -> pd.Series:
     return pd.Series([None if x is None else chunks_of(x, int(n)) for x, n in zip(s, size, strict=True)])
 

@@ -30,7 +30,7 @@ def collision_keys(df: DataFrame, base: Column, order: list[Column | str], name:
 
 def unique_nonempty(c: Column) -> Column:
     """Distinct non-empty texts of an array, in order."""
-    return F.array_distinct(F.filter(F.transform(c, F.trim), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(c, lambda x: F.trim(x)), lambda x: x != ""))
 
 
 def last_by_content(df: DataFrame, content: str, order: str, n: int) -> DataFrame:

@@ -7,6 +7,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEPTH, TEXT, BYTES = 6, 80, 2048
 
@@ -33,13 +34,13 @@ def shape_of(value, path: str = "$", depth: int = 0, out: dict[str, str] | None
     return out
 
 
-@F.pandas_udf("map<string,string>")
+@F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
 def shape(s: pd.Series) -> pd.Series:
     """Shape of JSON texts; a text that doesn't parse has none."""
 
     def one(x):
         try:
-            return list(shape_of(json.loads(x)).items())
+            return shape_of(json.loads(x))
         except (TypeError, ValueError):
             return None
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def gap_sessions(df: DataFrame, by: list[str], time: Column, order: list, gap_seconds: float) -> DataFrame:
@@ -33,7 +34,7 @@ def span_sessions(df: DataFrame, by: str, time: str, gap_seconds: float, span_se
         pdf["part"] = out
         return pdf[[*names, "part"]]
 
-    schema = base.schema.add("part", "long")
+    schema = T.StructType([*base.schema.fields, T.StructField("part", T.LongType())])
     return base.groupBy(by, "gap_session").applyInPandas(fold, schema)
 
 

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from . import queries_ops, queries_steps, queries_text  # noqa: F401  they register their queries
+from .registry import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]

@@ -237,18 +237,30 @@ class Compiler:
             return Value(F.try_element_at(v.col, k.col.cast(v.type.keyType)), v.type.valueType)
         raise ExpressionError("a computed key needs an array or a map")
 
+    def truth(self, n) -> Column:
+        """Truthiness of a node; operands of && || ! keep their own types."""
+        if n[0] == "op" and n[1] in ("&&", "||"):
+            a, b = self.truth(n[2]), self.truth(n[3])
+            return a & b if n[1] == "&&" else a | b
+        if n[0] == "unary" and n[1] == "!":
+            return ~self.truth(n[2])
+        v = self.node(n)
+        return js.truthy(v.col, v.type)
+
+    def condition(self, text: str) -> Column:
+        return self.truth(Parser(text).parse())
+
     def _if(self, c, a, b) -> Value:
-        cond = self.node(c)
         x, y, t = _common(self.node(a), self.node(b))
-        return Value(F.when(js.truthy(cond.col, cond.type), x).otherwise(y), t)
+        return Value(F.when(self.truth(c), x).otherwise(y), t)
 
     def _template(self, parts) -> Value:
         return Value(F.concat(*[js.string(v.col, v.type, "undefined") for v in map(self.node, parts)]), STR)
 
     def _unary(self, op: str, x) -> Value:
-        v = self.node(x)
         if op == "!":
-            return Value(~js.truthy(v.col, v.type), BOOL)
+            return Value(~self.truth(x), BOOL)
+        v = self.node(x)
         n = js.number(v.col, v.type)
         return Value(-n if op == "-" else n, NUM)
 
@@ -259,7 +271,7 @@ class Compiler:
             return Value(F.coalesce(x, y), t)
         if op in ("||", "&&"):
             x, y, t = _common(a, b)
-            keep = js.truthy(a.col, a.type)
+            keep = self.truth(left)
             return Value(F.when(keep if op == "||" else ~keep, x).otherwise(y), t)
         if op in ("===", "!==", "==", "!="):
             strict = len(op) == 3

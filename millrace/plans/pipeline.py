@@ -197,8 +197,7 @@ def _map(state: State, template: dict) -> State:
 def _filter(state: State, expression: str) -> State:
     """Keeps rows whose expression is truthy; the scope is args, item and index."""
     df = with_index(state) if _reads_index(expression) else state.df
-    v = _scope(state, df)(expression)
-    return replace(state, df=df.where(js.truthy(v.col, v.type)).drop("_index"))
+    return replace(state, df=df.where(_scope(state, df).condition(expression)).drop("_index"))
 
 
 def numeric_column(df: DataFrame, name: str) -> bool:

@@ -36,8 +36,8 @@ def definition_map(html: Column) -> Column:
 
 def dotenv(text: Column) -> Column:
     """k=v lines as a map; comments skipped, the first = splits, the last of equal keys wins."""
-    lines = F.filter(F.transform(F.split(text, r"\r?\n"), F.trim), lambda x: ~F.startswith(x, F.lit("#")) & F.contains(x, F.lit("=")))
-    entries = F.transform(lines, lambda x: F.struct(F.trim(F.substring_index(x, "=", 1)).alias("k"), F.trim(F.substring(x, F.instr(x, "=") + 1, F.length(x))).alias("v")))
+    lines = F.filter(F.transform(F.split(text, r"\r?\n"), lambda x: F.trim(x)), lambda x: ~F.startswith(x, F.lit("#")) & F.contains(x, F.lit("=")))
+    entries = F.transform(lines, lambda x: F.struct(F.trim(F.substring_index(x, "=", 1)).alias("k"), F.trim(F.regexp_extract(x, "^[^=]*=(.*)$", 1)).alias("v")))
     last = F.filter(entries, lambda e: F.element_at(F.filter(entries, lambda o: o["k"] == e["k"]), -1)["v"] == e["v"])
     return F.map_from_entries(F.array_distinct(last))
 
