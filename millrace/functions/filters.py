@@ -16,7 +16,8 @@ def default(c: Column, t: T.DataType, value: str = "") -> tuple[Column, T.DataTy
     if isinstance(t, T.StringType):
         return F.coalesce(F.when(c != "", c), F.lit(value)), t
     if isinstance(t, T.NullType):
-        return F.lit(value), T.StringType()
+        n = value if isinstance(value, int) else int(value) if str(value).lstrip("-").isdigit() and str(int(value)) == value else None
+        return (F.lit(n), T.LongType()) if n is not None else (F.lit(value), T.StringType())
     if js.is_numeric(t):
         n = value if isinstance(value, (int, float)) else int(value) if str(value).lstrip("-").isdigit() else None
         return (F.coalesce(c, F.lit(n)), t) if n is not None else (F.coalesce(js.string(F.when(c.isNotNull(), c), t), F.lit(value)), T.StringType())

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import js
-from .jsexpr import Compiler, Value, literal, render
+from .jsexpr import FORBIDDEN, Compiler, ExpressionError, Value, literal, render
 
 
 class PipelineError(ValueError):
@@ -117,6 +117,8 @@ class _Direct(Compiler):
         self.columns, self.args = columns, args
 
     def _get(self, obj, key):
+        if key[0] == "lit" and key[1] in FORBIDDEN:
+            raise ExpressionError(f"{key[1]} may not be used")
         if obj == ("name", "item") and key[0] == "lit":
             return self.columns.get(str(key[1]), literal(None))
         if obj == ("name", "args") and key[0] == "lit":

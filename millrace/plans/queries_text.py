@@ -231,14 +231,14 @@ def lease_live(t, spark):
     return out.crossJoin(F.broadcast(now)).select("user_id", F.expr("cast(timestamp_micros(cast(round(last * 1e6) as bigint)) as timestamp_ntz)").alias("last"), (F.col("now") - F.col("last") <= 86400).alias("live"))
 
 
-@query("""WITH i AS (SELECT event_id, user_id, event_type = 'purchase' AS prot, CAST(value * 10 AS BIGINT) + 1 AS size, (SELECT max(event_id) FROM events) - event_id AS age FROM events),
+@query("""WITH i AS (SELECT event_id, user_id, event_type = 'purchase' AS prot, CAST(floor(value * 10) AS BIGINT) + 1 AS size, (SELECT max(event_id) FROM events) - event_id AS age FROM events),
   a AS (SELECT *, prot OR age <= 5000 AS alive FROM i), r AS (SELECT *, row_number() OVER (PARTITION BY user_id, alive ORDER BY prot DESC, event_id DESC) AS r FROM a),
   c AS (SELECT *, alive AND (prot OR r <= 30) AS counted FROM r),
   b AS (SELECT *, sum(CASE WHEN counted THEN size ELSE 0 END) OVER (PARTITION BY user_id, alive ORDER BY prot DESC, event_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total FROM c)
   SELECT event_id, counted AND (prot OR total <= 6000) AS keep FROM b""")
 def retention_prune(t, spark):
     e = t("events")
-    items = e.crossJoin(F.broadcast(e.agg(F.max("event_id").alias("top")))).selectExpr("event_id", "user_id", "event_type = 'purchase' as prot", "cast(round(value * 10) as bigint) + 1 as size", "top - event_id as age")
+    items = e.crossJoin(F.broadcast(e.agg(F.max("event_id").alias("top")))).selectExpr("event_id", "user_id", "event_type = 'purchase' as prot", "cast(floor(value * 10) as bigint) + 1 as size", "top - event_id as age")
     return buffers.retention(items, "user_id", "event_id", F.col("age"), "size", "prot", 5000, 30, 6000).select("event_id", "keep")
 
 
