@@ -233,6 +233,7 @@ def links(distinct: DataFrame, radius: int = 2, bucket: int = BUCKET) -> DataFra
     import pyarrow as pa
 
     spark = distinct.sparkSession
+    bucket = max(bucket, 1 << radius)  # a mask that leaves `radius` bits has no larger bucket
     masks = _blocks(list(range(64)), radius + 1)
     keyed = distinct.select("fp", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask"))
     ready = None
@@ -240,18 +241,20 @@ def links(distinct: DataFrame, radius: int = 2, bucket: int = BUCKET) -> DataFra
         keyed = keyed.withColumn("val", F.col("fp").bitwiseAND(F.col("mask")))
         finer = {m: _split(m, radius) for m in masks}
         hot = None
-        if any(finer.values()):
+        if any(finer.values()):  # else no bits are left to split by
             hot = save(keyed.groupBy("mask", "val").count().where(F.col("count") > bucket).select("mask", "val"), "hot")
         if hot is None or hot.isEmpty():
             ready = keyed if ready is None else ready.unionByName(keyed)
             break
         cold = keyed.join(hot, ["mask", "val"], "left_anti")
         ready = cold if ready is None else ready.unionByName(cold)
-        by = F.lit(None).cast("array<bigint>")
-        for m, sub in finer.items():
-            by = F.when(F.col("mask") == F.lit(_signed(m)), F.array(*[F.lit(_signed(x)) for x in sub])).otherwise(by)
-        keyed = save(keyed.join(hot, ["mask", "val"], "left_semi").select("fp", F.explode(by).alias("mask")), "split")
-        masks = sorted({x for sub in finer.values() for x in sub})
+        # at most (radius + 1) ** level masks, whatever the number of fingerprints
+        used = {r.mask % (1 << 64) for r in hot.select("mask").distinct().collect()}
+        rows = [(_signed(m), _signed(x)) for m in sorted(used) for x in finer[m]]
+        table = spark.createDataFrame(rows, "mask long, finer long")
+        whole = keyed.join(hot, ["mask", "val"], "left_semi")
+        keyed = save(whole.join(F.broadcast(table), "mask").select("fp", F.col("finer").alias("mask")).distinct(), "split")
+        masks = sorted({x for m in used for x in finer[m]})
 
     def run(batches):
         left: tuple | None = None

@@ -23,6 +23,7 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import NULL_ID, id_key, local_path, open_input, partitions, put_bytes, save, schema_of, shared_folder, small_batches
 from .rans import BLOCK, Table, decode, encode
@@ -243,7 +244,7 @@ def read_tokens(spark: SparkSession, folder: str, parts: list[tuple[int, int, in
 
     schema = schema_of(doc_id="long", start="long", n_tokens="long", ids_crc32="long")
     if with_ids:
-        schema = schema.add("ids", "array<int>")
+        schema = schema.add("ids", T.ArrayType(T.IntegerType()))
     if not parts:
         return spark.createDataFrame([], schema)
     base = np.r_[0, np.cumsum([n for _, _, n in parts])].tolist()
