@@ -55,3 +55,19 @@ def value(c: Column, t: T.DataType, depth: int = 0) -> Column:
         field = lambda f: (F.lit(MASK) if re.search(KEYS, f.name) and isinstance(f.dataType, T.StringType) else value(c.getField(f.name), f.dataType, depth + 1)).alias(f.name)
         return F.when(c.isNotNull(), F.struct(*[field(f) for f in t.fields]))
     return c
+
+
+def protected(c: Column, values: list[str]) -> Column:
+    """Given values masked wherever they stand: short ones (to 3 characters) only as whole words, single letters only
+    as the whole text or after an answer label."""
+    import re
+
+    for v in sorted(values, key=len, reverse=True):
+        q = re.escape(v)
+        if len(v) > 3:
+            c = F.replace(c, F.lit(v), F.lit(MASK))
+        elif len(v) > 1:
+            c = F.regexp_replace(c, rf"(?<![A-Za-z0-9]){q}(?![A-Za-z0-9])", MASK)
+        elif v:
+            c = F.when(F.trim(c) == v, MASK).otherwise(F.regexp_replace(c, rf"(?i)(\b(?:answer|option|choice)\s*[:=]?\s*){q}(?![A-Za-z0-9])", r"$1\[REDACTED\]"))
+    return c

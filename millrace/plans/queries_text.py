@@ -267,3 +267,58 @@ def stream_counts(t, spark):
     counts = stream.dropDuplicates(["event_id"]).groupBy("event_type").agg(F.count("*").alias("n"))
     buffers.drain(counts.writeStream.outputMode("complete").format("memory").queryName(name))
     return spark.table(name)
+
+
+@query("""SELECT conv_id, turn, CAST(greatest(sum(c) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1, 0) % 2 AS BIGINT) AS speaker FROM (
+  SELECT conv_id, turn, CASE WHEN role = 'user' AND coalesce(lag(regexp_matches(rtrim(x), '[.!?]["'')\\]]*$')) OVER (PARTITION BY conv_id ORDER BY turn), true) THEN 1 ELSE 0 END AS c
+  FROM (SELECT conv_id, turn, role, CASE WHEN role = 'user' THEN '>> ' ELSE 'x' END || text AS x FROM conversations))""")
+def speaker_turns(t, spark):
+    from ..operators import transcripts
+
+    df = t("conversations").select("conv_id", "turn", F.concat(F.when(F.col("role") == "user", ">> ").otherwise("x"), "text").alias("text"))
+    return transcripts.with_speakers(df, "conv_id", "turn", "text").select("conv_id", "turn", "speaker")
+
+
+@query()
+def transcript_groups(t, spark):
+    """A sequential fold a conversation: tested on fixed segments."""
+    from ..operators import transcripts
+
+    return transcripts.grouped(t("conversations").withColumn("at", F.col("turn") * 7.0), "conv_id", "at", "text", merge=True)
+
+
+@query("""SELECT domain, '/' AS path, name, domain || chr(9) || 'FALSE' || chr(9) || '/' || chr(9) || 'TRUE' || chr(9) || '0' || chr(9) || name || chr(9) || value AS line FROM (
+  SELECT 'u' || user_id || '.example.com' AS domain, event_type AS name, CAST(arg_max(event_id, event_id) AS VARCHAR) AS value FROM events GROUP BY user_id, event_type)""")
+def cookie_jar(t, spark):
+    from ..sources import exports
+
+    df = t("events").select("event_id", F.concat(F.lit("u"), "user_id", F.lit(".example.com")).alias("domain"), F.lit("/").alias("path"), F.col("event_type").alias("name"), F.col("event_id").cast("string").alias("value"), F.lit(True).alias("secure"), F.lit(None).cast("long").alias("expires"))
+    return exports.netscape_cookies(df, "event_id")
+
+
+@query("SELECT n_nationkey, CAST(p AS INTEGER) AS pos, CASE WHEN p = 0 THEN n_name ELSE 'x' END AS ref, CASE WHEN p = 0 THEN 'a' ELSE n_name END AS note FROM nation, (VALUES (0), (1)) v(p)")
+def delimited_scan(t, spark):
+    from ..sources import exports
+
+    df = t("nation").select("n_nationkey", F.concat("n_name", F.lit(" | a\n\nx|"), "n_name").alias("text"))
+    return exports.delimited(df, "text", ["ref", "note"])
+
+
+@query("SELECT p_partkey, replace(p_name, 'Part', '[REDACTED]') AS name FROM part")
+def redact_protected(t, spark):
+    return t("part").select("p_partkey", redact.protected(F.col("p_name"), ["Part"]).alias("name"))
+
+
+@query("SELECT p_partkey, '---' || chr(10) || 'title: \"' || p_name || '\"' || chr(10) || 'url: \"/p/' || p_partkey || '\"' || chr(10) || '---' || chr(10) || chr(10) || p_type || chr(10) AS doc FROM part")
+def article_sink(t, spark):
+    from ..sources import exports
+
+    return t("part").select("p_partkey", exports.article(F.col("p_name"), F.concat(F.lit("/p/"), "p_partkey"), F.col("p_type")).alias("doc"))
+
+
+@query("SELECT s_suppkey, CAST(floor((s_suppkey + 100) * 0.5) AS BIGINT) AS middle, CAST(3 AS BIGINT) AS n FROM supplier")
+def evenly_spaced(t, spark):
+    from ..operators import windows
+
+    spots = windows.evenly_spaced((F.col("s_suppkey") + 100).cast("double"), 3)
+    return t("supplier").select("s_suppkey", spots[1].alias("middle"), F.size(spots).cast("long").alias("n"))

@@ -99,3 +99,36 @@ def test_streams(spark, tmp_path):
     merge(spark.createDataFrame([("a", 1), ("a", 2)], "k string, seq long"), 0)
     merge(spark.createDataFrame([("a", 1), ("b", 1)], "k string, seq long"), 1)
     assert sorted(tuple(r) for r in spark.read.parquet(f"{target}/v1").collect()) == [("a", 2), ("b", 1)]
+
+
+def test_transcripts():
+    from millrace.operators import transcripts as tr
+
+    segments = [(0.0, "one"), (5.0, "two."), (6.0, "three"), (40.0, "four"), (45.0, "five"), (75.0, "six"), (76.0, " ")]
+    groups = tr.group_sentences(segments)
+    assert groups == [(0.0, "one two."), (6.0, "three"), (40.0, "four five"), (75.0, "six")]
+    assert tr.merge_sentences([(0.0, "a b c d."), (5.0, "e f g h."), (9.0, "really?"), (10.0, "i j k l.")]) == [(0.0, "a b c d. e f g h."), (9.0, "really?"), (10.0, "i j k l.")]
+
+
+def test_commands(spark):
+    from millrace.plans.hooks import Command, Commands
+
+    seen, c = [], Commands()
+    c.register(Command("x/list", lambda s, n: s.range(n), [{"name": "n", "type": "int", "default": 2}], ["id", "gone"]), "xl")
+    c.before.append(lambda cmd, args: seen.append((cmd.name, args)))
+    assert [tuple(r) for r in c.run(spark, "xl", {"n": "1"}).collect()] == [(0, "")] and seen == [("x/list", {"n": 1})]
+    with pytest.raises(ValueError):
+        c.register(Command("y", None, [{"name": "a"}, {"name": "a"}]))
+
+
+def test_sqlite_and_protected(spark, tmp_path):
+    import sqlite3
+
+    from millrace.sources import exports
+
+    with sqlite3.connect(tmp_path / "s.db") as db:
+        db.execute("CREATE TABLE ItemTable (key TEXT, value BLOB)")
+        db.executemany("INSERT INTO ItemTable VALUES (?, ?)", [("b", '{"x":1}'), ("a.1", "t")])
+    assert [tuple(r) for r in exports.sqlite_keys(spark, str(tmp_path / "s.db")).collect()] == [("a.1", "t"), ("b", '{"x":1}')]
+    assert one(spark, lambda c: redact.protected(c, ["secret answer", "no", "B"]), "secret answer, no notes; answer: B, Bob") == "[REDACTED], [REDACTED] notes; answer: [REDACTED], Bob"
+    assert exports.error_envelope("E", "m", "h")["error"] == {"code": "E", "message": "m", "hint": "h"}
