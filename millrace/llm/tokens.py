@@ -12,8 +12,9 @@ import os
 import re
 from functools import lru_cache
 
-#: Pieces kept by a worker; beyond that new pieces are encoded but not kept.
-MEMO = 900_000
+#: Pieces and pre-tokens kept by a worker, about 200 bytes each; beyond that new ones are encoded but not kept.
+MEMO = 600_000
+TOKENS = 300_000
 #: Pieces over this many characters aren't kept.
 LONG = 40
 #: A space that may not be cut at: white space beside it.
@@ -75,7 +76,7 @@ class Encoder:
         if got is None:
             word = token.encode().decode("latin-1").translate(self.letters)
             got = b"".join([self.codes[t.id] for t in self.model.tokenize(word)])
-            if len(self.tokens) < MEMO and len(token) <= LONG:
+            if len(self.tokens) < TOKENS and len(token) <= LONG:
                 self.tokens[token] = got
         return got
 
