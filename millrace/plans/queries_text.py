@@ -75,6 +75,18 @@ def redact_text(t, spark):
     return t("documents").where(plain).select("doc_id", redact.text(F.col("text")).alias("text"))
 
 
+@query("""WITH r AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text,
+    '(?i)\\b(bearer|basic)\\s+[A-Za-z0-9._~+/=-]+', '\\1 [REDACTED]', 'g'),
+    '(?i)("(?:password|passwd|secret|token|api_?key|access_token|refresh_token|session)"\\s*:\\s*")[^"]*"', '\\1[REDACTED]"', 'g'),
+    '(?i)\\b(password|passwd|secret|token|api_?key)(\\s*[=:]\\s*)[^\\s&;,]+', '\\1\\2[REDACTED]', 'g'),
+    '(?i)\\b(cookie|set-cookie)(\\s*:\\s*)[^\\n]+', '\\1\\2[REDACTED]', 'g'),
+    '\\beyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+', '[REDACTED]', 'g') AS text FROM documents)
+  SELECT doc_id, CASE WHEN length(text) > 50000 THEN left(text, 50000) || '…[truncated]' ELSE text END AS text FROM r""")
+def redact_all_texts(t, spark):
+    """All documents by all rules, long ones cut."""
+    return t("documents").select("doc_id", redact.text(F.col("text")).alias("text"))
+
+
 @query("""SELECT page_id, regexp_replace(url || '&token=abc', '(?i)([?&](?:access_token|token|api_?key|key|auth|password|secret|session|sig|signature|code)=)[^&#]*', '\\1[REDACTED]', 'g') AS url FROM pages""")
 def redact_urls(t, spark):
     return t("pages").select("page_id", redact.url(F.concat("url", F.lit("&token=abc"))).alias("url"))
