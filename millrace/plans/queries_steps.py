@@ -119,6 +119,12 @@ def url_encode(t, spark):
     return df.select("page_id", filters.url_encode(F.col("url")).alias("rough"))
 
 
+@query("""SELECT page_id, replace(replace(replace(replace(replace(url_encode(url), '%21', '!'), '%27', chr(39)), '%28', '('), '%29', ')'), '%2A', '*') AS encoded FROM pages""")
+def url_encode_all(t, spark):
+    """Every page's url, with the characters that encoding is about."""
+    return t("pages").select("page_id", filters.url_encode(F.col("url")).alias("encoded"))
+
+
 @query("SELECT doc_id, length(lang) AS n, 'x' || lang || '-' || coalesce(source, 'null') AS tag, lang = 'en' AS english FROM documents")
 def expression_corpus(t, spark):
     spec = [{"map": {"doc_id": "${{ item.doc_id }}", "n": "${{ item.lang | length }}", "tag": "x${{ item.lang }}-${{ item.source ?? 'null' }}", "english": "${{ item.lang === 'en' }}"}}]

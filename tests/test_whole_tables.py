@@ -1,8 +1,17 @@
 """Queries over whole tables: all rows and part files, whatever their content."""
 
+from urllib.parse import quote
+
 from millrace.plans.catalogue import QUERIES
 
 
+def test_encoding_of_every_url(spark, tmp_path):
+    urls = ["http://h/a b?x=1&y=%41+z#top", "http://h/é/漢😀", "http://h/!'()*~-_.;,@$[]{}|^`\"<>\\", "", None]
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r.encoded for r in QUERIES["url_encode_all"](spark, str(tmp_path)).collect()}
+    assert got == {i: None if u is None else quote(u, safe="!'()*~-_.") for i, u in enumerate(urls)}
+
+
 def test_redaction_of_every_text(spark, tmp_path):
     long = "é" * 49_990
     texts = [
