@@ -53,10 +53,12 @@ def within_budget(nodes: DataFrame, doc: str, priority: str, pos: str, cost: str
 class _Nodes(HTMLParser):
     VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
-    def __init__(self, most_depth: int, most_nodes: int):
+    def __init__(self, most_depth: int | None, most_nodes: int | None, most_text: int | None):
         super().__init__(convert_charrefs=True)
-        self.most_depth, self.most_nodes = most_depth, most_nodes
+        none = float("inf")
+        self.most_depth, self.most_nodes, self.most_text = (none if m is None else m for m in (most_depth, most_nodes, most_text))
         self.rows: list[list] = []
+        self.texts: list[list[str]] = []
         self.stack: list[tuple[int, str]] = []
         self.cut = 0
 
@@ -67,7 +69,8 @@ class _Nodes(HTMLParser):
         else:
             at = len(self.rows)
             a = dict(attrs)
-            self.rows.append([at, next((i for i, _ in reversed(self.stack) if i >= 0), None), len(self.stack), tag, a.get("id"), a.get("class"), ""])
+            self.rows.append([at, next((i for i, _ in reversed(self.stack) if i >= 0), None), len(self.stack), tag, a.get("id"), a.get("class")])
+            self.texts.append([])
         if tag not in self.VOID:
             self.stack.append((at, tag))
 
@@ -79,23 +82,40 @@ class _Nodes(HTMLParser):
 
     def handle_data(self, data):
         at = self.stack[-1][0] if self.stack else -1
-        if at >= 0 and len(self.rows[at][6]) < 120 and data.strip():
-            self.rows[at][6] = (self.rows[at][6] + " " + data.strip()).strip()[:120]
+        if at >= 0 and data.strip():
+            self.texts[at].append(data.strip())
 
+    def nodes(self, counts: bool) -> list[list]:
+        out = []
+        for r, parts in zip(self.rows, self.texts, strict=True):
+            t = " ".join(parts)
+            kept = t if len(t) <= self.most_text else t[: self.most_text]
+            out.append([*r, kept, *([self.cut, len(t) - len(kept)] if counts else [])])
+        return out
 
-def html_nodes(pages: DataFrame, id_col: str, html_col: str, most_depth: int = 40, most_nodes: int = 5000) -> DataFrame:
-    """(id, node, parent, depth, tag, dom_id, class, text) of every page, in Arrow batches."""
+
+def html_nodes(pages: DataFrame, id_col: str, html_col: str, most_depth: int | None = None, most_nodes: int | None = None, most_text: int | None = None) -> DataFrame:
+    """(id, node, parent, depth, tag, dom_id, class, text) of every page, in Arrow batches.
+
+    All nodes with their whole texts; with a budget, also cut_nodes (nodes left out of the page) and cut_text (characters
+    left out of the node's text), and a page without any node left has one row with the counts alone.
+    """
+    counts = any(m is not None for m in (most_depth, most_nodes, most_text))
+    names = ["id", "node", "parent", "depth", "tag", "dom_id", "class", "text"] + ["cut_nodes", "cut_text"] * counts
 
     def run(batches):
         for pdf in batches:
             rows = []
             for i, page in zip(pdf[id_col], pdf[html_col], strict=True):
-                p = _Nodes(most_depth, most_nodes)
+                p = _Nodes(most_depth, most_nodes, most_text)
                 p.feed(page or "")
-                rows += [[i, *r] for r in p.rows]
-            yield pd.DataFrame(rows, columns=["id", "node", "parent", "depth", "tag", "dom_id", "class", "text"]).astype({"parent": "Int64", "node": "int64", "depth": "int64"})
+                p.close()
+                rows += [[i, *r] for r in p.nodes(counts)]
+                if p.cut and not p.rows:
+                    rows.append([i, *[None] * 7, p.cut, 0])
+            yield pd.DataFrame(rows, columns=names).astype({"parent": "Int64", "node": "Int64", "depth": "Int64"})
 
-    return pages.select(id_col, html_col).mapInPandas(run, "id long, node long, parent long, depth long, tag string, dom_id string, class string, text string")
+    return pages.select(id_col, html_col).mapInPandas(run, "id long, node long, parent long, depth long, tag string, dom_id string, class string, text string" + ", cut_nodes long, cut_text long" * counts)
 
 
 def markdown_table(rows: list[list[str]]) -> str:

@@ -1,7 +1,9 @@
 """Queries over whole tables: all rows and part files, whatever their content."""
 
+import re
 from urllib.parse import quote
 
+from millrace.operators import trees
 from millrace.plans.catalogue import QUERIES
 
 
@@ -26,3 +28,15 @@ def test_redaction_of_every_text(spark, tmp_path):
         f"Bearer {m} password={m};x api_key: {m}", (long + f" password={m}")[:50_000] + "…[truncated]", (long + f" {m}")[:50_000] + "…[truncated]", "plain", "", None,
     ]
     assert got == dict(enumerate(want))
+
+
+def test_nodes_of_deep_and_long_pages(spark):
+    page = "<div>" * 60 + "word " * 100 + "</div>" * 60 + "<p>x</p>" * 6000 + "<b>end"
+    df = spark.createDataFrame([(1, page)], "id long, html string")
+    whole = sorted(trees.html_nodes(df, "id", "html").collect(), key=lambda r: r.node)
+    assert [r.tag for r in whole] == re.findall(r"<(\w+)", page)
+    assert whole[59].depth == 59 and whole[59].text == ("word " * 100).strip() and whole[-1].text == "end"
+    some = trees.html_nodes(df, "id", "html", most_depth=70, most_nodes=100, most_text=10).collect()
+    assert len(some) == 100 and {r.cut_nodes for r in some} == {len(whole) - 100}
+    assert sum(r.cut_text for r in some) == 499 - 10
+    assert [(r.node, r.cut_nodes) for r in trees.html_nodes(df, "id", "html", most_nodes=0).collect()] == [(None, len(whole))]
