@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,11 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def query(sql: str | None = None):
-    """Registers a function (t, spark) -> DataFrame, where t(name) reads a table of the folder."""
+    """Registers a function (t, spark) -> DataFrame, where t(name) reads a table of the folder and t.path(name) is its path."""
 
     def add(f):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return f(lambda name: table(spark, sf_dir, name), spark)
+            t = partial(table, spark, sf_dir)
+            t.path = lambda name: f"{sf_dir}/{name}.parquet"
+            return f(t, spark)
 
         run.__doc__ = f.__doc__
         QUERIES[f.__name__] = run

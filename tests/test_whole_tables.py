@@ -7,6 +7,13 @@ from millrace.operators import trees
 from millrace.plans.catalogue import QUERIES
 
 
+def test_stream_of_part_files(spark, sf, tmp_path):
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    events.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    want = sorted((r.event_type, r["count"]) for r in events.dropDuplicates(["event_id"]).groupBy("event_type").count().collect())
+    assert sorted((r.event_type, r.n) for r in QUERIES["stream_counts"](spark, str(tmp_path)).collect()) == want
+
+
 def test_encoding_of_every_url(spark, tmp_path):
     urls = ["http://h/a b?x=1&y=%41+z#top", "http://h/é/漢😀", "http://h/!'()*~-_.;,@$[]{}|^`\"<>\\", "", None]
     spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
