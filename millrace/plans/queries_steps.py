@@ -82,6 +82,14 @@ def fetch_lookup(t, spark):
     return run([{"fetch": {"table": "details", "key": "item.l_orderkey", "on": "o_orderkey"}}], li, ["l_orderkey", "l_linenumber"], tables={"details": details}, ordered=False)
 
 
+@query("""SELECT l.l_orderkey, l.l_linenumber, o.o_orderstatus, CASE WHEN o.o_orderkey IS NULL THEN 'not found' END AS error
+  FROM lineitem l LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') o ON l.l_orderkey = o.o_orderkey""")
+def fetch_lookup_all(t, spark):
+    """Every line, so that many ask for the same key."""
+    details = t("orders").where("o_orderstatus <> 'P'").select("o_orderkey", "o_orderstatus")
+    return run([{"fetch": {"table": "details", "key": "item.l_orderkey", "on": "o_orderkey"}}], t("lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"], tables={"details": details}, ordered=False)
+
+
 @query("SELECT event_id FROM events WHERE starts_with(trim(props), '{')")
 def evaluate_auto_parse(t, spark):
     out = run([{"evaluate": "props"}], t("events").select("event_id", "props"), ["event_id"], ordered=False)

@@ -14,6 +14,11 @@ def test_stream_of_part_files(spark, sf, tmp_path):
     assert sorted((r.event_type, r.n) for r in QUERIES["stream_counts"](spark, str(tmp_path)).collect()) == want
 
 
+def test_fetch_of_every_line(spark, sf):
+    got = QUERIES["fetch_lookup_all"](spark, sf)
+    assert got.count() == spark.read.parquet(f"{sf}/lineitem.parquet").count() and got.where("l_linenumber > 1").count() > 0
+
+
 def test_encoding_of_every_url(spark, tmp_path):
     urls = ["http://h/a b?x=1&y=%41+z#top", "http://h/é/漢😀", "http://h/!'()*~-_.;,@$[]{}|^`\"<>\\", "", None]
     spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
