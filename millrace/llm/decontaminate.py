@@ -9,7 +9,7 @@ Words: ASCII letters lower-cased, then runs of digits, a-z and non-ASCII charact
 consecutive item words; a shorter, non-empty item is one window.
 
 Input cases: null or wordless text has no words, no hits and is not contaminated; an item without
-words never occurs; repeated item ids count once; repeated documents keep their rows; empty tables on
+words never occurs; items with a null id give hits and spans but aren't listed in items; repeated item ids count once; repeated documents keep their rows; empty tables on
 either side are fine; other columns are passed through only by `remove_contamination`.
 """
 
@@ -30,6 +30,8 @@ WINDOW = 13
 COVERAGE = 20
 #: Bytes of item text in one automaton.
 SHARD_BYTES = 8 << 20
+#: Stands for a null item id inside the automata.
+NO_ID = "\0null"
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -151,13 +153,13 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def build_shards(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", window: int = WINDOW, shard_bytes: int = SHARD_BYTES) -> list[str]:
     """Automaton files in the shared folder; the driver holds one shard's items at a time."""
     spark = benchmark.sparkSession
-    items = benchmark.select(F.col(item_col).cast("string").alias("k"), F.col(text_col).cast("binary").alias("t")).where("k is not null and t is not null")
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit(NO_ID)).alias("k"), F.col(text_col).cast("binary").alias("t")).where("t is not null")
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-total // shard_bytes))
     folder = shared_folder(spark, "automata")
     uris = []
     for i in range(n):
-        part = items.where(F.pmod(F.xxhash64("k"), F.lit(n)) == i) if n > 1 else items
+        part = items.where(F.pmod(F.xxhash64("k", "t"), F.lit(n)) == i) if n > 1 else items
         made = Automaton(sorted((r.k, words_of(bytes(r.t))) for r in part.toLocalIterator()), window)
         uris.append(f"{folder}/{i:05d}.automaton")
         put_bytes(uris[-1], iter([pickle.dumps(made)]))
@@ -193,7 +195,7 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
                 spans = [merged(x) for x in spans]
                 cut = [_cut(t, x) if x else t for t, x in zip(texts, spans, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [s.column("doc_id").combine_chunks(), pa.array([len(w) for w in words], pa.int64()), pa.array([sorted(x) for x in items], pa.list_(pa.string())),
+                    [s.column("doc_id").combine_chunks(), pa.array([len(w) for w in words], pa.int64()), pa.array([sorted(x - {NO_ID}) for x in items], pa.list_(pa.string())),
                      pa.array([[p for ab in x for p in ab] for x in spans], pa.list_(pa.int64())), pa.array([None if c is None else c.decode() for c in cut], pa.string())],
                     names=["doc_id", "n_words", "items", "spans", "cut"],
                 )

@@ -49,3 +49,13 @@ def test_spans_are_cut(spark):
     docs = spark.createDataFrame([(1, f"{rest}. {item}! end", 0)], "doc_id long, text string, n_chars long")
     row = dc.remove_contamination(docs, spark.createDataFrame([("i", item)], "item_id string, text string")).first()
     assert row.text == f"{rest}. ! end" and row.n_chars == len(row.text)
+
+
+@pytest.mark.parametrize("shard_bytes", [dc.SHARD_BYTES, 40])
+def test_items_without_id(spark, shard_bytes):
+    words = [f"item{i}" for i in range(40)]
+    bench = spark.createDataFrame([(None, " ".join(words[:20])), (None, " ".join(words[20:])), ("b", "short one"), ("c", None)], "item_id string, text string")
+    docs = spark.createDataFrame([(1, " ".join(words[2:17])), (2, "x " + " ".join(words[20:36]) + " short one"), (3, "clean words")], "doc_id long, text string")
+    got = {r.doc_id: (list(r["items"]), list(r.spans)) for r in dc.with_hits(docs, bench, shard_bytes=shard_bytes).collect()}
+    assert got == {1: ([], [0, 15]), 2: (["b"], [1, 19]), 3: ([], [])}
+    assert [r.doc_id for r in dc.remove_contamination(docs, bench).collect()] == [3]
