@@ -6,12 +6,10 @@ costs time, never rows.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import open_input, partitions, put_bytes, save, schema_of, shared_folder
+from .common import kept, open_input, partitions, put_bytes, save, schema_of, shared_folder, tidy
 
 PROBES = 4
 #: Bits a key, while the whole stays under MOST_BITS (128 MB).
@@ -48,7 +46,7 @@ def build(hashes: DataFrame, n: int) -> str:
             put_bytes(f"{folder}/{part:05d}", iter([field.tobytes()]))
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64())], names=["part"])
 
-    told = save(hashes.coalesce(min(64, partitions(spark))).mapInArrow(run, schema_of(part="long")), "blooms").collect()
+    told = save(hashes.coalesce(min(64, partitions(spark))).mapInArrow(tidy(run), schema_of(part="long")), "blooms").collect()
     whole = np.zeros(bits // 8, dtype=np.uint8)
     for r in told:  # at most 64 parts, one in memory at a time
         with open_input(f"{folder}/{r.part:05d}") as f:
@@ -57,7 +55,7 @@ def build(hashes: DataFrame, n: int) -> str:
     return f"{folder}/whole"
 
 
-@lru_cache(maxsize=2)
+@kept
 def load(uri: str) -> np.ndarray:
     with open_input(uri) as f:
         return np.frombuffer(f.read(), np.uint8)

@@ -7,10 +7,13 @@ a task retry, never a lost result: nothing is kept in executor-local storage.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache, wraps
 from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,10 +26,13 @@ NULL_ID = -(2**63)
 
 def shared_base(spark: SparkSession) -> str:
     """The folder that driver and executors share; its name is read from the session."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base:
+        if not (context.master or "").startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = f"file://{tempfile.mkdtemp(prefix='millrace-')}"
-        spark.sparkContext.setCheckpointDir(base)
+        context.setCheckpointDir(base)
     return base.rstrip("/")
 
 
@@ -43,6 +49,56 @@ def save(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(to)
 
 
+class _Worker:
+    """What a Python worker keeps between its tasks, and the function whose tasks it last ran."""
+
+    caches: list[Callable[[], None]] = []
+    owner: str | None = None
+
+
+def kept(f):
+    """lru_cache(maxsize=2) whose entries go as soon as the worker runs another function's tasks."""
+    f = lru_cache(maxsize=2)(f)
+    _Worker.caches.append(f.cache_clear)
+    return f
+
+
+def take_over(owner: str) -> None:
+    """Workers are reused from stage to stage: the first task of another function empties all caches."""
+    if _Worker.owner != owner:
+        _Worker.owner = owner
+        for clear in _Worker.caches:
+            clear()
+        give_back()
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system, which a reused worker would otherwise hold on to."""
+    gc.collect()
+    try:
+        import pyarrow as pa
+
+        pa.default_memory_pool().release_unused()
+        ctypes.CDLL(None).malloc_trim(0)
+    except (ImportError, OSError, AttributeError):  # no Arrow, or another C library: it keeps what it likes
+        pass
+
+
+def tidy(run):
+    """An Arrow function whose tasks leave no more behind than the caches that its own next task wants."""
+    owner = f"{run.__module__}.{run.__qualname__}"
+
+    @wraps(run)
+    def task(batches):
+        take_over(owner)
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
 def local_path(uri: str) -> str | None:
     """The POSIX path of a file: URI or plain path (a mount that all machines share), else None."""
     u = urlparse(uri)

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, id_key, id_splits, partitions, schema_of, small_batches
+from .common import NULL_ID, id_key, id_splits, partitions, schema_of, small_batches, tidy
 from .parsing import mix
 
 WINDOW = 32
@@ -158,7 +158,7 @@ def fit_rarity(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["level", "n"])
 
-    got = docs.select(F.col(text_col).cast("binary").alias("text")).mapInArrow(run, schema_of(level="long", n="long")).groupBy("level").agg(F.sum("n").alias("n")).collect()
+    got = docs.select(F.col(text_col).cast("binary").alias("text")).mapInArrow(tidy(run), schema_of(level="long", n="long")).groupBy("level").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(LEVELS, np.int64)
     for r in got:
         counts[r.level] = r.n
@@ -226,7 +226,7 @@ def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         if len(held) > 1:
             yield solve(held)
 
-    return dealt.mapInArrow(run, schema)
+    return dealt.mapInArrow(tidy(run), schema)
 
 
 def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

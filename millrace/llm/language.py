@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import take_over
 from .sampling import by_hash
 
 LENGTH = 256
@@ -163,12 +164,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 def with_language(docs: DataFrame, net: ByteConvNet | None, text_col: str = "text") -> DataFrame:
     """All columns, with lang_pred and score (replacing columns of those names)."""
-
-
     net = net or ByteConvNet(["und"])
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
+        take_over("language")
         out = []
         for lo in range(0, len(texts), 256):
             out += net.predict(texts.iloc[lo : lo + 256].tolist())

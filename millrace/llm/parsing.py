@@ -12,6 +12,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from .common import kept
+
 SIZE = 100
 W = 32
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -31,7 +33,7 @@ def _letters(seed: int) -> np.ndarray:
     return mix(np.arange(1 + seed * 256, 257 + seed * 256, dtype=np.uint64)) | np.uint64(1)
 
 
-@lru_cache(maxsize=2)
+@kept
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and its inverse, modulo 2**64, for i < n."""
     inverse = pow(_BASE, -1, 1 << 64)

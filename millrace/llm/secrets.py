@@ -17,7 +17,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import schema_of, small_batches
+from .common import schema_of, small_batches, tidy
 
 #: Fixed patterns of the base kinds, in the order in which ties are listed.
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -101,7 +101,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.RecordBatch.from_arrays([s.column("doc_id").combine_chunks(), *(pa.array(c, pa.int64()) for c in cols[:3]), *(pa.array(c, pa.string()) for c in cols[3:])], names=["doc_id", "n_assign", "n_access", "n_hex", "base", "spans"])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return src.mapInArrow(run, schema_of(doc_id="long", n_assign="long", n_access="long", n_hex="long", base="string", spans="string"))
+    return src.mapInArrow(tidy(run), schema_of(doc_id="long", n_assign="long", n_access="long", n_hex="long", base="string", spans="string"))
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions, save, schema_of
+from .common import partitions, save, schema_of, tidy
 from .components import components
 
 #: Buckets above this many fingerprints are split by further bits, as often as bits remain.
@@ -80,7 +80,7 @@ def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays([s.column("doc_id").combine_chunks() if s.column("doc_id").num_chunks != 1 else s.column("doc_id").chunk(0), pa.array(fp)], names=["doc_id", "fp"])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return src.mapInArrow(run, schema_of(doc_id="long", fp="long"))
+    return src.mapInArrow(tidy(run), schema_of(doc_id="long", fp="long"))
 
 
 # ---------------------------------------------------------------- bit-sliced distances
@@ -281,7 +281,7 @@ def links(distinct: DataFrame, radius: int = 2, bucket: int = BUCKET) -> DataFra
             yield done(*left)
 
     dealt = ready.select("mask", "val", "fp").repartition(partitions(spark), "mask", "val").sortWithinPartitions("mask", "val", "fp")
-    return dealt.mapInArrow(run, schema_of(u="long", v="long"))
+    return dealt.mapInArrow(tidy(run), schema_of(u="long", v="long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42, radius: int = 2) -> DataFrame:

@@ -18,14 +18,13 @@ from __future__ import annotations
 import os
 import struct
 import zlib
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import NULL_ID, id_key, local_path, open_input, partitions, put_bytes, save, schema_of, shared_folder, small_batches
+from .common import NULL_ID, id_key, kept, local_path, open_input, partitions, put_bytes, save, schema_of, shared_folder, small_batches, tidy
 from .rans import BLOCK, Table, decode, encode
 
 END_ID = 2
@@ -109,7 +108,7 @@ class TokenFile:
 # ---------------------------------------------------------------- Spark jobs
 
 
-@lru_cache(maxsize=2)
+@kept
 def _table(uri: str) -> Table:
     with open_input(uri) as f:
         return Table.load(f.read())
@@ -181,7 +180,7 @@ def write_tokens(docs: DataFrame, folder: str | None = None, id_col: str = "doc_
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, seen], pa.int64()), pa.array(np.r_[part, counts[seen]], pa.int64()), pa.array(np.r_[n_docs, np.zeros(len(seen), np.int64)], pa.int64()), pa.array(np.r_[n_ids, np.zeros(len(seen), np.int64)], pa.int64())], names=["token", "n", "docs", "ids"])
 
-    told = save(ranged.mapInArrow(tokenise, schema_of(token="long", n="long", docs="long", ids="long")), "counts")
+    told = save(ranged.mapInArrow(tidy(tokenise), schema_of(token="long", n="long", docs="long", ids="long")), "counts")
     parts = sorted((r.n, r.docs, r.ids) for r in told.where("token = -1").collect())
     found = told.where("token >= 0").groupBy("token").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(1 + max((r.token for r in found), default=0), dtype=np.int64)
@@ -221,7 +220,7 @@ def write_tokens(docs: DataFrame, folder: str | None = None, id_col: str = "doc_
                     size = put_bytes(f"{folder}/ids-{part:05d}", file())
                 yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([size], pa.int64())], names=["part", "bytes"])
 
-    save(spark.range(0, len(parts), 1, len(parts)).mapInArrow(code, schema_of(part="long", bytes="long")), "coded")
+    save(spark.range(0, len(parts), 1, len(parts)).mapInArrow(tidy(code), schema_of(part="long", bytes="long")), "coded")
     if (path := local_path(folder)) is not None:  # raw files are done with; elsewhere the folder's owner removes them
         for part, _, _ in parts:
             os.path.exists(f"{path}/raw-{part:05d}") and os.remove(f"{path}/raw-{part:05d}")
@@ -268,7 +267,7 @@ def read_tokens(spark: SparkSession, folder: str, parts: list[tuple[int, int, in
         cols = list(zip(*rows, strict=True))
         return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), *(pa.array(c, pa.list_(pa.int32())) for c in cols[4:])], names=schema.names)
 
-    return spark.range(0, len(parts), 1, len(parts)).mapInArrow(run, schema)
+    return spark.range(0, len(parts), 1, len(parts)).mapInArrow(tidy(run), schema)
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,11 +10,14 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
 
-#: Pieces and pre-tokens kept by a worker, about 200 bytes each; beyond that new ones are encoded but not kept.
-MEMO = 600_000
-TOKENS = 300_000
+from .common import kept
+
+#: Bytes of pieces, and of pre-tokens, that a worker keeps in each of two generations.
+MEMO_BYTES = 24 << 20
+TOKEN_BYTES = 12 << 20
+#: Bytes of an entry besides its key and ids: two objects and their place in a table.
+ENTRY = 190
 #: Pieces over this many characters aren't kept.
 LONG = 40
 #: A space that may not be cut at: white space beside it.
@@ -46,6 +49,32 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Memo:
+    """A table of bounded bytes: when the young generation is full it becomes the old one, and what is
+    still asked for moves back into the new young one."""
+
+    def __init__(self, most: int):
+        self.most, self.size = most, 0
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def get(self, key: str) -> bytes | None:
+        got = self.young.get(key)
+        if got is None and (got := self.old.get(key)) is not None:
+            self.put(key, got)
+        return got
+
+    def put(self, key: str, ids: bytes) -> None:
+        if len(key) <= LONG:
+            self.young[key] = ids
+            self.size += ENTRY + len(key) + len(ids)
+
+    def settle(self) -> None:
+        """Called between texts, when nobody looks into the young generation."""
+        if self.size > self.most:
+            self.old, self.young, self.size = self.young, {}, 0
+
+
 class Encoder:
     """ids(texts): little-endian ids of each text, as bytes of `width`-byte unsigned integers."""
 
@@ -64,8 +93,8 @@ class Encoder:
         from public_tokenizers import PATTERN
 
         self.split = regex.compile(PATTERN).findall
-        self.memo: dict[str, bytes] = {}  # of " " + key
-        self.tokens: dict[str, bytes] = {}  # of pre-tokens
+        self.memo = Memo(MEMO_BYTES)  # of " " + key
+        self.tokens = Memo(TOKEN_BYTES)  # of pre-tokens
 
     def whole(self, text: str) -> bytes:
         """The library's own path, for pieces out of the ordinary."""
@@ -76,8 +105,7 @@ class Encoder:
         if got is None:
             word = token.encode().decode("latin-1").translate(self.letters)
             got = b"".join([self.codes[t.id] for t in self.model.tokenize(word)])
-            if len(self.tokens) < TOKENS and len(token) <= LONG:
-                self.tokens[token] = got
+            self.tokens.put(token, got)
         return got
 
     def first(self, part: str) -> bytes:
@@ -110,15 +138,21 @@ class Encoder:
                     continue
             else:
                 first, *parts = t.split(" ")
-            extra: dict[str, bytes] = {}
-            for p in set(parts).difference(memo):
-                (memo if len(memo) < MEMO and len(p) <= LONG else extra)[p] = self.piece(p)
-            look = memo.__getitem__ if not extra else (memo | extra).__getitem__ if len(memo) < 10_000 else lambda p, e=extra: e[p] if p in e else memo[p]
+            memo.settle()
+            self.tokens.settle()
+            young, extra = memo.young, {}
+            for p in set(parts).difference(young):
+                if (got := memo.get(p)) is None:
+                    got = self.piece(p)
+                    memo.put(p, got)
+                if len(p) > LONG:
+                    extra[p] = got
+            look = young.__getitem__ if not extra else lambda p, e=extra, y=young: e[p] if p in e else y[p]
             out.append(self.first(first) + b"".join(map(look, parts)))
         return out
 
 
-@lru_cache(maxsize=2)
+@kept
 def encoder(path: str | None = None) -> Encoder:
     """The worker's encoder for a tokenizers file; by default the installed byte-level BPE."""
     from public_tokenizers import path as installed

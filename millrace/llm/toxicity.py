@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import schema_of, small_batches
+from .common import schema_of, small_batches, tidy
 from .sampling import by_hash
 
 TRAIN_DOCS = 4000
@@ -185,7 +185,7 @@ def with_toxicity(docs: DataFrame, model: CompressionModel | None, id_col: str =
                 scores = model.scores(s.column("text").to_pylist()) if model else np.zeros(s.num_rows)
                 yield pa.RecordBatch.from_arrays([s.column("doc_id").combine_chunks(), pa.array(scores)], names=["doc_id", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema_of(doc_id="long", score="double"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), schema_of(doc_id="long", score="double"))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

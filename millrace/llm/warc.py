@@ -25,7 +25,7 @@ from urllib.parse import urlsplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, id_key, open_input, partitions, put_bytes, save, schema_of, shared_folder
+from .common import NULL_ID, id_key, open_input, partitions, put_bytes, save, schema_of, shared_folder, tidy
 
 #: Payloads of fewer bytes are never revisits.
 LEAST_BYTES = 100
@@ -140,7 +140,7 @@ def write_warc(pages: DataFrame, folder: str | None = None) -> tuple[str, list[t
             cols = list(zip(*told[lo : lo + 10_000], strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *(pa.array(c, pa.int64()) for c in cols[1:])], names=["surt", "key", "part", "at", "size"])
 
-    lines = save(rows.select("key", "url", "html", "digest", "refers_to").mapInArrow(archive, schema_of(surt="string", key="long", part="long", at="long", size="long")), "captures")
+    lines = save(rows.select("key", "url", "html", "digest", "refers_to").mapInArrow(tidy(archive), schema_of(surt="string", key="long", part="long", at="long", size="long")), "captures")
 
     def index(batches):
         from pyspark import TaskContext
@@ -181,7 +181,7 @@ def write_warc(pages: DataFrame, folder: str | None = None) -> tuple[str, list[t
         yield pa.RecordBatch.from_arrays([pa.array([marks[0][0]], pa.string()), pa.array([part], pa.int64()), pa.array([len(marks)], pa.int64())], names=["first", "part", "blocks"])
 
     ordered = lines.repartitionByRange(n, "surt", "key", "part", "at").sortWithinPartitions("surt", "key", "part", "at")
-    told = save(ordered.mapInArrow(index, schema_of(first="string", part="long", blocks="long")), "index")
+    told = save(ordered.mapInArrow(tidy(index), schema_of(first="string", part="long", blocks="long")), "index")
     return folder, sorted(((r["first"], r.part, r.blocks) for r in told.collect()), key=lambda x: x[1])
 
 
@@ -264,7 +264,7 @@ def read_warc(spark: SparkSession, folder: str, parts: list[tuple[str, int, int]
                     cols = list(zip(*rows, strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k in (2, 3, 5) else pa.int64()) for k, c in enumerate(cols)], names=schema.names)
 
-    return spark.range(0, len(parts), 1, len(parts)).mapInArrow(run, schema)
+    return spark.range(0, len(parts), 1, len(parts)).mapInArrow(tidy(run), schema)
 
 
 def op8_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
