@@ -59,3 +59,23 @@ def test_items_without_id(spark, shard_bytes):
     got = {r.doc_id: (list(r["items"]), list(r.spans)) for r in dc.with_hits(docs, bench, shard_bytes=shard_bytes).collect()}
     assert got == {1: ([], [0, 15]), 2: (["b"], [1, 19]), 3: ([], [])}
     assert [r.doc_id for r in dc.remove_contamination(docs, bench).collect()] == [3]
+
+
+def test_runs_longer_than_a_walk(spark, monkeypatch):
+    monkeypatch.setattr(dc, "STEPS", 5)
+    rng = random.Random(4)
+    items = [("a\nb", " ".join(rng.choices("abc", k=40))), ("short", "a b a"), (None, " ".join(rng.choices("abc", k=16)))]
+    named = [(k or dc.NO_ID, dc.words_of(t.encode())) for k, t in items]
+    text = " ".join([*rng.choices("abc", k=70), items[0][1], *rng.choices("abc", k=30), items[2][1]])
+    spans, found = dc.Automaton(named).stream(dc.words_of(text.encode()))
+    want = dc.brute_force([text], [(k or dc.NO_ID, t) for k, t in items])[0]
+    assert sum(q - p for p, q in spans) == want[1] and len(found) == want[2] == 3
+
+
+def test_arrays_in_a_file(tmp_path):
+    from millrace.llm import arrays
+
+    made = dc.Automaton([("x", [b"a", b"b", b"a"])]).arrays()
+    (tmp_path / "f").write_bytes(b"".join(arrays.dump(made)))
+    got = arrays.load(str(tmp_path / "f"))
+    assert {k: v.tolist() for k, v in got.items()} == {k: v.tolist() for k, v in made.items()}
