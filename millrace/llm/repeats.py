@@ -5,16 +5,23 @@
    phrases go unshuffled: nothing in them repeats.
 2. Parse order: equal phrases are grouped to their first place in the corpus.  Every other place of a
    phrase is removed whole.
-3. Dictionary order: distinct phrases that share a trigger are laid out together, and their 100-byte
-   suffixes sorted; in a run of equal suffixes, all but the one whose phrase comes first in the corpus go.
+3. Dictionary and parse combine, a trigger's class at a time (equal strings are always in one class): the
+   class's phrases are ranked by first place, which is the suffix order of the parse as far as it decides
+   between equal strings; their suffixes are sorted by bytes, then by that rank; of a run of equal suffixes
+   all but the first in corpus order go.
 
 Minima are aggregated before they are shuffled; phrases of one trigger beyond HOT are compared by hashed
-windows grouped the same way instead of in one task.  The full strings are compared in step 3, 64-bit
-trigger and phrase hashes in steps 1 and 2 (a false match needs both to collide).
+windows grouped the same way instead of in one task.
 
-Input cases: null or short text loses nothing; a null doc_id sorts first; doc_id should be unique: rows
-that repeat a doc_id and its text count as one document, each with that document's result; an empty
-table gives an empty table; other columns are ignored.
+What is compared: the strings themselves in step 3.  In step 2 phrases are equal if their triggers' 64-bit
+hashes and, by another alphabet, 64-bit hashes of the whole phrase are; comparing bytes there
+would shuffle each repeated phrase, over twice the input.  Among p phrases of which each shares a trigger
+with c others, p c / 2**65 false matches are expected: under 1e-6 for 1e11 phrases and c = 100.
+
+Input cases: null or short text loses nothing; a null doc_id sorts first; an empty table gives an empty
+table; other columns are ignored.  Rows are known by (doc_id, text): rows equal in both count as one
+document, each with that document's result; rows that share an id only are documents of their own, ordered
+by a hash of their texts (XXH64, signed), each with its own result.  A doc_id that isn't a whole number raises.
 """
 
 from __future__ import annotations
@@ -26,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import NULL_ID, id_key, partitions, save, schema_of, small_batches
+from .common import id_key, partitions, save, schema_of, small_batches, tidy
 from .parsing import MOST, SIZE, Hashes, mix, phrases
 
 #: More distinct phrases than this with one trigger are compared by a shuffle of windows.
@@ -67,7 +74,7 @@ def _parsed(batches):
         kmers = hashes.sliding(32)
         trigger, first, last = phrases(cuts, kmers, len(data))
         text = np.searchsorted(cuts, first, "right") - 1
-        core, whole = kmers[trigger], hashes.of(first, last + SIZE)
+        core, whole = kmers[trigger], Hashes(data, 1).of(first, last + SIZE)
         # a phrase seen before in the same text is a repeat whatever the corpus holds
         seen = mix(core ^ mix(whole ^ text.astype(np.uint64)))
         _, at = np.unique(seen, return_index=True)
@@ -90,7 +97,14 @@ def _place(key: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _suffix_repeats(key: np.ndarray, at: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(phrase index, window) of every window whose 100 bytes come earlier, in corpus order, among the phrases given."""
+    """(phrase index, window) of every window whose 100 bytes come earlier, in corpus order, among the phrases given.
+
+    Phrases of several triggers may be given together: suffixes of different classes are never equal.
+    """
+    # the parse: each phrase's rank by its first place
+    rank = np.empty(len(texts), np.int64)
+    rank[np.lexsort((at, key))] = np.arange(len(texts))
+    # the dictionary: suffixes of all phrases, of which those with a hash of their own need no sorting
     data = np.frombuffer(b"".join(texts) + bytes(8), np.uint8)
     sizes = np.array([len(t) for t in texts], np.int64)
     base = np.r_[0, np.cumsum(sizes)[:-1]]
@@ -111,7 +125,7 @@ def _suffix_repeats(key: np.ndarray, at: np.ndarray, texts: list[bytes]) -> tupl
     for j in range(8):
         words = (words << np.uint64(8)) | data[j : len(data) - 8 + j]
     cols = [words[start + o] for o in (*range(0, SIZE - 8, 8), SIZE - 8)]
-    order = np.lexsort((at[which] + window, key[which], *cols[::-1]))
+    order = np.lexsort((window, rank[which], *cols[::-1]))
     equal = np.ones(len(order) - 1, bool)
     for c in cols:
         equal &= c[order][1:] == c[order][:-1]
@@ -129,16 +143,30 @@ def _runs(key: np.ndarray, at: np.ndarray, which: np.ndarray, window: np.ndarray
     return _batch(key=key[which[first]], at=at[which[first]] + window[first], n=n)
 
 
-def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
-    """(key, at, n): runs of n windows of 100 bytes, from byte `at` of document `key`, that all start earlier too."""
-    spark = docs.sparkSession
-    src = docs.select(id_key(id_col).alias("key"), F.col(text_col).cast("binary").alias("text"))
+def ranked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, key, text): key is a long of its own for each (doc_id, text), in corpus order.
+
+    That is the id itself while ids are unique, which one count over ids tells.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), id_key(id_col).alias("key"), F.col(text_col).cast("binary").alias("text"))
+    if rows.groupBy("key").count().where("count > 1").isEmpty():
+        return rows
+    rows = rows.withColumn("same", F.xxhash64("text"))
+    names = rows.select("key", "same").distinct().repartitionByRange(partitions(docs.sparkSession), "key", "same").sortWithinPartitions("key", "same")
+    names = save(names.withColumn("place", F.monotonically_increasing_id()), "places")
+    return save(rows.join(names, ["key", "same"]).select("doc_id", F.col("place").alias("key"), "text"), "ranked")
+
+
+def repeated_windows(src: DataFrame, hot: int = HOT) -> DataFrame:
+    """(key, at, n): runs of n windows of 100 bytes, from byte `at` of text `key`, that all start earlier too."""
+    spark = src.sparkSession
+    src = src.select("key", "text")
 
     def triggers(batches):
         for _, _, _, _, _, core, _, again in _parsed(batches):
             yield _batch(core=core[~again])
 
-    twice = save(src.mapInArrow(triggers, schema_of(core="long")).groupBy("core").count().where("count > 1").select("core"), "triggers")
+    twice = save(src.mapInArrow(tidy(triggers), schema_of(core="long")).groupBy("core").count().where("count > 1").select("core"), "triggers")
     repeated = bloom.build(twice, twice.count())
 
     def candidates(batches):
@@ -147,7 +175,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             keep = again | bloom.contains(field, core)
             yield _batch(core=core[keep], whole=whole[keep], key=key[keep], at=at[keep], n=n[keep], again=again[keep])
 
-    found = save(src.mapInArrow(candidates, schema_of(core="long", whole="long", key="long", at="long", n="long", again="boolean")), "phrases")
+    found = save(src.mapInArrow(tidy(candidates), schema_of(core="long", whole="long", key="long", at="long", n="long", again="boolean")), "phrases")
     places = found.where("not again")
     # one place a document and phrase, so the smallest key has one offset
     firsts = save(places.groupBy("core", "whole").agg(F.min("key").alias("k"), F.min_by("at", "key").alias("a"), F.count("*").alias("times")), "firsts")
@@ -164,7 +192,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         for b in batches:
             yield _batch(h=_place(b.column(0).to_numpy(), b.column(1).to_numpy()))
 
-    wanted = bloom.build(shared.select("key", "at").mapInArrow(hashed, schema_of(h="long")), n_shared)
+    wanted = bloom.build(shared.select("key", "at").mapInArrow(tidy(hashed), schema_of(h="long")), n_shared)
 
     def dictionary(batches):
         import pyarrow as pa
@@ -176,7 +204,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             texts = [raw[a : a + m + SIZE - 1] for a, m in zip(first[keep].tolist(), n[keep].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(core[keep].view(np.int64)), pa.array(key[keep]), pa.array(at[keep]), pa.array(texts, pa.binary())], names=["core", "key", "at", "bytes"])
 
-    entries = src.mapInArrow(dictionary, schema_of(core="long", key="long", at="long", bytes="binary"))
+    entries = src.mapInArrow(tidy(dictionary), schema_of(core="long", key="long", at="long", bytes="binary"))
     crowded = save(several.where(F.col("m") > hot).select("core"), "crowded")
     if not crowded.isEmpty():
         entries = save(entries, "entries")
@@ -209,7 +237,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             yield done(held)
 
     dealt = entries.repartition(partitions(spark), "core").sortWithinPartitions("core")
-    return removed.unionByName(dealt.mapInArrow(resolve, schema_of(key="long", at="long", n="long")))
+    return removed.unionByName(dealt.mapInArrow(tidy(resolve), schema_of(key="long", at="long", n="long")))
 
 
 def _crowded_repeats(entries: DataFrame) -> DataFrame:
@@ -223,7 +251,7 @@ def _crowded_repeats(entries: DataFrame) -> DataFrame:
                 n = len(t) - SIZE + 1
                 yield _batch(h=Hashes(data).sliding(SIZE), g=Hashes(data, 1).sliding(SIZE), key=np.full(n, k), at=a + np.arange(n))
 
-    rows = save(entries.mapInArrow(windows, schema_of(h="long", g="long", key="long", at="long")), "windows")
+    rows = save(entries.mapInArrow(tidy(windows), schema_of(h="long", g="long", key="long", at="long")), "windows")
     first = rows.groupBy("h", "g").agg(F.min(F.struct("key", "at")).alias("f"), F.count("*").alias("times")).where("times > 1")
     return rows.join(first, ["h", "g"]).where("key <> f.key or at <> f.at").select("key", "at", F.lit(1).cast("long").alias("n"))
 
@@ -232,12 +260,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """doc_id, n_bytes, n_removed, n_spans, kept (binary: the remaining bytes) of every document."""
     import pyarrow as pa
 
-    runs = repeated_windows(docs, id_col, text_col, hot).groupBy("key").agg(F.collect_list("at").alias("ats"), F.collect_list("n").alias("ns"))
-    rows = docs.select(id_key(id_col).alias("key"), F.col(text_col).cast("binary").alias("text")).join(runs, "key", "left")
+    src = ranked(docs, id_col, text_col)
+    runs = repeated_windows(src, hot).groupBy("key").agg(F.collect_list("at").alias("ats"), F.collect_list("n").alias("ns"))
+    rows = src.join(runs, "key", "left")
 
     def cut(batches):
         for b in batches:
-            keys, texts, ats, ns = (b.column(c).to_pylist() for c in ("key", "text", "ats", "ns"))
+            texts, ats, ns = (b.column(c).to_pylist() for c in ("text", "ats", "ns"))
             out = []
             for t, a, m in zip(texts, ats, ns, strict=True):
                 t = t or b""
@@ -251,9 +280,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 gone = np.cumsum(edge[:-1]) > 0
                 out.append((len(t), int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()), np.frombuffer(t, np.uint8)[~gone].tobytes()))
             cols = list(zip(*out, strict=True)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array([None if k == NULL_ID else k for k in keys], pa.int64()), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return rows.select("key", "text", "ats", "ns").mapInArrow(cut, schema_of(doc_id="long", n_bytes="long", n_removed="long", n_spans="long", kept="binary"))
+    return rows.select("doc_id", "text", "ats", "ns").mapInArrow(tidy(cut), schema_of(doc_id="long", n_bytes="long", n_removed="long", n_spans="long", kept="binary"))
 
 
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,18 +290,29 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def brute_force(docs: list[tuple[int, str | None]], size: int = SIZE) -> list[tuple[int, int, int, int, str]]:
+def brute_force(docs: list[tuple[int | None, str | None]], size: int = SIZE) -> list[tuple[int | None, int, int, int, str]]:
     """The contract by a set of all strings seen so far, for tests."""
+    from xxhash import xxh64_intdigest
+
+    def place(row):
+        h = xxh64_intdigest((row[1] or "").encode(), 42)
+        return (row[0] is not None, row[0] or 0, h - (1 << 64) * (h >> 63), row[1] or "")
+
     seen: set[bytes] = set()
-    out = []
-    for doc, text in sorted(docs):
+    out, now, before = [], None, set()
+    for doc, text in sorted(docs, key=place):
         t = (text or "").encode()
+        if (doc, t) != now:
+            seen |= before
+            now, before = (doc, t), set()
         gone = np.zeros(len(t), bool)
+        own: set[bytes] = set()
         for a in range(len(t) - size + 1):
             x = t[a : a + size]
-            if x in seen:
+            if x in seen or x in own:
                 gone[a : a + size] = True
-            seen.add(x)
+            own.add(x)
+        before |= own
         spans = int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
         out.append((doc, len(t), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(t, np.uint8)[~gone].tobytes()).hexdigest()))
     return out

@@ -63,3 +63,23 @@ def test_odd_documents(odd_docs, no_docs):
     got = rp.remove_repeats(odd_docs).collect()
     assert len(got) == 9 and {r.n_removed for r in got if r.doc_id != 5} == {0}
     assert next(r for r in got if r.doc_id == 5).n_removed > 0 and rp.remove_repeats(no_docs).count() == 0
+
+
+def test_rows_that_share_an_id(spark):
+    rng = random.Random(9)
+    block, other = ("".join(rng.choices("abcdefgh", k=700)) for _ in range(2))
+    docs = [(1, "x" * 50 + block), (1, "short"), (2, block[100:]), (2, other), (2, other), (None, block[:300]), (None, other + block), (None, None), (3, other[:250]), (None, "")]
+    docs += [(None, "".join(rng.choices("abcdefgh", k=rng.randint(0, 400))) + other[: rng.randint(0, 500)]) for _ in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = sorted((tuple(r) for r in rp.remove_repeats(df).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()), key=repr)
+    assert got == sorted(rp.brute_force(docs), key=repr)
+    assert sum(r[2] for r in got) > 2000
+
+
+def test_parse_rank_decides_between_equal_suffixes():
+    rng = random.Random(3)
+    same = "".join(rng.choices("abcdefgh", k=130)).encode()
+    texts = [b"q" * 20 + same, same + b"z", same]
+    which, window = rp._suffix_repeats(np.array([7, 2, 7]), np.array([0, 50, 900]), texts)
+    got = {(int(i), int(w)) for i, w in zip(which, window, strict=True)}
+    assert got == {(0, 20 + w) for w in range(31)} | {(2, w) for w in range(31)}
