@@ -66,3 +66,15 @@ def contains(field: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     for at in _places(hashes, len(field) * 8):
         ok &= (field[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & np.uint8(1)).astype(bool)
     return ok
+
+
+def may_hold(uri: str):
+    """A Column function: whether the filter may hold a long."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    @F.pandas_udf("boolean")
+    def check(hashes: pd.Series) -> pd.Series:
+        return pd.Series(contains(load(uri), hashes.to_numpy(np.int64).view(np.uint64)))
+
+    return check
