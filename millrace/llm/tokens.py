@@ -14,8 +14,8 @@ import re
 from .common import kept
 
 #: Bytes of pieces, and of pre-tokens, that a worker keeps in each of two generations.
-MEMO_BYTES = 24 << 20
-TOKEN_BYTES = 12 << 20
+MEMO_BYTES = 48 << 20
+TOKEN_BYTES = 24 << 20
 #: Bytes of an entry besides its key and ids: two objects and their place in a table.
 ENTRY = 190
 #: Pieces over this many characters aren't kept.
