@@ -8,8 +8,9 @@
 * Likeness: for each filter of the shorter chain, the best bit overlap with a filter of the other,
   normalised by what chance and the smaller filter allow; the mean of these.
 
-Neighbours in id order come from ranges of ids: each range is one group, and the first document of the
-next range is sent along as a ghost row, so no global sort or single task is needed.
+Neighbours in id order come from ranges of ids: each range is one partition, and the first document of the
+next range is sent along as a ghost row, so no global sort or single task is needed.  Texts are worked on in
+pieces, so memory is bounded by a text and its digest, not by arrays over all its features.
 
 Input cases: null is the empty text, which has no features and an empty filter (like only to another
 empty one); texts shorter than a window are one feature; a null doc_id is the smallest; rows that repeat
@@ -37,6 +38,8 @@ FILTER_BITS = 2048
 FEATURES = 160
 PROBES = 5
 LEVELS = 1001
+#: Features of one text worked on at a time: longer texts are taken in overlapping pieces.
+PIECE = 1 << 19
 _COST = np.round(np.arange(WINDOW + 1) * np.log2(np.maximum(1, np.arange(WINDOW + 1))) * 65536).astype(np.int64)
 
 
@@ -68,6 +71,11 @@ def _flat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def level_counts(texts: list[bytes]) -> np.ndarray:
+    """Features of each entropy level, over all texts."""
+    long = [t for t in texts if len(t) >= PIECE + WINDOW]
+    if long:
+        cut = [t[a : a + PIECE + WINDOW - 1] for t in long for a in range(0, len(t) - WINDOW + 1, PIECE)]
+        return sum((level_counts([c]) for c in cut), level_counts([t for t in texts if len(t) < PIECE + WINDOW]))
     data, start, n = _flat(texts)
     if not n.sum():
         return np.zeros(LEVELS, np.int64)
@@ -82,12 +90,11 @@ def rarity(counts: np.ndarray) -> np.ndarray:
     return rank
 
 
-def digest(texts: list[bytes], rank: np.ndarray) -> list[np.ndarray]:
-    """Chain of filters of each text, as (filters, FILTER_BITS / 64) words."""
+def _votes(texts: list[bytes], rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Votes of all features of texts laid end to end, and the number of features of each."""
     data, start, n = _flat(texts)
-    words = FILTER_BITS // 64
     if not n.sum():
-        return [np.zeros((1, words), np.uint64) for _ in texts]
+        return np.empty(0, np.int64), n
     doc = np.repeat(np.arange(len(texts)), n)
     at = np.repeat(start - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
     # features of each text, then room so that no vote reaches into the next one
@@ -99,23 +106,60 @@ def digest(texts: list[bytes], rank: np.ndarray) -> list[np.ndarray]:
         step = min(have, NEAR - have)
         best = np.minimum(best[:-step], best[step:])
         have += step
-    votes = np.bincount(best[slot] & 0xFFFFFFFF, minlength=len(at))
-    chosen = votes >= VOTES
-    empty = np.flatnonzero((np.bincount(doc[chosen], minlength=len(texts)) == 0) & (n > 0))
+    return np.bincount(best[slot] & 0xFFFFFFFF, minlength=len(at)), n
+
+
+def selected(text: bytes, rank: np.ndarray) -> np.ndarray:
+    """Selected features (their places) of one text of any length, in pieces.
+
+    A feature's votes come from the NEAR - 1 features on either side, so a piece that far over its ends tells them.
+    """
+    n = max(0, max(WINDOW, len(text)) - WINDOW + 1) if text else 0
+    places, most, first = [], -1, 0
+    for a in range(0, n, PIECE):
+        lo, hi = max(0, a - NEAR + 1), min(n, a + PIECE + NEAR - 1)
+        votes = _votes([text[lo : hi + WINDOW - 1]], rank)[0][a - lo : a - lo + PIECE]
+        places.append(a + np.flatnonzero(votes >= VOTES))
+        if len(votes) and votes.max() > most:
+            most, first = int(votes.max()), a + int(votes.argmax())
+    found = np.concatenate(places) if places else np.empty(0, np.int64)
+    return found if len(found) or not n else np.array([first])
+
+
+def digest(texts: list[bytes], rank: np.ndarray) -> list[np.ndarray]:
+    """Chain of filters of each text, as (filters, FILTER_BITS / 64) words."""
+    words = FILTER_BITS // 64
+    short = [t if len(t) < PIECE + WINDOW else b"" for t in texts]
+    votes, n = _votes(short, rank)
     first = np.r_[0, np.cumsum(n)[:-1]]
-    for k in empty:
-        chosen[first[k] + int(votes[first[k] : first[k] + n[k]].argmax())] = True
-    pos, own = at[chosen], doc[chosen]
-    cells = data[pos[:, None] + np.arange(WINDOW)].view("<u8").astype(np.uint64)
-    h = np.zeros(len(pos), np.uint64)
+    own = np.repeat(np.arange(len(texts)), n)
+    hit = np.flatnonzero(votes >= VOTES)
+    owners, places = [own[hit]], [hit - first[own[hit]]]
+    none = (np.bincount(own[hit], minlength=len(texts)) == 0) & (n > 0)
+    for k in np.flatnonzero(none):
+        owners.append(np.array([k]))
+        places.append(np.array([votes[first[k] : first[k] + n[k]].argmax()]))
+    for k, t in enumerate(texts):
+        if len(t) >= PIECE + WINDOW:
+            got = selected(t, rank)
+            owners.append(np.full(len(got), k))
+            places.append(got)
+    owner, place = np.concatenate(owners), np.concatenate(places)
+    if not len(owner):
+        return [np.zeros((1, words), np.uint64) for _ in texts]
+    order = np.lexsort((place, owner))
+    owner, place = owner[order], place[order]
+    data, start, _ = _flat(texts)
+    cells = data[(start[owner] + place)[:, None] + np.arange(WINDOW)].view("<u8").astype(np.uint64)
+    h = np.zeros(len(owner), np.uint64)
     for c in range(WINDOW // 8):
         h = mix(h ^ cells[:, c] ^ np.uint64(c + 1))
     g = mix(h) | np.uint64(1)
-    count = np.bincount(own, minlength=len(texts))
-    nth = np.arange(len(own)) - np.repeat(np.r_[0, np.cumsum(count)[:-1]], count)
+    count = np.bincount(owner, minlength=len(texts))
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
     chain = np.maximum(1, -(-count // FEATURES))
     base = np.r_[0, np.cumsum(chain)[:-1]]
-    row = (base[own] + nth // FEATURES) * FILTER_BITS
+    row = (base[owner] + nth // FEATURES) * FILTER_BITS
     bits = np.zeros(int(chain.sum()) * FILTER_BITS, np.uint8)
     for p in range(PROBES):
         bits[row + ((h + np.uint64(p) * g) >> np.uint64(53)).astype(np.int64)] = 1
@@ -172,7 +216,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """
     spark = docs.sparkSession
     rows = docs.select(id_key(id_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    n = 2 * partitions(spark)
+    n = partitions(spark)
     splits = np.array(id_splits(rows, F.col("key"), n), np.int64)
 
     @F.pandas_udf("int")
@@ -186,7 +230,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     ghosts = spark.createDataFrame(target, "key long, part int")  # at most n rows
     more = parted.drop("part").join(F.broadcast(ghosts), "key").select("key", "text", "part", F.lit(1).alias("ghost"))
     every = parted.select("key", "text", "part", F.lit(0).alias("ghost")).unionByName(more)
-    return every.repartition(partitions(spark), "part").sortWithinPartitions("part", "ghost", F.desc("key"), "text"), len(heads)
+    return every.repartitionById(len(splits) + 1, "part").sortWithinPartitions("part", "ghost", F.desc("key"), "text"), len(heads)
 
 
 def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank: np.ndarray | None = None) -> DataFrame:
