@@ -9,11 +9,12 @@ blocks is less than one block away from its weight.  When a source has run out i
 the others share them in the same proportions.  Every row is kept exactly once.
 
 A source's rows are numbered in the order of md5(seed:id), without sorting a source in one task: counts by
-(source, digest prefix) give offsets, and rows are numbered inside such cells, whose size doesn't depend
-on how large a source is.  The dense position is found in the same way over ranges of slots.
+(source, digest prefix) give offsets, and rows are numbered inside such cells.  The prefix grows with the
+largest source, and a cell that is too large all the same (one id, or null, in very many rows) is cut by a
+hash of the whole row.  The dense position is found in the same way over ranges of slots of a fixed width.
 
 Input cases: a null source is a source of its own; a null id is ordered as an empty text; rows that repeat
-an id are ordered arbitrarily between themselves but all kept; an empty table gives an empty table; columns
+an id are ordered by a hash of the row between themselves, and all kept; an empty table gives an empty table; columns
 that clash with the added ones are replaced.
 """
 
@@ -26,10 +27,11 @@ from .common import save
 
 #: Slots in a cycle: the resolution of weights.  Raised where there are many sources.
 CYCLE = 1000
-#: Rows in one numbering cell, on average.
+#: Rows in one numbering cell, on average, and at which a cell is cut further.
 CELL = 50_000
-#: Ranges of slots that positions are counted in.
-BINS = 4096
+HOT_CELL = 1_000_000
+#: Ranges of slots counted together when their counts are summed up.
+TOP = 4096
 
 
 def source_weights(counts: DataFrame, weights: dict[str, float] | None, cycle: int) -> DataFrame:
@@ -86,15 +88,21 @@ def _cell(digest: Column, digits: int) -> Column:
     return F.substring(digest, 1, digits)
 
 
+def _fine(digest: Column, tail: Column, digits: int = 4) -> Column:
+    """Cells of a cell that is too large: the whole digest and some digits of the row's hash."""
+    return F.concat(digest, F.substring(tail, 1, digits))
+
+
 def mix_sources(
-    docs: DataFrame, weights: dict[str, float] | None = None, source_col: str = "source", id_col: str = "doc_id", block: int = 1, seed: int = 0, cycle: int = CYCLE,
+    docs: DataFrame, weights: dict[str, float] | None = None, source_col: str = "source", id_col: str = "doc_id", block: int = 1, seed: int = 0, cycle: int = CYCLE, hot_cell: int = HOT_CELL,
 ) -> DataFrame:
     """All rows with source_block, release, deadline, slot (orders the mix; one a block) and position (dense, from 0)."""
     added = ("source_block", "release", "deadline", "slot", "position")
     kept = [c for c in docs.columns if c not in added]
     src = F.coalesce(F.concat(F.lit("s:"), F.col(source_col).cast("string")), F.lit("null"))
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    keyed = docs.select(*kept).withColumns({"_src": src, "_digest": digest})
+    tail = F.lower(F.lpad(F.hex(F.xxhash64(*[F.col(f"`{c}`") for c in kept])), 16, "0"))
+    keyed = docs.select(*kept).withColumns({"_src": src, "_digest": digest, "_tail": tail})
 
     coarse = save(keyed.groupBy(F.col("_src").alias("src"), _cell(F.col("_digest"), 3).alias("p3")).count(), "cells")
     sizes = coarse.groupBy("src").agg(F.sum("count").alias("n"))
@@ -102,8 +110,15 @@ def mix_sources(
     if not told["n"]:
         return docs.select(*kept, *(F.lit(None).cast("long").alias(c) for c in added))
     cycle = max(cycle, 4 * told["s"])
-    digits = 3 if told["most"] <= 4096 * CELL else 4
-    cells = coarse if digits == 3 else keyed.groupBy(F.col("_src").alias("src"), _cell(F.col("_digest"), digits).alias("p3")).count()
+    digits = 3
+    while told["most"] > 16**digits * CELL:
+        digits += 1
+    cells = coarse if digits == 3 else save(keyed.groupBy(F.col("_src").alias("src"), _cell(F.col("_digest"), digits).alias("p3")).count(), "cells")
+    keyed = keyed.withColumn("_cell", _cell(F.col("_digest"), digits))
+    hot = save(cells.where(F.col("count") > hot_cell).select(F.col("src").alias("_src"), F.col("p3").alias("_cell")), "hot")
+    if not hot.isEmpty():
+        keyed = keyed.join(hot.withColumn("_hot", F.lit(True)), ["_src", "_cell"], "left").withColumn("_cell", F.when(F.col("_hot"), _fine(F.col("_digest"), F.col("_tail"))).otherwise(F.col("_cell"))).drop("_hot")
+        cells = keyed.groupBy(F.col("_src").alias("src"), F.col("_cell").alias("p3")).count()
     before = Window.partitionBy("src").orderBy("p3").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.select(F.col("src").alias("_src"), F.col("p3").alias("_cell"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
 
@@ -111,8 +126,8 @@ def mix_sources(
     offsets = save(cycle_offsets(table, cycle).join(table.select("src", "a"), "src").select(F.col("src").alias("_src"), F.col("j").alias("_j"), F.col("slot").alias("_at"), F.col("a").alias("_a")), "offsets")
     per = table.select(F.col("src").alias("_src"), F.col("a").alias("_w"))
 
-    inside = Window.partitionBy("_src", "_cell").orderBy("_digest", id_col)
-    numbered = keyed.withColumn("_cell", _cell(F.col("_digest"), digits)).withColumn("_row", F.row_number().over(inside))
+    inside = Window.partitionBy("_src", "_cell").orderBy("_digest", "_tail")
+    numbered = keyed.withColumn("_row", F.row_number().over(inside))
     numbered = numbered.join(cells, ["_src", "_cell"]).withColumn("_i", F.expr(f"(_row + _before - 1) div {block}"))
     # at most `cycle` and one row a source: sizes bounded by parameters
     slotted = numbered.join(F.broadcast(per), "_src").withColumn("_j", F.col("_i") % F.col("_w")).join(F.broadcast(offsets.drop("_a")), ["_src", "_j"])
@@ -124,23 +139,25 @@ def mix_sources(
         F.expr(f"((_i + 1) * {cycle} + _w - 1) div _w").alias("deadline"),
         (F.expr("_i div _w") * c + F.col("_at")).alias("slot"),
         "_digest",
+        "_tail",
     )
-    return _positions(out, id_col, _last_slot(table, block, cycle)).select(*kept, *added)
+    return _positions(out, block).select(*kept, *added)
 
 
-def _last_slot(table: DataFrame, block: int, cycle: int) -> int:
-    return table.agg(F.max(F.expr(f"((n + {block} - 1) div {block} + a - 1) div a"))).first()[0] * cycle
+def _positions(rows: DataFrame, block: int) -> DataFrame:
+    """Dense position by slot: counts in ranges of slots that hold CELL rows at most, then row numbers inside each.
 
-
-def _positions(rows: DataFrame, id_col: str, slots: int) -> DataFrame:
-    """Dense position by slot: counts in ranges of slots, then row numbers inside each."""
-    width = -(-slots // BINS)
-    binned = rows.withColumn("_bin", F.expr(f"slot div {width}"))
-    counts = save(binned.groupBy("_bin").count(), "bins")  # at most BINS rows
-    before = Window.partitionBy(F.lit(0)).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select("_bin", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy("_bin").orderBy("slot", "_digest", id_col)
-    return binned.join(F.broadcast(base), "_bin").withColumn("position", F.row_number().over(inside) + F.col("_base") - 1)
+    Counts are summed up in two levels, so one window sees a row for TOP ranges only.  The join and the numbering
+    share one partitioning, by range.
+    """
+    binned = rows.withColumn("_bin", F.expr(f"slot div {max(1, CELL // block)}"))
+    counts = save(binned.groupBy("_bin").count(), "bins").withColumn("_top", F.expr(f"_bin div {TOP}"))
+    before = lambda part, by: Window.partitionBy(part).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    upto = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
+    tops = counts.groupBy("_top").agg(F.sum("count").alias("_n")).select("_top", upto("_n", before(F.lit(0), "_top")).alias("_from"))
+    base = counts.join(tops, "_top").select("_bin", (F.col("_from") + upto("count", before("_top", "_bin"))).alias("_base"))
+    inside = Window.partitionBy("_bin").orderBy("slot", "_digest", "_tail")
+    return binned.join(base, "_bin").withColumn("position", F.row_number().over(inside) + F.col("_base") - 1)
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
