@@ -1,8 +1,9 @@
 """Operator 8: WARC archives with revisit records and a two-level capture index.
 
 * One job finds, for every payload digest that repeats, its smallest page id (minima before the shuffle).
-* Archives: a task a partition, rows sorted by page id, each record its own gzip member, so a record
-  can be read alone by offset and length, and a retried task writes the same bytes.
+* Archives: a task a range of reversed-host keys, each record its own gzip member, so a record can be read
+  alone by offset and length, and a retried task writes the same bytes.  As the index has the same order,
+  a part of it leads to few archives, read from front to back.
 * Index level 1: lines sorted by reversed-host key, in zlib blocks.  Level 2: a sparse directory, one
   line a block, in one file a part, found by the parts' first keys.  A lookup is two binary searches,
   one block and one range read.
@@ -22,15 +23,20 @@ import hashlib
 import zlib
 from urllib.parse import urlsplit
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from . import bloom
 from .common import NULL_ID, id_key, open_input, partitions, put_bytes, save, schema_of, shared_folder, tidy
 
 #: Payloads of fewer bytes are never revisits.
 LEAST_BYTES = 100
 #: Index lines in one block.
 LINES = 256
+#: Revisits that are broadcast rather than met through a Bloom filter: a few megabytes.
+SMALL = 50_000
 #: Fixed capture time: the tables carry none.
 DATE = "2024-01-01T00:00:00Z"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
@@ -57,6 +63,11 @@ def _port(u) -> int | None:
         return None
 
 
+@F.pandas_udf(T.StringType())
+def _surts(urls: pd.Series) -> pd.Series:
+    return urls.map(lambda u: surt(None if pd.isna(u) else u))
+
+
 def record(page: int, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
     """One WARC/1.1 record as a gzip member; a revisit holds the HTTP head only."""
     head = _HTTP % len(payload)
@@ -110,7 +121,15 @@ def write_warc(pages: DataFrame, folder: str | None = None) -> tuple[str, list[t
     folder = folder or shared_folder(spark, "warc")
     n = partitions(spark)
     rows = pages.select(id_key("page_id").alias("key"), "url", F.coalesce(F.col("html"), F.lit("")).alias("html"), F.sha2(F.coalesce(F.col("html"), F.lit("")), 256).alias("digest"))
-    rows = rows.join(revisits(pages), ["key", "digest"], "left").sortWithinPartitions("key", "url", "digest")
+    again = save(revisits(pages), "revisits")
+    k = again.count()
+    if k <= SMALL:
+        rows = rows.join(F.broadcast(again), ["key", "digest"], "left")
+    else:
+        clear, suspects = bloom.split(rows, again, ["key", "digest"], k)
+        rows = clear.withColumn("refers_to", F.lit(None).cast("long")).unionByName(suspects.join(again, ["key", "digest"], "left"))
+    by = ["surt", "key", "digest"]
+    rows = rows.withColumn("surt", _surts("url")).repartitionByRange(n, *by).sortWithinPartitions(*by, "url")
 
     def archive(batches):
         from pyspark import TaskContext
@@ -120,9 +139,9 @@ def write_warc(pages: DataFrame, folder: str | None = None) -> tuple[str, list[t
         def chunks():
             at = 0
             for b in batches:
-                for key, url, html, digest, to in zip(*(b.column(c).to_pylist() for c in ("key", "url", "html", "digest", "refers_to")), strict=True):
+                for place, key, url, html, digest, to in zip(*(b.column(c).to_pylist() for c in ("surt", "key", "url", "html", "digest", "refers_to")), strict=True):
                     m = record(key, url, html.encode(), digest, to)
-                    told.append((surt(url), key, part, at, len(m)))
+                    told.append((place, key, part, at, len(m)))
                     at += len(m)
                     yield m
 
@@ -140,7 +159,7 @@ def write_warc(pages: DataFrame, folder: str | None = None) -> tuple[str, list[t
             cols = list(zip(*told[lo : lo + 10_000], strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *(pa.array(c, pa.int64()) for c in cols[1:])], names=["surt", "key", "part", "at", "size"])
 
-    lines = save(rows.select("key", "url", "html", "digest", "refers_to").mapInArrow(tidy(archive), schema_of(surt="string", key="long", part="long", at="long", size="long")), "captures")
+    lines = save(rows.select("surt", "key", "url", "html", "digest", "refers_to").mapInArrow(tidy(archive), schema_of(surt="string", key="long", part="long", at="long", size="long")), "captures")
 
     def index(batches):
         from pyspark import TaskContext
