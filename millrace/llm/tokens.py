@@ -20,12 +20,21 @@ TOKEN_BYTES = 24 << 20
 ENTRY = 190
 #: Pieces over this many characters aren't kept.
 LONG = 40
-#: A space that may not be cut at: white space beside it.
-_JOINED = re.compile(r" \s|\s ")
+#: White space other than space and line feed, and the pairs with those two that may not be cut between.
+_SPACES = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_SPACE = re.compile(r"\s")
+_ASCII = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 _ODD = re.compile("[<\x1c-\x1f\x85\u0530-\U0010ffff]")
 _PLAIN_END = frozenset(".,;:!?")
 
 
+def joined(text: str) -> bool:
+    """Whether a space stands beside white space, or at an end; most texts are told by a few quick searches."""
+    if text[0] == " " or text[-1] == " " or "  " in text or " \n" in text or "\n " in text:
+        return True
+    return any(c in text for c in _ASCII) if text.isascii() else _SPACES.search(text) is not None
+
+
 def pieces(text: str) -> list[str]:
     """Cut before every single space with a non-space on both sides; "".join(pieces) is the text."""
     parts = text.split(" ")
@@ -89,8 +98,19 @@ class Encoder:
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.codes = [i.to_bytes(self.width, "little") for i in range(self.size)]
+        import json
+
         import regex
         from public_tokenizers import PATTERN
+        from public_tokenizers import path as installed
+
+        def kind(t):
+            c = json.loads(t.to_str())
+            marked = all("<" in x["content"] and not _SPACE.search(x["content"]) for x in c["added_tokens"])
+            return marked, c["pre_tokenizer"], c["normalizer"], {k: v for k, v in c["model"].items() if k not in ("vocab", "merges")}
+
+        #: Pieces are cut by the installed byte-level BPE's rules; a tokenizer with others encodes whole texts.
+        self.cuts = kind(self.tokenizer) == kind(Tokenizer.from_file(installed("byte_bpe_50k.json")))
 
         self.split = regex.compile(PATTERN).findall
         self.memo = Memo(MEMO_BYTES)  # of " " + key
@@ -100,14 +120,25 @@ class Encoder:
         """The library's own path, for pieces out of the ordinary."""
         return b"".join(i.to_bytes(self.width, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def _bpe(self, token: str) -> bytes:
+        word = token.encode().decode("latin-1").translate(self.letters)
+        return b"".join([self.codes[t.id] for t in self.model.tokenize(word)])
+
     def _pre_token(self, token: str) -> bytes:
         got = self.tokens.get(token)
         if got is None:
-            word = token.encode().decode("latin-1").translate(self.letters)
-            got = b"".join([self.codes[t.id] for t in self.model.tokenize(word)])
+            got = self._bpe(token)
             self.tokens.put(token, got)
         return got
 
+    def _word(self, part: str) -> bytes:
+        """ids of " " + part for letters alone; plain words are pieces, and kept as such."""
+        got = self.memo.get(part)
+        if got is None:
+            got = self._bpe(" " + part)
+            self.memo.put(part, got)
+        return got
+
     def first(self, part: str) -> bytes:
         """ids of a text's first piece, which has no space before it."""
         if not part or _ODD.search(part):
@@ -117,9 +148,9 @@ class Encoder:
     def piece(self, part: str) -> bytes:
         """ids of " " + part, where part is not empty and starts and ends with a non-space."""
         if part.isalpha():
-            return self._pre_token(" " + part)
+            return self._bpe(" " + part)
         if part[-1] in _PLAIN_END and part[:-1].isalpha():
-            return self._pre_token(" " + part[:-1]) + self._pre_token(part[-1])
+            return self._word(part[:-1]) + self._pre_token(part[-1])
         if _ODD.search(part):  # special tokens, unusual spaces, scripts whose tables may differ between libraries
             return self.whole(" " + part)
         return b"".join(map(self._pre_token, self.split(" " + part)))
@@ -127,10 +158,10 @@ class Encoder:
     def ids(self, texts: list[str | None]) -> list[bytes]:
         memo, out = self.memo, []
         for t in texts:
-            if not t:
-                out.append(b"")
+            if not t or not self.cuts:
+                out.append(self.whole(t) if t else b"")
                 continue
-            if _JOINED.search(t) or t[0] == " " or t[-1] == " ":
+            if joined(t):
                 first, *rest = pieces(t)
                 parts = [p[1:] for p in rest]
                 if any(p[-1:].isspace() for p in rest) or " " in "".join(parts):
@@ -140,15 +171,17 @@ class Encoder:
                 first, *parts = t.split(" ")
             memo.settle()
             self.tokens.settle()
-            young, extra = memo.young, {}
-            for p in set(parts).difference(young):
-                if (got := memo.get(p)) is None:
-                    got = self.piece(p)
-                    memo.put(p, got)
-                if len(p) > LONG:
-                    extra[p] = got
-            look = young.__getitem__ if not extra else lambda p, e=extra, y=young: e[p] if p in e else y[p]
-            out.append(self.first(first) + b"".join(map(look, parts)))
+            got = list(map(memo.young.get, parts))
+            at, n = -1, got.count(None)
+            for _ in range(n):
+                at = got.index(None, at + 1)
+                p = parts[at]
+                # the text may have had it before
+                if (x := memo.get(p)) is None:
+                    x = self.piece(p)
+                    memo.put(p, x)
+                got[at] = x
+            out.append(self.first(first) + b"".join(got))
         return out
 
 
