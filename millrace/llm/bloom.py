@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import kept, open_input, partitions, put_bytes, save, schema_of, shared_folder, tidy
+from .common import kept, local_path, open_input, partitions, put_bytes, save, schema_of, shared_folder, tidy
 
 PROBES = 4
 #: Bits a key, while the whole stays under MOST_BITS (128 MB).
@@ -55,12 +55,20 @@ def build(hashes: DataFrame, n: int) -> str:
     return f"{folder}/whole"
 
 
-@kept
-def load(uri: str) -> np.ndarray:
+def read(uri: str) -> np.ndarray:
+    """A filter's bytes, mapped where the file is on a mount, so that tasks of a machine share them."""
+    path = local_path(uri)
+    if path is not None:
+        return np.memmap(path, np.uint8, "r")
     with open_input(uri) as f:
         return np.frombuffer(f.read(), np.uint8)
 
 
+@kept
+def load(uri: str) -> np.ndarray:
+    return read(uri)
+
+
 def contains(field: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     ok = np.ones(len(hashes), dtype=bool)
     for at in _places(hashes, len(field) * 8):
@@ -68,6 +76,14 @@ def contains(field: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return ok
 
 
+def split(rows: DataFrame, keys: DataFrame, on: list[str], n: int) -> tuple[DataFrame, DataFrame]:
+    """(rows whose keys are surely not in a saved table of n keys, the others): only the others need a join."""
+    from pyspark.sql import functions as F
+
+    marked = rows.withColumn("_suspect", may_hold(build(keys.select(F.xxhash64(*on)), n))(F.xxhash64(*on)))
+    return marked.where("not _suspect").drop("_suspect"), marked.where("_suspect").drop("_suspect")
+
+
 def may_hold(uri: str):
     """A Column function: whether the filter may hold a long."""
     import pandas as pd
