@@ -7,6 +7,7 @@ costs time, never rows.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 
 from .common import kept, local_path, open_input, partitions, put_bytes, save, schema_of, shared_folder, tidy
@@ -86,7 +87,6 @@ def split(rows: DataFrame, keys: DataFrame, on: list[str], n: int) -> tuple[Data
 
 def may_hold(uri: str):
     """A Column function: whether the filter may hold a long."""
-    import pandas as pd
     from pyspark.sql import functions as F
 
     @F.pandas_udf("boolean")
