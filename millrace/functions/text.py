@@ -149,10 +149,11 @@ def absolute_urls(page: pd.Series, base: pd.Series) -> pd.Series:
 
 
 def chunks_of(text: str, size: int = 20000) -> list[str]:
-    """Pieces of at most size characters, cut after a blank line, else a line end, in the last 15 %; joined they are the text."""
+    """Pieces of at most size characters, cut after a blank line, else a line end, in the last 15 % (rounded down); joined they are the text."""
     size, out, at = max(100, min(200000, size)), [], 0
     while len(text) - at > size:
-        low, end = at + int(size * 0.85), at + size
+        end = at + size
+        low = max(at + 1, end - max(1, int(size * 0.15)))
         cut = next((p + len(s) for s in ("\n\n", "\n") if (p := text.rfind(s, low, end)) >= 0), end)
         out.append(text[at:cut])
         at = cut

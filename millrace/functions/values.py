@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 
 def compact_number(c: Column, missing: int | None = 0) -> Column:
-    """1.2K, 3M, 1,234 -> whole number; text without a number -> missing."""
-    t = F.replace(F.lower(F.trim(c)), F.lit(","), F.lit(""))
-    n = F.regexp_extract(t, r"(\d+(?:\.\d+)?)\s*([kmb]?)", 1).try_cast("double")
-    unit = F.regexp_extract(t, r"(\d+(?:\.\d+)?)\s*([kmb]?)", 2)
-    scale = F.when(unit == "k", 1e3).when(unit == "m", 1e6).when(unit == "b", 1e9).otherwise(1.0)
+    """1.2K, 3M, 1,234 -> whole number; text without a number -> missing.  A unit follows its number at once."""
+    t = F.replace(F.lower(c), F.lit(","), F.lit(""))
+    pattern = r"(\d+(?:\.\d+)?)(k|m)?"
+    n = F.regexp_extract(t, pattern, 1).try_cast("double")
+    unit = F.regexp_extract(t, pattern, 2)
+    scale = F.when(unit == "k", 1e3).when(unit == "m", 1e6).otherwise(1.0)
     return F.coalesce(F.floor(n * scale + 0.5), F.lit(missing)).cast("long")
 
 
@@ -131,7 +132,28 @@ def in_domain(h: Column, domain: Column) -> Column:
     return (h == domain) | F.endswith(h, F.concat(F.lit("."), domain))
 
 
-def request_key(method: Column, url: Column, operation: Column | None = None) -> Column:
-    """GraphQL operation name where there is one, else METHOD host+path."""
-    plain = F.concat(F.upper(method), F.lit(" "), host(url), F.regexp_replace(path(url), "/$", ""))
-    return F.coalesce(F.nullif(operation, F.lit("")), plain) if operation is not None else plain
+#: Ports that a URL of the scheme doesn't write.
+PORTS = {"http": "80", "https": "443"}
+
+
+def authority(c: Column) -> Column:
+    """Host and port of a URL, the scheme's own port left out."""
+    scheme = F.lower(F.regexp_extract(c, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1))
+    port = F.regexp_extract(c, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?[^/?#:]+:(\d+)", 1)
+    usual = F.lit(False)
+    for k, v in PORTS.items():
+        usual = usual | ((scheme == k) & (port == v))
+    return F.when((port == "") | usual, host(c)).otherwise(F.concat(host(c), F.lit(":"), port))
+
+
+def request_key(method: Column, url: Column) -> Column:
+    """GraphQL operation of the path where there is one, else METHOD host+path; what is no URL is cut at 120 characters."""
+    p = path(url)
+    p = F.when(p == "", "/").otherwise(p)
+    parts = F.filter(F.split(p, "/"), lambda x: x != "")
+    tail = F.slice(parts, F.array_position(parts, "graphql").cast("int") + 1, F.size(parts) + 1)
+    operation = F.when(F.contains(p, F.lit("/graphql/")) & (F.array_position(parts, "graphql") > 0), F.coalesce(F.get(tail, F.lit(1)), F.get(tail, F.lit(0))))
+    m = F.upper(method)
+    raw = F.when(F.length(url) <= 120, url).otherwise(F.concat(F.substring(url, 1, 119), F.lit("…")))
+    is_url = url.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?[^/?#:\s]+")
+    return F.when(is_url, F.coalesce(operation, F.concat(m, F.lit(" "), authority(url), p))).otherwise(F.concat(m, F.lit(" "), raw))

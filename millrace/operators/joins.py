@@ -45,18 +45,21 @@ def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colu
 def nearest(points: DataFrame, places: DataFrame, cutoff_km: float = 80.0) -> DataFrame:
     """points(id, lat, lng) with the nearest of places(name, plat, plng) within the cut-off.
 
-    Both sides are cut into cells as tall as the cut-off and, by latitude band, as wide; a point meets the
-    places of its own and the neighbouring cells only.
+    Both sides are cut into cells as tall as the cut-off and, by latitude band, at least as wide; a band is a
+    ring of whole cells, so cells on either side of the antimeridian are neighbours.  A point meets the places
+    of its own and the neighbouring cells only; around a pole a band is one cell.
     """
     tall = cutoff_km / 111.0
     row = lambda lat: F.floor(lat / tall).cast("long")
     # a band's width in degrees is that of its edge farthest from the equator, so a neighbour is never missed
     width = lambda r: F.least(F.lit(360.0), F.lit(tall) / F.greatest(F.cos(F.radians(F.least(F.lit(89.9), (F.greatest(F.abs(r), F.abs(r + 1)) + 1) * tall))), F.lit(1e-3)))
+    cells = lambda r: F.greatest(F.lit(1), F.floor(360.0 / width(r))).cast("long")
+    cell = lambda lng, r: F.floor(F.pmod(lng, F.lit(360.0)) / 360.0 * cells(r)).cast("long")
     p = points.withColumn("_r", row(F.col("lat")))
     p = p.withColumn("_cr", F.explode(F.array(*[F.col("_r") + d for d in (-1, 0, 1)])))
-    col = F.floor(F.col("lng") / width(F.col("_cr"))).cast("long")
-    p = p.withColumn("_cc", F.explode(F.array(*[col + d for d in (-1, 0, 1)])))
-    q = places.withColumn("_cr", row(F.col("plat"))).withColumn("_cc", F.floor(F.col("plng") / width(F.col("_cr"))).cast("long"))
+    own = cell(F.col("lng"), F.col("_cr"))
+    p = p.withColumn("_cc", F.explode(F.array_distinct(F.array(*[F.pmod(own + d, cells(F.col("_cr"))) for d in (-1, 0, 1)]))))
+    q = places.withColumn("_cr", row(F.col("plat"))).withColumn("_cc", F.pmod(cell(F.col("plng"), F.col("_cr")), cells(F.col("_cr"))))
     km = haversine_km(F.col("lat"), F.col("lng"), F.col("plat"), F.col("plng"))
     hits = p.join(q, ["_cr", "_cc"]).withColumn("km", km).where(F.col("km") <= cutoff_km)
     best = hits.groupBy("id").agg(F.min(F.struct("km", "name")).alias("_b"))

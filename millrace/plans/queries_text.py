@@ -15,10 +15,11 @@ from .registry import query
 _EPOCH = "unix_micros(cast(ts as timestamp)) / 1e6"
 
 
-@query("""SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 = 0 THEN floor((CAST(o_orderkey % 1000 AS DOUBLE) + 0.5) * 1000 + 0.5) WHEN o_orderkey % 3 = 1 THEN o_orderkey % 1000 * 1000000 ELSE 0 END AS BIGINT) AS n FROM orders""")
+@query("""SELECT o_orderkey, CAST(CASE o_orderkey % 6 WHEN 0 THEN k * 1000 + 500 WHEN 1 THEN k * 1000000 WHEN 2 THEN k WHEN 3 THEN 0 WHEN 4 THEN k ELSE 1000 + k END AS BIGINT) AS n FROM (SELECT o_orderkey, o_orderkey % 1000 AS k FROM orders)""")
 def compact_numbers(t, spark):
-    c = F.expr("case when o_orderkey % 3 = 0 then concat(o_orderkey % 1000, '.5K') when o_orderkey % 3 = 1 then concat(o_orderkey % 1000, 'm likes') else 'none' end")
-    return t("orders").select("o_orderkey", values.compact_number(c).alias("n"))
+    """A unit counts only right after its number: '3 months ago' is 3, '5 books' is 5."""
+    c = F.expr("element_at(array(concat(k, '.5K'), concat(k, 'm likes'), concat(k, ' months ago'), 'none', concat(k, ' books'), concat('1,', lpad(cast(k as string), 3, '0'))), cast(o_orderkey % 6 as int) + 1)")
+    return t("orders").withColumn("k", F.col("o_orderkey") % 1000).select("o_orderkey", values.compact_number(c).alias("n"))
 
 
 @query("""SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 2 = 0 THEN floor((CAST(o_orderkey % 100 AS DOUBLE) + 0.5) * 1048576 + 0.5) ELSE NULL END AS BIGINT) AS bytes,
@@ -42,17 +43,22 @@ def date_functions(t, spark):
     return t("events").select("event_id", values.epoch_date(F.unix_seconds(ts)).alias("day"), values.minute_of_day(ts, "Asia/Kolkata").alias("minute"), values.is_iso_date(text_date).alias("valid"))
 
 
-@query("""SELECT page_id, lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)) AS host,
-  'GET ' || lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)) || regexp_replace(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/$', '') AS key,
-  lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)) = 'example.com' OR ends_with(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '.example.com') AS inside FROM pages""")
+@query("""WITH u AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN regexp_replace(url, '^(https?://[^/?#]+)', '\\1:8443') WHEN 1 THEN regexp_replace(url, '^(https?://[^/?#]+).*$', '\\1/i/api/graphql/abc123/Op' || page_id || '?v=1')
+    WHEN 2 THEN regexp_replace(url, '^(https?://[^/?#]+).*$', '\\1') WHEN 3 THEN repeat('no url ', 20) || page_id ELSE replace(url, 'https://', 'https://u:p@') END AS url FROM pages),
+  p AS (SELECT page_id, url, lower(regexp_extract(url, '^[a-z]+://(?:[^/?#@]*@)?([^/?#:]+)', 1)) AS host, regexp_extract(url, '^[a-z]+://(?:[^/?#@]*@)?[^/?#:]+(:\\d+)?([^?#]*)', 2) AS path FROM u)
+  SELECT page_id, host, CASE page_id % 5 WHEN 0 THEN 'GET ' || host || ':8443' || CASE path WHEN '' THEN '/' ELSE path END WHEN 1 THEN 'Op' || page_id WHEN 3 THEN 'GET ' || left(url, 119) || '…' ELSE 'GET ' || host || CASE path WHEN '' THEN '/' ELSE path END END AS key,
+    host = 'example.com' OR ends_with(host, '.example.com') AS inside FROM p""")
 def page_host(t, spark):
+    """Urls with ports, user names and GraphQL paths among them, and texts that are no urls."""
+    url = F.expr("""case page_id % 5 when 0 then regexp_replace(url, '^(https?://[^/?#]+)', '$1:8443') when 1 then regexp_replace(url, '^(https?://[^/?#]+).*$', concat('$1/i/api/graphql/abc123/Op', page_id, '?v=1'))
+      when 2 then regexp_replace(url, '^(https?://[^/?#]+).*$', '$1') when 3 then concat(repeat('no url ', 20), page_id) else replace(url, 'https://', 'https://u:p@') end""")
     h = values.host(F.col("url"))
-    return t("pages").select("page_id", h.alias("host"), values.request_key(F.lit("get"), F.col("url")).alias("key"), values.in_domain(h, F.lit("example.com")).alias("inside"))
+    return t("pages").select("page_id", url.alias("url")).select("page_id", h.alias("host"), values.request_key(F.lit("get"), F.col("url")).alias("key"), values.in_domain(h, F.lit("example.com")).alias("inside"))
 
 
-@query("""SELECT page_id, CAST(length(trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&nbsp;', ' '), '&amp;', '&'), '[\\s\\x{00A0}\\x{202F}]+', ' ', 'g'))) AS BIGINT) AS n FROM pages""")
+@query("""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&nbsp;', ' '), '&amp;', '&'), '[\\s\\x{00A0}\\x{202F}]+', ' ', 'g')) AS text FROM pages""")
 def strip_html(t, spark):
-    return t("pages").select("page_id", F.length(text.strip_tags(F.col("html"))).cast("long").alias("n"))
+    return t("pages").select("page_id", text.strip_tags(F.col("html")).alias("text"))
 
 
 @query()
@@ -61,52 +67,101 @@ def article_markdown(t, spark):
     return t("pages").select("page_id", text.article_markdown("html").alias("markdown"))
 
 
-@query("SELECT doc_id, text AS joined, true AS bounded FROM documents")
+@query("""WITH RECURSIVE s AS (SELECT doc_id, text AS x, length(text) AS n FROM documents WHERE text IS NOT NULL),
+  c AS (SELECT doc_id, x, n, -1 AS pos, 0 AS a, 0 AS b FROM s UNION ALL
+    SELECT doc_id, x, n, pos + 1, b, CASE WHEN n - b <= 1010 THEN n
+      WHEN contains(substr(x, b + 860, 151), chr(10) || chr(10)) THEN b + 859 + 152 - strpos(reverse(substr(x, b + 860, 151)), chr(10) || chr(10))
+      WHEN contains(substr(x, b + 860, 151), chr(10)) THEN b + 859 + 152 - strpos(reverse(substr(x, b + 860, 151)), chr(10)) ELSE b + 1010 END
+    FROM c WHERE b < n OR (n = 0 AND pos = -1))
+  SELECT doc_id, CAST(pos AS INTEGER) AS pos, substr(x, a + 1, b - a) AS chunk FROM c WHERE pos >= 0""")
 def chunks(t, spark):
-    """Chunks joined are the text, and none is over the size."""
-    c = t("documents").select("doc_id", "text", text.chunks("text", F.lit(1000)).alias("c"))
-    return c.select("doc_id", F.array_join("c", "").alias("joined"), F.forall("c", lambda x: F.length(x) <= 1000).alias("bounded"))
-
-
-@query("""SELECT doc_id, regexp_replace(regexp_replace(text, '(?i)\\b(bearer|basic)\\s+[A-Za-z0-9._~+/=-]+', '\\1 [REDACTED]', 'g'), '(?i)\\b(password|passwd|secret|token|api_?key)(\\s*[=:]\\s*)[^\\s&;,]+', '\\1\\2[REDACTED]', 'g') AS text
-  FROM documents WHERE NOT regexp_matches(text, '(?i)cookie|eyJ|"(password|passwd|secret|token|api_?key|access_token|refresh_token|session)"') AND length(text) <= 50000""")
-def redact_text(t, spark):
-    plain = ~F.col("text").rlike(r'(?i)cookie|eyJ|"(password|passwd|secret|token|api_?key|access_token|refresh_token|session)"') & (F.length("text") <= 50000)
-    return t("documents").where(plain).select("doc_id", redact.text(F.col("text")).alias("text"))
+    """Every chunk with its cut: of 1010 characters at most, the window for a line end being the last 151."""
+    return t("documents").select("doc_id", F.posexplode(text.chunks("text", F.lit(1010))).alias("pos", "chunk"))
 
 
 @query("""WITH r AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text,
-    '(?i)\\b(bearer|basic)\\s+[A-Za-z0-9._~+/=-]+', '\\1 [REDACTED]', 'g'),
-    '(?i)("(?:password|passwd|secret|token|api_?key|access_token|refresh_token|session)"\\s*:\\s*")[^"]*"', '\\1[REDACTED]"', 'g'),
-    '(?i)\\b(password|passwd|secret|token|api_?key)(\\s*[=:]\\s*)[^\\s&;,]+', '\\1\\2[REDACTED]', 'g'),
-    '(?i)\\b(cookie|set-cookie)(\\s*:\\s*)[^\\n]+', '\\1\\2[REDACTED]', 'g'),
-    '\\beyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+', '[REDACTED]', 'g') AS text FROM documents)
-  SELECT doc_id, CASE WHEN length(text) > 50000 THEN left(text, 50000) || '…[truncated]' ELSE text END AS text FROM r""")
+    '(?i)\\b(Bearer|Basic|Negotiate|NTLM)\\s+[A-Za-z0-9\\-._~+/]+=*', '\\1 [REDACTED]', 'g'),
+    '(?i)(?:"(password|passwd|pwd|token|secret|api_key|apikey|access_token|session_id)"\\s*:\\s*"(.*?)")', '"\\1":"[REDACTED]"', 'g'),
+    '(?i)(token|secret|password|api_key|apikey|access_token|session_id)[=:]\\s*[''"]?[^''"\\s,;}&]+[''"]?', '\\1=[REDACTED]', 'g'),
+    '(?i)(cookie[=:]\\s*)[^\\n;]{3,}', '\\1[REDACTED]', 'g'),
+    'eyJ[A-Za-z0-9_-]{10,}\\.eyJ[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{10,}', '[REDACTED_JWT]', 'g') AS text FROM documents)
+  SELECT doc_id, CASE WHEN length(text) > 50000 THEN left(text, 50000) || chr(10) || '...[truncated, ' || (length(text) - 50000) || ' chars omitted]' ELSE text END AS text FROM r""")
 def redact_all_texts(t, spark):
     """All documents by all rules, long ones cut."""
     return t("documents").select("doc_id", redact.text(F.col("text")).alias("text"))
 
 
-@query("""SELECT page_id, regexp_replace(url || '&token=abc', '(?i)([?&](?:access_token|token|api_?key|key|auth|password|secret|session|sig|signature|code)=)[^&#]*', '\\1[REDACTED]', 'g') AS url FROM pages""")
+@query("""WITH s AS (SELECT doc_id, text || CASE doc_id % 8 WHEN 0 THEN ' Authorization: Negotiate YIIabc+/=='
+      WHEN 1 THEN ' {"pwd": "x1", "name": "kept", "session_id" : "s p"}' WHEN 2 THEN ' access_token=abc123&x=1 my_token: zzz; end' WHEN 3 THEN chr(10) || 'Cookie: a=b; c' || chr(10) || 'cookie=abcdef123'
+      WHEN 4 THEN ' id eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.c2lnbmF0dXJlMTIz end' WHEN 5 THEN repeat(' filler text', 4600) ELSE '' END AS text FROM documents),
+  r AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text,
+    '(?i)\\b(Bearer|Basic|Negotiate|NTLM)\\s+[A-Za-z0-9\\-._~+/]+=*', '\\1 [REDACTED]', 'g'),
+    '(?i)(?:"(password|passwd|pwd|token|secret|api_key|apikey|access_token|session_id)"\\s*:\\s*"(.*?)")', '"\\1":"[REDACTED]"', 'g'),
+    '(?i)(token|secret|password|api_key|apikey|access_token|session_id)[=:]\\s*[''"]?[^''"\\s,;}&]+[''"]?', '\\1=[REDACTED]', 'g'),
+    '(?i)(cookie[=:]\\s*)[^\\n;]{3,}', '\\1[REDACTED]', 'g'),
+    'eyJ[A-Za-z0-9_-]{10,}\\.eyJ[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{10,}', '[REDACTED_JWT]', 'g') AS text FROM s)
+  SELECT doc_id, CASE WHEN length(text) > 50000 THEN left(text, 50000) || chr(10) || '...[truncated, ' || (length(text) - 50000) || ' chars omitted]' ELSE text END AS text FROM r""")
+def redact_planted_texts(t, spark):
+    """All documents, with secrets of every kind planted in them."""
+    planted = F.expr("""concat(text, case doc_id % 8 when 0 then ' Authorization: Negotiate YIIabc+/=='
+      when 1 then ' {"pwd": "x1", "name": "kept", "session_id" : "s p"}' when 2 then ' access_token=abc123&x=1 my_token: zzz; end' when 3 then '\nCookie: a=b; c\ncookie=abcdef123'
+      when 4 then ' id eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.c2lnbmF0dXJlMTIz end' when 5 then repeat(' filler text', 4600) else '' end)""")
+    return t("documents").select("doc_id", redact.text(planted).alias("text"))
+
+
+@query("""SELECT page_id, regexp_replace(regexp_replace(replace(url, '://', '://u:p@') || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'token=abc&amp;csrf=1&page=2&session_id=9', '(?i)(https?://)[^/\\s@]+@', '\\1[REDACTED]@', 'g'),
+  '(?i)(\\?|&(?:amp;)?)(token|key|secret|password|auth|access_token|api_key|session_id|csrf|xsrf)=[^&"''\\s<>]*', '\\1\\2=[REDACTED]', 'g') AS url FROM pages""")
 def redact_urls(t, spark):
-    return t("pages").select("page_id", redact.url(F.concat("url", F.lit("&token=abc"))).alias("url"))
-
-
-@query("""SELECT page_id, regexp_matches(left(html, 20000), '(?i)(cf-challenge|challenge-platform|_cf_chl_opt|px-captcha|geetest_|g-recaptcha-response|aws-waf-token)') AS challenge,
-  regexp_matches(html, '(?i)(sign in to continue|log in to continue|please log ?in|login required)') AS login,
-  CASE WHEN regexp_matches(html, '(?i)(acw_sc__v2|aliyun_waf)') THEN 'aliyun_waf' WHEN regexp_matches(html, '(?i)(cf_clearance|__cf_bm|cdn-cgi/challenge)') THEN 'cloudflare' WHEN regexp_matches(html, '(?i)(_abck|bm_sz|ak_bmsc)') THEN 'akamai' WHEN regexp_matches(html, '(?i)geetest') THEN 'geetest' END AS vendor FROM pages""")
+    more = F.concat(F.replace("url", F.lit("://"), F.lit("://u:p@")), F.when(F.contains("url", F.lit("?")), "&").otherwise("?"), F.lit("token=abc&amp;csrf=1&page=2&session_id=9"))
+    return t("pages").select("page_id", redact.url(more).alias("url"))
+
+
+@query("""SELECT event_id, '[REDACTED]' AS password, 'Bearer [REDACTED]' AS note, CAST(value AS DOUBLE) AS value, '[REDACTED]' AS inner_csrf, 'kept' AS inner_name, 'http://h/?token=[REDACTED]' AS url,
+  CASE WHEN event_id % 2 = 0 THEN 102 ELSE 3 END AS n, CASE WHEN event_id % 2 = 0 THEN '[truncated, 2 items omitted]' END AS last, '[REDACTED]' AS x_xsrf, 'text/html' AS accept FROM events""")
+def redact_values(t, spark):
+    """Nested values: secret names at any depth, urls, arrays over 100 items and header maps."""
+    v = F.struct(F.lit("p").alias("password"), F.lit("Bearer abc.def").alias("note"), F.col("value").cast("double").alias("value"), F.struct(F.lit("t").alias("csrf"), F.lit("kept").alias("name")).alias("inner"), F.lit("http://h/?token=abc").alias("url"),
+                 F.transform(F.sequence(F.lit(1), F.when(F.col("event_id") % 2 == 0, 102).otherwise(3)), lambda i: i.cast("string")).alias("items"), F.create_map(F.lit("X-XSRF-Token"), F.lit("q"), F.lit("accept"), F.lit("text/html")).alias("headers"))
+    rows = t("events").select("event_id", v.alias("v"))
+    out = rows.select("event_id", redact.value(F.col("v"), rows.schema["v"].dataType).alias("v"))
+    size = F.when(F.startswith(F.element_at("v.items", -1), F.lit("[")), F.size("v.items") + 1).otherwise(F.size("v.items"))
+    return out.select("event_id", "v.password", "v.note", "v.value", F.col("v.inner.csrf").alias("inner_csrf"), F.col("v.inner.name").alias("inner_name"), "v.url", size.alias("n"),
+                      F.when(F.size("v.items") > 100, F.element_at("v.items", -1)).alias("last"), F.col("v.headers")["X-XSRF-Token"].alias("x_xsrf"), F.col("v.headers")["accept"].alias("accept"))
+
+
+@query("""WITH p AS (SELECT page_id, CASE page_id % 4 WHEN 0 THEN 403 WHEN 1 THEN 200 WHEN 2 THEN 503 ELSE 404 END AS status, page_id % 12 AS kind, html FROM pages),
+  q AS (SELECT page_id, status, kind, CASE kind WHEN 0 THEN 'datadome captcha ' || html WHEN 1 THEN '<title>Just a moment</title>' || html WHEN 5 THEN '<p>captcha</p>' WHEN 7 THEN repeat('x', 20001) || 'just a moment'
+      WHEN 9 THEN '<main id="root"></main><script>var a = 1</script>' WHEN 3 THEN '<div class=a data-page="app">hi</div><script src=x></script>' WHEN 11 THEN '<div id="__next"></div><script></script>' WHEN 8 THEN '{"a": 1}' WHEN 10 THEN '  <HTML lang=en>' ELSE html END AS body FROM p)
+  SELECT page_id,
+    regexp_matches(left(body, 20000), '(?i)cf-chl|cf-mitigated|just a moment|verify you are human|checking your browser|enable javascript and cookies') OR kind = 6
+      OR (status IN (403, 429, 503) AND (kind IN (2, 4) OR regexp_matches(left(body, 20000), '(?i)cloudflare|datadome|perimeterx|px-captcha|akamai|captcha|__cf_bm'))) AS challenge,
+    kind IN (3, 9) AS shell, kind IN (9) OR regexp_matches(body, '(?i)^\\s*<(?:!doctype|html|head|body|title)(?:[\\s>/]|$)') AS login,
+    CASE kind WHEN 0 THEN 'aliyun_waf' WHEN 1 THEN 'cloudflare' WHEN 2 THEN 'akamai' WHEN 3 THEN 'geetest' WHEN 4 THEN 'aliyun_waf' WHEN 5 THEN 'cloudflare' WHEN 6 THEN 'aliyun_waf' END AS vendor FROM q""")
 def classify_pages(t, spark):
-    html = F.col("html")
-    return t("pages").select("page_id", pg.is_challenge(html).alias("challenge"), pg.is_login_wall(html).alias("login"), pg.vendor(html).alias("vendor"))
-
-
-@query("""WITH e AS (SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 401 WHEN event_id % 10 < 7 THEN 200 ELSE 500 END AS status, CASE WHEN event_id % 3 = 0 THEN 'text/html' ELSE 'application/json' END AS ct, event_id % 5 AS items, event_id % 4 AS business FROM events),
-  s AS (SELECT event_id, status, (CASE WHEN status = 200 THEN 0.15 ELSE 0 END + CASE WHEN ct = 'application/json' THEN 0.20 ELSE -0.25 END + CASE WHEN items > 0 THEN 0.30 ELSE -0.15 END + least(0.30, 0.05 * business))::DOUBLE AS raw FROM e)
-  SELECT event_id, CASE WHEN status = 401 THEN 0.05 ELSE floor(greatest(0, least(1, raw)) * 100 + 0.5) / 100 END AS score FROM s""")
+    """Pages, and bodies of each kind that the rules tell apart, with headers, cookies and captured bodies."""
+    p = t("pages").select("page_id", "html", F.expr("element_at(array(403, 200, 503, 404), cast(page_id % 4 as int) + 1)").alias("status"), (F.col("page_id") % 12).alias("kind"))
+    body = F.expr("""case kind when 0 then concat('datadome captcha ', html) when 1 then concat('<title>Just a moment</title>', html) when 5 then '<p>captcha</p>' when 7 then concat(repeat('x', 20001), 'just a moment')
+      when 9 then '<main id="root"></main><script>var a = 1</script>' when 3 then '<div class=a data-page="app">hi</div><script src=x></script>' when 11 then '<div id="__next"></div><script></script>' when 8 then '{"a": 1}' when 10 then '  <HTML lang=en>' else html end""")
+    headers = F.expr("case kind when 2 then map('Server', 'cloudflare') when 4 then map('X-DataDome-CID', 'perimeterx') when 6 then map('cf-mitigated', 'challenge') when 8 then map('content-security-policy', 'https://cloudflare.com') end")
+    cookies = F.expr("case kind when 0 then array('a', 'acw_tc') when 1 then array('cf_clearance') when 2 then array('bm_sz', '_abck') when 6 then array('ssxmod_itna2', '_abck') when 7 then array('my_abck') end")
+    bodies = F.expr("case kind when 3 then array(null, 'GeeTest v4') when 4 then array('akamai', concat('var arg1 = ''', repeat('A1', 16), '''')) when 5 then array('Cloudflare Ray ID: 1') end")
+    kind = F.when(F.col("kind") == 9, "text/HTML; charset=x").otherwise("application/json")
+    q = p.withColumns({"body": body, "headers": headers, "cookies": cookies, "bodies": bodies, "ct": kind})
+    return q.select("page_id", pg.is_challenge(F.col("status"), F.col("headers"), F.col("body")).alias("challenge"), pg.is_js_shell(F.col("body")).alias("shell"), pg.is_login_wall(F.col("ct"), F.col("body")).alias("login"), pg.vendor(F.col("cookies"), F.col("bodies")).alias("vendor"))
+
+
+@query("""WITH e AS (SELECT event_id, event_id % 8 AS kind, CASE WHEN event_id % 10 = 0 THEN 401 WHEN event_id % 10 < 8 THEN 200 ELSE 500 END AS status, CASE event_id % 3 WHEN 0 THEN 'text/html' WHEN 1 THEN 'application/json' ELSE 'text/plain' END AS ct, event_id % 7 = 0 AS noisy FROM events),
+  s AS (SELECT event_id, status, (CASE WHEN status = 200 THEN 0.15 ELSE 0 END + CASE ct WHEN 'application/json' THEN 0.20 WHEN 'text/html' THEN -0.25 ELSE 0.05 END - CASE WHEN noisy THEN 0.30 ELSE 0 END
+    + CASE kind WHEN 0 THEN 0.30 WHEN 1 THEN -0.15 WHEN 2 THEN -0.15 WHEN 3 THEN 0.12 + 0.05 * 3 + 0.20 WHEN 4 THEN 0.12 - 0.08 * 2 WHEN 5 THEN -0.25 WHEN 6 THEN 0.05 ELSE 0 END)::DOUBLE AS raw FROM e),
+  r AS (SELECT event_id, status, CASE WHEN status = 401 THEN 0.05 ELSE floor(greatest(0, least(1, raw)) * 100 + 0.5) / 100 END AS score FROM s)
+  SELECT event_id, score, CASE WHEN status = 401 THEN 'blocked' WHEN score >= 0.65 THEN 'likely_data' WHEN score >= 0.35 THEN 'maybe_data' ELSE 'noise' END AS verdict FROM r""")
 def endpoint_scores(t, spark):
-    e = t("events").selectExpr("event_id", "case when event_id % 10 = 0 then 401 when event_id % 10 < 7 then 200 else 500 end status", "if(event_id % 3 = 0, 'text/html', 'application/json') ct", "event_id % 5 items", "event_id % 4 business")
-    none = F.lit(None).cast("int")
-    return e.select("event_id", pg.endpoint_score(F.col("status"), F.col("ct"), F.lit(False), F.col("items"), none, F.col("business"), F.lit(0)).alias("score"))
+    """Captured responses with bodies of every kind: arrays, objects, markup, text and none."""
+    body = F.expr("""element_at(array('[1, 2]', '[]', '{}', '{"items": [{"id": 1}], "title": "x"}', '{"event": "view", "clientId": "c"}', ' <html>', 'a plain text of over twenty characters', null), cast(event_id % 8 as int) + 1)""")
+    e = t("events").select("event_id", F.expr("case when event_id % 10 = 0 then 401 when event_id % 10 < 8 then 200 else 500 end").alias("status"), F.expr("element_at(array('text/html', 'application/json', 'text/plain'), cast(event_id % 3 as int) + 1)").alias("ct"), F.expr("if(event_id % 7 = 0, '/api/metrics', '/api/list')").alias("url"), body.alias("body"))
+    e = e.withColumn("b", pg.body_evidence("body"))
+    score = pg.endpoint_score(F.col("status"), F.col("ct"), F.col("url").rlike(pg.NOISE_URL), *[F.col(f"b.{c}") for c in ("items", "keys", "business", "tracking", "nested", "html", "words")])
+    return e.withColumn("score", score).select("event_id", "score", pg.evidence_class(F.col("score"), F.col("status")).alias("verdict"))
 
 
 @query("""SELECT lang AS site, CASE WHEN count(*) FILTER (WHERE n_chars < 100) >= 2 AND count(*) FILTER (WHERE source = 'src0') >= 1 THEN 'D' WHEN bool_or(n_chars > 1000000) THEN 'B' WHEN count(*) FILTER (WHERE source = 'src1') >= 1 THEN 'A' ELSE 'C' END AS pattern FROM documents GROUP BY lang""")
@@ -138,9 +193,12 @@ def quality_failures(t, spark):
     return quality.failures(t("events"), e, "event_id")
 
 
-@query("""SELECT 'quality' AS "column", 'null|number' AS types UNION ALL SELECT 'toxic', 'null|number' UNION ALL SELECT 'doc_id', 'number' UNION ALL SELECT 'lang', 'string'""")
+@query("""SELECT c AS "column", string_agg(DISTINCT k, '|' ORDER BY k) AS types FROM (
+    SELECT 'doc_id' AS c, CASE WHEN doc_id IS NULL THEN 'null' ELSE 'number' END AS k FROM documents UNION ALL SELECT 'lang', CASE WHEN lang IS NULL THEN 'null' ELSE 'string' END FROM documents
+    UNION ALL SELECT 'quality', CASE WHEN quality IS NULL THEN 'null' ELSE 'number' END FROM documents LEFT JOIN labels USING (doc_id) UNION ALL SELECT 'toxic', CASE WHEN toxic IS NULL THEN 'null' ELSE 'number' END FROM documents LEFT JOIN labels USING (doc_id)
+    UNION ALL SELECT 'words', 'array' FROM documents) GROUP BY c""")
 def derive_fixture(t, spark):
-    return quality.derive(t("documents").select("doc_id", "lang").join(t("labels"), "doc_id", "left"))
+    return quality.derive(t("documents").select("doc_id", "lang", F.split("lang", " ").alias("words")).join(t("labels"), "doc_id", "left"))
 
 
 @query("""SELECT v.r AS rule, coalesce(n, 0) AS n, coalesce(s, 0) AS subjects FROM (VALUES ('short'), ('long'), ('unnamed')) v(r) LEFT JOIN (SELECT CASE WHEN n_chars < 200 THEN 'short' ELSE 'long' END AS rule, count(*) AS n, count(DISTINCT source) AS s FROM documents WHERE n_chars < 200 OR n_chars > 5000 GROUP BY 1) f ON v.r = f.rule""")
@@ -149,10 +207,15 @@ def convention_audit(t, spark):
     return quality.audit(found, ["short", "long", "unnamed"])
 
 
-@query("SELECT event_id, 'number' AS kind, true AS has_k FROM events")
+@query("""SELECT event_id, v.path, CASE v.path WHEN '$' THEN 'object' WHEN '$.k' THEN 'number' WHEN '$.tags' THEN CASE WHEN event_id % 3 = 0 THEN 'array(0)' ELSE 'array(2)' END WHEN '$.tags[0]' THEN CASE WHEN event_id % 3 = 1 THEN 'string' ELSE 'string(len=90)' END
+    WHEN '$.user' THEN 'object' WHEN '$.user.id' THEN 'null' WHEN '$["a b"]' THEN 'boolean' ELSE 'object(empty)' END AS kind, event_id % 3 <> 0 OR v.path IS NOT NULL AS has_k
+  FROM events, (VALUES ('$'), ('$.k'), ('$.tags'), ('$.tags[0]'), ('$.user'), ('$.user.id'), ('$["a b"]'), ('$.none')) v(path) WHERE NOT (event_id % 3 = 0 AND v.path = '$.tags[0]')""")
 def infer_shape(t, spark):
-    s = t("events").select("event_id", shape.shape("props").alias("s"))
-    return s.select("event_id", F.col("s")["$.k"].alias("kind"), shape.has_fields(F.col("s"), ["k"]).alias("has_k"))
+    """Every path of every event's JSON, nested values added, with its type."""
+    tags = F.expr("""case event_id % 3 when 0 then '[]' when 1 then '["x", "y"]' else concat('["', repeat('z', 90), '", 1]') end""")
+    js = F.concat(F.expr("substring(props, 1, length(props) - 1)"), F.lit(', "tags": '), tags, F.lit(', "user": {"id": null}, "a b": true, "none": {}}'))
+    s = t("events").select("event_id", shape.shape(js).alias("s"))
+    return s.select("event_id", F.explode("s").alias("path", "kind"), shape.has_fields(F.col("s"), ["k", "user"]).alias("has_k"))
 
 
 @query("""WITH n AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN NULL ELSE turn - turn % 3 END AS parent FROM conversations),
@@ -192,9 +255,10 @@ def html_nodes(t, spark):
     return trees.html_nodes(t("pages"), "page_id", "html")
 
 
-@query("""SELECT page_id, CAST(len(regexp_extract_all(html, '(?is)<p\\b[^>]*>(.*?)</p>', 1)) AS BIGINT) AS n FROM pages WHERE len(regexp_extract_all(html, '(?is)<p\\b[^>]*>(.*?)</p>', 1)) > 0""")
+@query("""SELECT page_id, CAST(generate_subscripts(x, 1) - 1 AS INTEGER) AS pos, trim(regexp_replace(unnest(x), '<[^>]*>', '', 'g')) AS text FROM (SELECT page_id, regexp_extract_all(html, '(?is)<li\\b[^>]*>(.*?)</li>', 1) AS x FROM pages)""")
 def html_list_scan(t, spark):
-    return captures.html_list(t("pages").select("page_id", "html"), "html", "p").groupBy("page_id").agg(F.count("*").alias("n"))
+    """Every list item of every page."""
+    return captures.html_list(t("pages").select("page_id", "html"), "html", "li")
 
 
 @query("SELECT p_partkey, p_name AS title, '/p/' || p_partkey AS link, CAST(0 AS INTEGER) AS pos FROM part")
@@ -291,9 +355,24 @@ def speaker_turns(t, spark):
     return transcripts.with_speakers(df, "conv_id", "turn", "text").select("conv_id", "turn", "speaker")
 
 
-@query()
+@query("""WITH RECURSIVE s AS (SELECT conv_id, turn * 7.0::DOUBLE AS tt, trim(text, ' ' || chr(10) || chr(9)) AS text FROM conversations WHERE trim(text, ' ' || chr(10) || chr(9)) <> ''),
+  e AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY tt) AS r FROM s),
+  g AS (SELECT conv_id, r, tt, text, tt AS start, text AS joined, 1 AS g FROM e WHERE r = 1 UNION ALL
+    SELECT e.conv_id, e.r, e.tt, e.text,
+      CASE WHEN regexp_matches(g.text, '[.!?]["'')\\]]*\\s*$') OR e.tt - g.tt > 20 OR e.tt - g.start > 30 THEN e.tt ELSE g.start END,
+      CASE WHEN regexp_matches(g.text, '[.!?]["'')\\]]*\\s*$') OR e.tt - g.tt > 20 OR e.tt - g.start > 30 THEN e.text ELSE g.joined || ' ' || e.text END,
+      CASE WHEN regexp_matches(g.text, '[.!?]["'')\\]]*\\s*$') OR e.tt - g.tt > 20 OR e.tt - g.start > 30 THEN g.g + 1 ELSE g.g END
+    FROM g JOIN e ON e.conv_id = g.conv_id AND e.r = g.r + 1),
+  o AS (SELECT conv_id, start, joined AS text, g, len(list_filter(regexp_split_to_array(joined, '\\s+'), lambda x: x <> '')) AS words FROM g QUALIFY row_number() OVER (PARTITION BY conv_id, g ORDER BY r DESC) = 1),
+  m AS (SELECT conv_id, g, start, text, words, 1 AS k FROM o WHERE g = 1 UNION ALL
+    SELECT o.conv_id, o.g, CASE WHEN ends_with(o.text, '?') OR o.words <= 3 OR ends_with(m.text, '?') OR m.words + o.words > 80 OR o.start - m.start > 45 THEN o.start ELSE m.start END,
+      CASE WHEN ends_with(o.text, '?') OR o.words <= 3 OR ends_with(m.text, '?') OR m.words + o.words > 80 OR o.start - m.start > 45 THEN o.text ELSE m.text || ' ' || o.text END,
+      CASE WHEN ends_with(o.text, '?') OR o.words <= 3 OR ends_with(m.text, '?') OR m.words + o.words > 80 OR o.start - m.start > 45 THEN o.words ELSE m.words + o.words END,
+      CASE WHEN ends_with(o.text, '?') OR o.words <= 3 OR ends_with(m.text, '?') OR m.words + o.words > 80 OR o.start - m.start > 45 THEN m.k + 1 ELSE m.k END
+    FROM m JOIN o ON o.conv_id = m.conv_id AND o.g = m.g + 1)
+  SELECT conv_id, start, text FROM m QUALIFY row_number() OVER (PARTITION BY conv_id, k ORDER BY g DESC) = 1""")
 def transcript_groups(t, spark):
-    """A sequential fold a conversation: tested on fixed segments."""
+    """Sentence groups, then merged neighbours: two sequential folds a conversation."""
     from ..operators import transcripts
 
     return transcripts.grouped(t("conversations").withColumn("at", F.col("turn") * 7.0), "conv_id", "at", "text", merge=True)

@@ -23,7 +23,7 @@ def one(spark, f, *args):
         (values.months, "3 semesters", 18.0), (values.epoch_date, 86400, "1970-01-02"), (values.epoch_date, None, ""), (values.is_iso_date, "2023-02-29", False), (values.is_iso_date, "2024-02-29", True),
         (values.force_z, "2024-01-01T00:00:00.123", "2024-01-01T00:00:00Z"), (values.relative_token, "posted 3d ago", "3d"), (values.host, "https://u@A.Example.com:8/x", "a.example.com"), (values.path, "http://x/a/b?q", "/a/b"),
         (text.strip_tags, "<p>a &amp;lt; <b>b</b></p>", "a &lt; b"), (text.collapse_space, " a  b ", "a b"), (text.word_count, " a  b ", 2), (text.safe_filename, "a/b c", "a_b_c"),
-        (redact.url, "http://u:p@h/?token=abc&x=1", "http://[REDACTED]@h/?token=[REDACTED]&x=1"), (redact.text, "Bearer abc.def password=hunter2 x", "Bearer [REDACTED] password=[REDACTED] x"), (redact.text, '{"token": "s"}', '{"token": "[REDACTED]"}'),
+        (redact.url, "http://u:p@h/?token=abc&x=1", "http://[REDACTED]@h/?token=[REDACTED]&x=1"), (redact.text, "Bearer abc.def password=hunter2 x", "Bearer [REDACTED] password=[REDACTED] x"), (redact.text, '{"token": "s"}', '{"token":"[REDACTED]"}'),
     ],
 )
 def test_scalars(spark, f, arg, want):

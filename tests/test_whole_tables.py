@@ -29,15 +29,18 @@ def test_encoding_of_every_url(spark, tmp_path):
 def test_redaction_of_every_text(spark, tmp_path):
     long = "é" * 49_990
     texts = [
-        'say "token" : "s3cret", "session":"x y" and "name": "kept"', "Cookie: a=b; c=d\nkept", "set-cookie: x", "id eyJhbGci.eyJzdWIi.c2ln end",
-        "Bearer abc password=hunter2;x api_key: k", long + " password=" + "p" * 90, long + " eyJa.b.c", "plain", "", None,
+        'say "token" : "s3cret", "session":"x y" and "name": "kept"', "Cookie: a=b; c=d\nkept", "set-cookie: xyz", "id eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.c2lnbmF0dXJlMTIz end",
+        "Bearer abc password=hunter2;x api_key: k", long + " password=" + "p" * 90, long + " access_token=zz", "plain", "", None,
+        "Negotiate YIIabc== and NTLM TlR access_token=abc123 session_id=zzz cookie=abcdef123", "{'password': 'hunter2'} {\"pwd\":\"x1\"}", "eyJhbGci.eyJzdWIi.c2ln",
     ]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.text for r in QUERIES["redact_all_texts"](spark, str(tmp_path)).collect()}
     m = "[REDACTED]"
+    cut = lambda s: f"{s[:50_000]}\n...[truncated, {len(s) - 50_000} chars omitted]"
     want = [
-        f'say "token" : "{m}", "session":"{m}" and "name": "kept"', f"Cookie: {m}\nkept", f"set-cookie: {m}", f"id {m} end",
-        f"Bearer {m} password={m};x api_key: {m}", (long + f" password={m}")[:50_000] + "…[truncated]", (long + f" {m}")[:50_000] + "…[truncated]", "plain", "", None,
+        f'say "token":"{m}", "session":"x y" and "name": "kept"', f"Cookie: {m}; c=d\nkept", f"set-cookie: {m}", f"id {m[:-1]}_JWT] end",
+        f"Bearer {m} password={m};x api_key={m}", cut(long + f" password={m}"), cut(long + f" access_token={m}"), "plain", "", None,
+        f"Negotiate {m} and NTLM {m} access_token={m} session_id={m} cookie={m}", f"{{'password':'{m}'}} {{\"pwd\":\"{m}\"}}", "eyJhbGci.eyJzdWIi.c2ln",
     ]
     assert got == dict(enumerate(want))
 
