@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -32,6 +32,28 @@ def nearest_rank(c: str, q: float) -> Column:
     return F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY {c})")
 
 
+def nearest_ranks(df: DataFrame, by: str, c: str, ranks: dict[str, float], pieces: int = 256) -> DataFrame:
+    """(by, one column a rank): nearest_rank of each group, without a group's values in one place.
+
+    An approximate sketch cuts each group into pieces; counts of pieces tell which one holds a rank; only that
+    piece's values are counted and put in order.
+    """
+    rows = df.where(F.col(c).isNotNull()).select(by, F.col(c).alias("_v"))
+    cuts = rows.groupBy(by).agg(F.percentile_approx("_v", [i / pieces for i in range(1, pieces)], 20 * pieces).alias("_cuts"), F.count("*").alias("_n"))
+    small = F.broadcast(cuts.withColumnRenamed(by, "_by")) if df.select(by).distinct().limit(1001).count() <= 1000 else cuts.withColumnRenamed(by, "_by")
+    cut = rows.join(small, F.col(by).eqNullSafe(F.col("_by"))).select(by, "_v", "_n", F.size(F.filter("_cuts", lambda x: x < F.col("_v"))).alias("_piece"))
+    counts = cut.groupBy(by, "_n", "_piece").agg(F.count("*").alias("_k"))
+    w = Window.partitionBy(by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_k").over(w), F.lit(0)))
+    asked = F.explode(F.array(*[F.struct(F.lit(k).alias("_name"), F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(q))).cast("long").alias("_rank")) for k, q in ranks.items()]))
+    wanted = counts.select(by, "_piece", "_k", "_before", asked.alias("_a")).select(by, "_piece", "_k", "_before", "_a.*").where("_rank > _before and _rank <= _before + _k")
+    wanted = F.broadcast(wanted.select(F.col(by).alias("_by"), F.col("_piece").alias("_p"), "_before", "_name", "_rank"))  # a row a group and rank
+    values = cut.join(wanted, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_piece") == F.col("_p"))).groupBy(by, "_name", "_rank", "_before", "_v").count()
+    running = F.sum("count").over(Window.partitionBy(by, "_name").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    found = values.withColumn("_upto", running + F.col("_before")).where(F.col("_upto") >= F.col("_rank")).groupBy(by, "_name").agg(F.min("_v").alias("_v"))
+    return found.groupBy(by).agg(*[F.min(F.when(F.col("_name") == k, F.col("_v"))).alias(k) for k in ranks])
+
+
 def recall(matched: Column, expected: Column) -> Column:
     """sum of matches over sum expected; 1 where nothing was expected."""
     return F.coalesce(F.try_divide(F.sum(matched).cast("double"), F.sum(expected).cast("double")), F.lit(1.0))

@@ -417,6 +417,53 @@ _WHOLE = re.compile(r"^\s*\$\{\{(?P<x>(?:(?!\}\}).)*)\}\}\s*$", re.S)
 _PART = re.compile(r"\$\{\{(.*?)\}\}", re.S)
 
 
+def trees_of(template) -> list:
+    """Parse trees of a template's expressions."""
+    if not isinstance(template, str):
+        return []
+    if m := _WHOLE.match(template):
+        return [Parser(m["x"].strip()).parse()]
+    return [Parser(x.strip()).parse() for x in _PART.findall(template)]
+
+
+def names_in(tree) -> set[str]:
+    """Names that a tree reads: args, item, root, ..., but not fields, methods or functions."""
+    if not isinstance(tree, (tuple, list)) or not tree:
+        return set()
+    if isinstance(tree, list):
+        return set().union(*map(names_in, tree))
+    kind = tree[0]
+    if kind == "name":
+        return {tree[1]}
+    if kind == "filter":
+        return names_in(tree[2])
+    if kind == "call":
+        callee = tree[1]
+        of = set() if callee[0] == "name" or callee[0] == "get" and callee[1] in (("name", "Math"), ("name", "JSON")) else names_in(callee)
+        return of | names_in(tree[2])
+    return set().union(*map(names_in, tree[1:]))
+
+
+#: What belongs to the row that an array was selected from, rather than to the array's element.
+OUTER = {"root", "data", "args"}
+
+
+def outer_parts(tree) -> tuple[list, list]:
+    """(trees read from the source row alone, trees of arrays that are read at `index`), the largest ones of each."""
+    names = names_in(tree)
+    if names & {"root", "data"} and names <= OUTER:
+        return [tree], []
+    if isinstance(tree, tuple) and tree[0] == "get" and tree[2] == ("name", "index") and names_in(tree[1]) & {"root", "data"} and names_in(tree[1]) <= OUTER:
+        return [], [tree[1]]
+    whole, at_index = [], []
+    for part in tree if isinstance(tree, list) else tree[1:]:
+        if isinstance(part, (tuple, list)):
+            a, b = outer_parts(part)
+            whole += a
+            at_index += b
+    return whole, at_index
+
+
 def render(template, compiler: Compiler) -> Value:
     """A template: one ${{...}} keeps its type; mixed text is concatenated; anything else is a literal."""
     if not isinstance(template, str):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import js
-from .jsexpr import FORBIDDEN, Compiler, ExpressionError, Value, literal, render
+from .jsexpr import FORBIDDEN, Compiler, ExpressionError, Value, literal, names_in, outer_parts, render, trees_of
 
 
 class PipelineError(ValueError):
@@ -126,7 +126,22 @@ class _Direct(Compiler):
         return super()._get(obj, key)
 
     def _name(self, name):
-        return self.scope[name] if name in self.scope else self.columns.get(name, literal(None))
+        if name in self.scope:
+            return self.scope[name]
+        if name not in self.columns:
+            raise ExpressionError(f"unknown name {name}")
+        return self.columns[name]
+
+
+class _Selected(_Direct):
+    """Also knows what was worked out on the source row before its array became rows."""
+
+    def __init__(self, scope, columns, args, known: dict[str, Value]):
+        super().__init__(scope, columns, args)
+        self.known = known
+
+    def node(self, n):
+        return self.known[repr(n)] if repr(n) in self.known else super().node(n)
 
 
 def _reads_index(params) -> bool:
@@ -164,6 +179,13 @@ def dense_index(df: DataFrame, order: list[Column], pieces: int = 64) -> DataFra
     return cut.join(F.broadcast(base), "_oc").withColumn("_index", F.row_number().over(inside) - 1 + F.col("_ob")).drop("_oc", "_ob")
 
 
+def indexed(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Adds _index from 0 in the given order, for tables outside a step pipeline."""
+    first = order[0]
+    name = first._jc.toString().split(" ")[0]
+    return dense_index(df.withColumn("_o0", F.col(name)), [_renamed(first, {name: "_o0"}), *order[1:]]).drop("_o0")
+
+
 # ---------------------------------------------------------------- steps
 
 
@@ -186,15 +208,55 @@ def _select(state: State, path: str) -> State:
 
 @step("map")
 def _map(state: State, template: dict) -> State:
+    """Columns by templates over args, item and index; with `select`, of the rows of an array.
+
+    After a select, `root` is the row that the array stands in and `data` the array; both are read before the
+    array becomes rows, so root.other[index] pairs two arrays without carrying either along.  `index` then
+    counts from 0 in each array, as it does wherever a document is one row.
+    """
     template = dict(template)
     if "select" in template:
-        state = _select(state, template.pop("select"))
+        path = template.pop("select")
+        if any(names_in(x) & {"root", "data"} for t in template.values() for x in trees_of(t)):
+            return _map_selected(state, path, template)
+        state = _select(state, path)
     df = with_index(state) if _reads_index(template) else state.df
     compiler = _scope(state, df)
     keep = [c for c in df.columns if c.startswith("_o")]
     return replace(state, df=df.select(*keep, *[render(t, compiler).col.alias(k) for k, t in template.items()]))
 
 
+def _map_selected(state: State, path: str, template: dict) -> State:
+    source = _scope(state, state.df)
+    array = source(path)
+    if not isinstance(array.type, T.ArrayType):
+        raise PipelineError(f"{path} is not an array")
+    visible = [f for f in state.df.schema.fields if not f.name.startswith("_o")]
+    source.scope |= {"root": Value(F.struct(*[F.col(f"`{f.name}`") for f in visible]), T.StructType(visible)), "data": array}
+    whole, at_index = {}, {}
+    for t in template.values():
+        for tree in trees_of(t):
+            a, b = outer_parts(tree)
+            whole |= {repr(n): source.node(n) for n in a}
+            at_index |= {repr(("get", n, ("name", "index"))): source.node(n) for n in b}
+    for v in at_index.values():
+        if not isinstance(v.type, T.ArrayType):
+            raise ExpressionError("[index] needs an array")
+    order = [c for c in state.df.columns if c.startswith("_o")]
+    rows = F.transform(array.col, lambda x, i: F.struct(x.alias("item"), *[F.get(v.col, i).alias(f"z{k}") for k, v in enumerate(at_index.values())]))
+    df = state.df.select(*order, *[v.col.alias(f"_h{k}") for k, v in enumerate(whole.values())], F.posexplode(rows).alias("_index", "_row"))
+    element = array.type.elementType
+    fields = element.fields if isinstance(element, T.StructType) else [T.StructField("value", element)]
+    columns = {f.name: Value(F.col("_row.item").getField(f.name) if isinstance(element, T.StructType) else F.col("_row.item"), f.dataType) for f in fields}
+    scope = source.scope | {"item": Value(F.col("_row.item"), element), "index": Value(F.col("_index"), T.LongType())}
+    known = {n: Value(F.col(f"_h{k}"), v.type) for k, (n, v) in enumerate(whole.items())}
+    known |= {n: Value(F.col(f"_row.z{k}"), v.type.elementType) for k, (n, v) in enumerate(at_index.items())}
+    compiler = _Selected(scope, columns, state.args, known)
+    position = f"_o{len(order)}"
+    out = df.select(*order, F.col("_index").cast("long").alias(position), *[render(t, compiler).col.alias(k) for k, t in template.items()])
+    return replace(state, df=out, order=[*state.order, F.col(position).asc()], small=False)
+
+
 @step("filter")
 def _filter(state: State, expression: str) -> State:
     """Keeps rows whose expression is truthy; the scope is args, item and index."""
@@ -277,11 +339,15 @@ def _limit(state: State, params) -> State:
 
 @step("fetch")
 def _fetch(state: State, params: dict) -> State:
-    """A dependent fetch as a left lookup join on captured responses; a missing one becomes an error field.
+    """A dependent fetch as a left lookup join on captured responses; what can't be had becomes an error field.
 
-    params: table (name in tables), key (expression over the row), on (column of the table).
+    params: table (name in tables), key (expression over the row), on (column of the table); or table, url (a
+    template) and params (templates, appended as a form-encoded query): the table then has url and status, and
+    a status that isn't 2xx is an error.
     """
     table = state.tables[params["table"]]
+    if "url" in params:
+        return _fetch_url(state, params, table)
     key = _scope(state, state.df)(params["key"])
     right = table.withColumnRenamed(params["on"], "_okey")
     taken = [c for c in right.columns if c != "_okey"]
@@ -292,6 +358,23 @@ def _fetch(state: State, params: dict) -> State:
     return replace(state, df=out.select(*base.columns, *[F.col(f"_of_{c}").alias(c) for c in taken], error))
 
 
+def _fetch_url(state: State, params: dict, table: DataFrame) -> State:
+    from ..sources.web import with_query
+
+    text = str(params["url"]) + " ".join(map(str, (params.get("params") or {}).values()))
+    df = with_index(state) if _reads_index(text) else state.df
+    scope = _scope(state, df)
+    as_text = lambda v: js.string(v.col, v.type, "undefined")
+    asked = with_query(as_text(render(params["url"], scope)), {k: as_text(render(v, scope)) for k, v in (params.get("params") or {}).items()})
+    taken = [c for c in table.columns if c not in ("url", "status")]
+    right = table.select(F.col("url").alias("_ourl"), F.col("status").alias("_ostatus"), *[F.col(f"`{c}`").alias(f"_of_{c}") for c in taken])
+    base = df.drop("_index", *taken)
+    out = base.withColumn("_oasked", asked).join(right, F.col("_oasked") == F.col("_ourl"), "left")
+    ok = F.col("_ostatus").between(200, 299)
+    error = F.when(F.col("_ostatus").isNull(), F.concat(F.lit("no response from "), F.col("_oasked"))).when(~ok, F.concat(F.lit("HTTP "), F.col("_ostatus").cast("string"), F.lit(" from "), F.col("_oasked")))
+    return replace(state, df=out.select(*[F.col(f"`{c}`") for c in base.columns], *[F.when(ok, F.col(f"`_of_{c}`")).alias(c) for c in taken], error.alias("error")))
+
+
 @step("evaluate")
 def _evaluate(state: State, params) -> State:
     """Text that looks like JSON is parsed to VARIANT; text that doesn't parse stays as it is."""

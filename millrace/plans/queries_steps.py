@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import filters, js
+from .pipeline import indexed as pipeline_index
 from .pipeline import run
 from .registry import query
 
@@ -74,14 +75,6 @@ def offset_limit(t, spark):
     return offset_page(df, "k", 5, 20).drop("k")
 
 
-@query("""SELECT l.l_orderkey, l.l_linenumber, o.o_orderstatus, CASE WHEN o.o_orderkey IS NULL THEN 'not found' END AS error
-  FROM lineitem l LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') o ON l.l_orderkey = o.o_orderkey WHERE l.l_linenumber = 1""")
-def fetch_lookup(t, spark):
-    li = t("lineitem").select("l_orderkey", "l_linenumber").where("l_linenumber = 1")
-    details = t("orders").where("o_orderstatus <> 'P'").select("o_orderkey", "o_orderstatus")
-    return run([{"fetch": {"table": "details", "key": "item.l_orderkey", "on": "o_orderkey"}}], li, ["l_orderkey", "l_linenumber"], tables={"details": details}, ordered=False)
-
-
 @query("""SELECT l.l_orderkey, l.l_linenumber, o.o_orderstatus, CASE WHEN o.o_orderkey IS NULL THEN 'not found' END AS error
   FROM lineitem l LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') o ON l.l_orderkey = o.o_orderkey""")
 def fetch_lookup_all(t, spark):
@@ -90,10 +83,13 @@ def fetch_lookup_all(t, spark):
     return run([{"fetch": {"table": "details", "key": "item.l_orderkey", "on": "o_orderkey"}}], t("lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"], tables={"details": details}, ordered=False)
 
 
-@query("SELECT event_id FROM events WHERE starts_with(trim(props), '{')")
+@query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN json_extract_string(props, '$.k') END AS k, CASE event_id % 4 WHEN 1 THEN '2' END AS second, event_id % 4 < 2 AS parsed, CASE event_id % 4 WHEN 0 THEN props WHEN 1 THEN ' [1, 2]' WHEN 2 THEN '{broken' ELSE 'plain' END AS raw FROM events""")
 def evaluate_auto_parse(t, spark):
-    out = run([{"evaluate": "props"}], t("events").select("event_id", "props"), ["event_id"], ordered=False)
-    return out.where("props_json is not null").select("event_id")
+    """Text that looks like JSON becomes a value; what doesn't parse stays text."""
+    raw = F.expr("case event_id % 4 when 0 then props when 1 then ' [1, 2]' when 2 then '{broken' else 'plain' end")
+    out = run([{"evaluate": "raw"}], t("events").select("event_id", raw.alias("raw")), ["event_id"], ordered=False)
+    v = F.col("raw_json")
+    return out.select("event_id", F.try_variant_get(v, "$.k", "string").alias("k"), F.try_variant_get(v, "$[1]", "string").alias("second"), v.isNotNull().alias("parsed"), "raw")
 
 
 @query("SELECT page_id, url FROM pages WHERE contains(url, 'page=')")
@@ -121,21 +117,22 @@ def text_basename_ext(t, spark):
     return run([{"map": {"page_id": "${{ item.page_id }}", "ext": "${{ item.url | ext }}", "base": "${{ item.url | basename }}"}}], t("pages"), ["page_id"], ordered=False)
 
 
-@query("""SELECT page_id, replace(replace(replace(replace(url, ':', '%3A'), '/', '%2F'), '?', '%3F'), '&', '%26') AS rough FROM pages WHERE NOT regexp_matches(url, '[^A-Za-z0-9:/?&._~-]')""")
-def url_encode(t, spark):
-    df = t("pages").where(~F.col("url").rlike("[^A-Za-z0-9:/?&._~-]"))
-    return df.select("page_id", filters.url_encode(F.col("url")).alias("rough"))
-
-
 @query("""SELECT page_id, replace(replace(replace(replace(replace(url_encode(url), '%21', '!'), '%27', chr(39)), '%28', '('), '%29', ')'), '%2A', '*') AS encoded FROM pages""")
 def url_encode_all(t, spark):
     """Every page's url, with the characters that encoding is about."""
     return t("pages").select("page_id", filters.url_encode(F.col("url")).alias("encoded"))
 
 
-@query("SELECT doc_id, length(lang) AS n, 'x' || lang || '-' || coalesce(source, 'null') AS tag, lang = 'en' AS english FROM documents")
+@query("""SELECT doc_id, CAST(length(lang) AS BIGINT) AS n, 'x' || lang || '-' || coalesce(source, 'null') AS tag, lang = 'en' AS english, CASE WHEN n_chars > 1000 THEN 'long' ELSE 'short' END AS size, least(CASE WHEN lang = 'en' THEN n_chars ELSE n_chars + 10 END, 2000)::DOUBLE AS most,
+  CASE WHEN lang = '' OR lang IS NULL THEN 'none' ELSE lang END || '!' AS marked, strftime(make_timestamp(doc_id * 1000000000), '%Y-%m-%d') AS day, n_chars % 7 = 0 OR lang <> 'en' AS either, (n_chars - doc_id * 2)::BIGINT AS math, upper(left(lang, 1)) AS letter, contains(text, 'the') AS has_the, n_chars::DOUBLE / 4 AS quarter,
+  regexp_extract(text, '^([^ ]*)', 1) AS word, CAST(n_chars AS VARCHAR) || ' chars' AS told FROM documents""")
 def expression_corpus(t, spark):
-    spec = [{"map": {"doc_id": "${{ item.doc_id }}", "n": "${{ item.lang | length }}", "tag": "x${{ item.lang }}-${{ item.source ?? 'null' }}", "english": "${{ item.lang === 'en' }}"}}]
+    """The forms that templates of the language use: paths, defaults, ternaries, calls, dates, methods, interpolation."""
+    spec = [{"map": {
+        "doc_id": "${{ item.doc_id }}", "n": "${{ item.lang | length }}", "tag": "x${{ item.lang }}-${{ item.source ?? 'null' }}", "english": "${{ item.lang === 'en' }}", "size": "${{ item.n_chars > 1000 ? 'long' : 'short' }}",
+        "most": "${{ Math.min(item.lang === 'en' ? item.n_chars : item.n_chars + 10, 2000) }}", "marked": "${{ (item.lang || 'none') + '!' }}", "day": "${{ new Date(item.doc_id * 1000000).toISOString().slice(0, 10) }}", "either": "${{ item.n_chars % 7 === 0 || item.lang !== 'en' }}",
+        "math": "${{ item.n_chars - item.doc_id * 2 }}", "letter": "${{ item.lang.slice(0, 1).toUpperCase() }}", "has_the": "${{ item.text.includes('the') }}", "quarter": "${{ Number(item.n_chars) / 4 }}", "word": "${{ item.text.split(' ')[0] }}", "told": "${{ `${item.n_chars} chars` }}",
+    }}]
     return run(spec, t("documents"), ["doc_id"], ordered=False).withColumn("n", F.col("n").cast("long"))
 
 
@@ -159,7 +156,21 @@ def select_array_rows(t, spark):
     return run([{"select": "result.items"}], df, ["r_name"], ordered=False).select("n_name", "r_name", "i")
 
 
-@query("SELECT a.n_nationkey, a.n_name AS left_name, b.n_name AS right_name FROM nation a LEFT JOIN nation b ON b.n_nationkey = 24 - a.n_nationkey")
+@query("SELECT a.o_orderkey, a.o_orderdate AS left_date, b.o_orderkey AS right_key FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS r FROM orders) a LEFT JOIN (SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders WHERE o_orderstatus <> 'P') b ON a.r = b.r")
 def zip_positions(t, spark):
-    n = t("nation").agg(F.sort_array(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("a"))
-    return n.select(F.inline(F.arrays_zip(F.col("a"), F.reverse("a").alias("b")))).select("a.n_nationkey", F.col("a.n_name").alias("left_name"), F.col("b.n_name").alias("right_name"))
+    """Two tables side by side by position, each in its own order; the shorter one ends in nulls."""
+    o = t("orders")
+    left = pipeline_index(o.select("o_orderkey", F.col("o_orderdate").alias("left_date")), [F.col("o_orderkey")])
+    right = pipeline_index(o.where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("right_key"), "o_totalprice"), [F.desc("o_totalprice"), F.asc("right_key")])
+    return left.join(right, "_index", "left").select("o_orderkey", "left_date", "right_key")
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_extendedprice AS bid, next AS ask, 'order ' || l_orderkey || ' of ' || n AS label FROM (
+  SELECT l_orderkey, l_linenumber, l_extendedprice, lead(l_extendedprice) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_extendedprice) AS next, count(*) OVER (PARTITION BY l_orderkey) AS n, l_linenumber - 1 AS i FROM lineitem)""")
+def zip_root(t, spark):
+    """map over one array of a document, with `root` reading another one at the same index, and the document's fields."""
+    line = F.sort_array(F.collect_list(F.struct("l_linenumber", "l_extendedprice")))
+    docs = t("lineitem").groupBy("l_orderkey").agg(line.alias("lines"))
+    docs = docs.select("l_orderkey", "lines", F.transform(F.slice("lines", 2, 1_000_000), lambda x: x["l_extendedprice"]).alias("asks"))
+    spec = [{"map": {"select": "lines", "l_orderkey": "${{ root.l_orderkey }}", "l_linenumber": "${{ item.l_linenumber }}", "bid": "${{ data[index].l_extendedprice }}", "ask": "${{ root.asks[index] }}", "label": "order ${{ root.l_orderkey }} of ${{ data.length }}"}}]
+    return run(spec, docs, ["l_orderkey"], ordered=False)
