@@ -38,7 +38,47 @@ def shared_base(spark: SparkSession) -> str:
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new, unique folder name in the shared folder (not yet made)."""
-    return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
+    made = f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
+    if _Made.open:
+        _Made.folders.append(made)
+    return made
+
+
+class _Made:
+    """Folders named while a pipeline's stage builds its result."""
+
+    open = False
+    folders: list[str] = []
+
+
+def stage(f):
+    """A pipeline's stage (spark, docs, sf_dir) -> DataFrame, which first removes what the stage before it made.
+
+    A stage's result is written before the next stage begins, so the tables it was read from are done with then;
+    what lies in the shared folder stays bounded by one stage.  Results written by others are never removed.
+    """
+
+    @wraps(f)
+    def run(spark, docs, sf_dir):
+        sweep(spark)
+        _Made.open = True
+        try:
+            return f(spark, docs, sf_dir)
+        finally:
+            _Made.open = False
+
+    return run
+
+
+def sweep(spark: SparkSession) -> None:
+    """Removes the folders of the stage before; Spark frees shuffles that no frame refers to any more."""
+    gone, _Made.folders = _Made.folders, []
+    jvm = spark.sparkContext._jvm
+    for folder in gone:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
 
 
 def save(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:

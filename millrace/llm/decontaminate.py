@@ -385,7 +385,8 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "d
     Rows travel through the automaton whole, so no join back is needed.
     """
     names = docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).alias("row"), F.col(text_col).alias("text"))
+    # all but what the cut text gives anew
+    packed = docs.select(F.struct(F.lit(True).alias("row"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names) if c not in (text_col, "n_chars")]).alias("row"), F.col(text_col).alias("text"))
     scored = contamination(packed, benchmark, "row", "text").where(~F.col("contaminated"))
     out = [F.col("cut").alias(c) if c == text_col else F.char_length("cut").cast("long").alias(c) if c == "n_chars" else F.col(f"doc_id.c{i}").alias(c) for i, c in enumerate(names)]
     return scored.select(*out)
