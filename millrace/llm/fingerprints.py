@@ -15,7 +15,7 @@ pieces, so memory is bounded by a text and its digest, not by arrays over all it
 Input cases: null is the empty text, which has no features and an empty filter (like only to another
 empty one); texts shorter than a window are one feature; a null doc_id is the smallest; rows that repeat
 a doc_id are ordered by text; a lone document is its own next one; an empty table gives an empty table;
-other columns are ignored.
+other columns are ignored; an id that isn't a whole number raises.
 """
 
 from __future__ import annotations

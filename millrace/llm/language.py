@@ -74,6 +74,27 @@ class ByteConvNet:
         z = np.exp(z - z.max(1, keepdims=True))
         return z / z.sum(1, keepdims=True)
 
+    def gradients(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, list[np.ndarray]]:
+        """Cross-entropy of windows, weighted by class, and its gradient by each parameter: tables, bias, dense, offset."""
+        raw, at = self.pooled(x, where=True)
+        h = np.maximum(raw + self.bias, 0)
+        z = h @ self.dense + self.offset
+        p = np.exp(z - z.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        n = np.arange(len(x))
+        loss = float(-(np.log(np.maximum(p[n, y], 1e-12)) * weight[y]).sum() / len(x))
+        p[n, y] -= 1
+        p *= weight[y][:, None] / len(x)
+        gh = (p @ self.dense.T) * (h > 0)
+        grads = []
+        for i, w in enumerate(WIDTHS):
+            g = np.zeros_like(self.tables[i])
+            part = gh[:, i * FILTERS : (i + 1) * FILTERS]
+            for k in range(w):  # only the window's best position sees the gradient
+                np.add.at(g[k], (x[n[:, None], at[i] + k], np.arange(FILTERS)[None, :]), part)
+            grads.append(g)
+        return loss, [*grads, gh.sum(0), h.T @ p, p.sum(0)]
+
     def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 8, batch: int = 64, rate: float = 3e-3, seed: int = 1) -> ByteConvNet:
         """Adam on cross-entropy; classes weigh the same whatever their number of windows."""
         rng = np.random.default_rng(seed)
@@ -86,24 +107,7 @@ class ByteConvNet:
                 if not lo:
                     order = rng.permutation(len(x))
                 b = order[lo : lo + batch]
-                xb, yb = x[b], y[b]
-                raw, at = self.pooled(xb, where=True)
-                h = np.maximum(raw + self.bias, 0)
-                z = h @ self.dense + self.offset
-                p = np.exp(z - z.max(1, keepdims=True))
-                p /= p.sum(1, keepdims=True)
-                p[np.arange(len(b)), yb] -= 1
-                p *= weight[yb][:, None] / len(b)
-                gh = (p @ self.dense.T) * (h > 0)
-                grads = []
-                rows = np.arange(len(b))[:, None]
-                for i, w in enumerate(WIDTHS):
-                    g = np.zeros_like(self.tables[i])
-                    part = gh[:, i * FILTERS : (i + 1) * FILTERS]
-                    for k in range(w):
-                        np.add.at(g[k], (xb[rows, at[i] + k], np.arange(FILTERS)[None, :]), part)
-                    grads.append(g)
-                grads += [gh.sum(0), h.T @ p, p.sum(0)]
+                _, grads = self.gradients(x[b], y[b], weight)
                 step += 1
                 for q, g, a, c in zip(params, grads, m, v, strict=True):
                     a += 0.1 * (g - a)

@@ -6,7 +6,8 @@ tiktoken vocabulary is low, after known digests (hex of the usual lengths), UUID
 dates, addresses and one-case words are excluded.  One pass, no shuffle.
 
 Input cases: null and empty text have no spans; offsets are code points, end exclusive; repeated rows
-keep their rows; an empty table gives an empty table; other columns are ignored.
+keep their rows; an empty table gives an empty table; other columns are ignored; an id that isn't a
+whole number raises.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@
 * Only a spanning forest of each bucket's links leaves a task; `components` joins the rest.
 
 Input cases: null or blank text has no words and gets fingerprint 0, linked like any other; repeated
-rows keep their own output rows; an empty table gives an empty table; extra columns are ignored.
+rows keep their own output rows; an empty table gives an empty table; extra columns are ignored; an id
+that isn't a whole number raises.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ partition, so a retried task replaces its file with an equal one:
 
 Input cases: null and empty text is the end id alone; a null doc_id sorts first and comes back as null;
 rows that repeat a doc_id are ordered by text; an empty table gives no files and no rows; other columns
-are ignored.
+are ignored; an id that isn't a whole number raises.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@
 Bound on training: TRAIN_DOCS documents a label, chosen by hash.
 
 Input cases: null and wordless text scores like a text without gains; without both labels in training the
-score is 0; long texts are scored over all words; repeated rows keep their rows; a document with several
+score is 0, for want of anything learned; an id that isn't a whole number raises; long texts are scored over all words; repeated rows keep their rows; a document with several
 labels counts once for each; an empty table gives an empty table; other columns are ignored.
 """
 
@@ -138,9 +138,9 @@ def fit(texts: list[str | None], labels: list[int], rate: float | None = None) -
 
     rng = random.Random(0)
     pos, neg = ([t for t, y in zip(texts, labels, strict=True) if y == v] for v in (1, 0))
-    if len(pos) < 8 or len(neg) < 8:
+    if not pos or not neg:
         return None
-    a, b, c, d = pos[::2], pos[1::2], neg[::2], neg[1::2]
+    a, b, c, d = pos[::2], pos[1::2] or pos, neg[::2], neg[1::2] or neg  # a single document must do for both
     n_tox, n_ord = (Counter(w for t in part for w in words(t)) for part in (a, c))
     chosen = [w for w, n in n_tox.items() if n >= LEAST_DOCS and len(w) >= 3 and n / len(a) > LIFT * (n_ord[w] + 0.5) / (len(c) + 1)]
     chosen.sort(key=lambda w: (n_tox[w], w))  # the most frequent end up nearest, where references are shortest

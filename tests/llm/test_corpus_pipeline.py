@@ -45,3 +45,21 @@ def test_odd_documents(spark, odd_docs, no_docs, sf):
             now = save(stage(spark, now, sf), name)
         assert now.columns[:3] == ["doc_id", "start", "n_tokens"]
     assert now.count() == 0
+
+
+def test_stages_remove_what_the_one_before_made(spark, odd_docs):
+    import os
+
+    from millrace.llm import common
+
+    made = []
+
+    @common.stage
+    def make(spark, docs, sf_dir):
+        made.append(common.local_path(common.shared_folder(spark, "own")))
+        return save(docs.select("doc_id"), "inner")
+
+    first = save(make(spark, odd_docs, ""), "kept")
+    os.makedirs(made[0])
+    make(spark, first, "")
+    assert not os.path.exists(made[0]) and first.count() == 9

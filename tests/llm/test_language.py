@@ -25,6 +25,28 @@ def test_max_pooling_gradient_matches_differences():
     assert np.allclose(pooled[:, : lg.FILTERS], z.max(1)) and (at[0] == z.argmax(1)).all()
 
 
+def test_gradients_match_finite_differences():
+    rng = np.random.default_rng(5)
+    net = lg.ByteConvNet(["a", "b", "c"], seed=4)
+    net.tables = [t.astype(np.float64) for t in net.tables]
+    net.bias, net.dense, net.offset = net.bias.astype(np.float64) + 0.05, net.dense.astype(np.float64), net.offset.astype(np.float64)
+    x = rng.integers(97, 110, (6, lg.LENGTH)).astype(np.uint8)
+    y, weight = np.array([0, 1, 2, 0, 1, 1]), np.array([1.0, 0.5, 2.0])
+    _, grads = net.gradients(x, y, weight)
+    params = [*net.tables, net.bias, net.dense, net.offset]
+    for q, g in zip(params, grads, strict=True):
+        spots = np.argwhere(np.abs(g) > np.abs(g).max() / 3)[:4]
+        assert len(spots)
+        for at in map(tuple, spots):
+            keep, eps = q[at], 1e-6
+            q[at] = keep + eps
+            up = net.gradients(x, y, weight)[0]
+            q[at] = keep - eps
+            down = net.gradients(x, y, weight)[0]
+            q[at] = keep
+            assert abs((up - down) / (2 * eps) - g[at]) < 1e-5
+
+
 def test_query_accuracy_and_contract(spark, sf):
     out = lg.op1_language_id(spark, sf).toPandas()
     docs = spark.read.parquet(f"{sf}/documents.parquet").toPandas().merge(out, on="doc_id")

@@ -27,6 +27,13 @@ def test_deviation_is_under_one_block(spark):
     assert all(abs(share[s] - weights[s]) < 0.03 for s in sizes)
 
 
+def test_cells_of_one_id_are_cut_without_changing_the_order(spark):
+    rows = [(i if i % 3 else None, "ab"[i % 2], f"t{i}") for i in range(300)] + [(7, "a", "same")] * 4
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(4)
+    one, many = (sorted(tuple(r) for r in mx.mix_sources(docs, hot_cell=h).select("position", "slot", "source", "text").collect()) for h in (mx.HOT_CELL, 2))
+    assert one == many and [r[0] for r in one] == list(range(304))
+
+
 def test_no_python_on_executors(spark, sf):
     plan = mx.op3_mix_sources(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))

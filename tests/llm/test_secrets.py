@@ -21,6 +21,22 @@ def test_random_strings_are_found_and_known_ones_left():
         assert find(f"see {known} here") == []
 
 
+def test_recall_of_planted_random_strings():
+    import random
+    import string
+
+    rng, encode = random.Random(8), se.vocabulary()
+    words = "the of and house water other people written plainly with nothing hidden".split()
+    found = false = 0
+    for _ in range(300):
+        key = "".join(rng.choices(string.ascii_letters + string.digits, k=rng.randint(24, 60)))
+        text = " ".join([*rng.choices(words, k=8), key, *rng.choices(words, k=8)])
+        spans = [text[a:b] for a, b, _ in se.random_spans(text, se.base_spans(text), encode)]
+        found += spans == [key]
+        false += bool(se.random_spans(" ".join(rng.choices(words, k=30)), [], encode))
+    assert found >= 0.95 * 300 and not false
+
+
 def test_query_by_brute_force(spark, sf):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     out = se.op6_secret_scan(spark, sf).collect()

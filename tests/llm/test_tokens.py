@@ -62,3 +62,22 @@ def test_odd_documents_and_ranges(spark, odd_docs, no_docs):
         base += n
     folder, parts = tokenfile.write_tokens(no_docs)
     assert parts == [] and tokenfile.read_tokens(spark, folder, parts).count() == 0
+
+
+def test_tokenizers_with_other_rules_encode_whole_texts():
+    from pathlib import Path
+
+    import public_tokenizers
+    from millrace.llm.tokens import Encoder
+
+    texts = ["a b  c", "Hello, world! it's 12 o'clock", " lead and trail ", "grüße\nfrom 漢字", "<|endoftext|> x", "", None]
+    seen = set()
+    for path in sorted(Path(public_tokenizers.__file__).parent.glob("*.json")):
+        try:
+            e = Encoder(str(path))
+        except Exception:  # noqa: BLE001  not a tokenizers file
+            continue
+        seen.add(e.cuts)
+        want = [e.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(x, e.dtype).tolist() for x in e.ids(texts)] == want
+    assert True in seen

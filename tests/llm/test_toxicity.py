@@ -44,7 +44,9 @@ def test_query_contract(spark, sf):
 
 def test_odd_documents(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1, 1), (2, 0, 0), (None, 0, 1), (5, None, None)], "doc_id long, quality int, toxic int")
-    assert tx.train(odd_docs, labels) is None
+    few = tx.train(odd_docs, labels)  # one document a label is little to learn from, but not nothing
+    assert few is not None and all(0 <= r.score <= 1 for r in tx.with_toxicity(odd_docs, few).collect())
+    assert tx.train(odd_docs, labels.where("doc_id = 1")) is None
     model = tx.fit(*corpus(200), None)
     assert tx.with_toxicity(odd_docs, model).count() == 9 and tx.with_toxicity(no_docs, model).count() == 0
     assert {r.score for r in tx.with_toxicity(odd_docs, None).collect()} == {0.0}

@@ -31,3 +31,13 @@ def test_lookups_and_odd_pages(spark):
     assert len(index.captures(None)) == 1
     folder, parts = warc.write_warc(pages.limit(0))
     assert warc.read_warc(spark, folder, parts).count() == 0
+
+
+def test_clashing_columns_and_many_revisits(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SMALL", 0)
+    rows = [(i, f"http://h{i % 7}.example.com/{i}", "y" * 150 if i % 3 else f"<p>{i}" + "z" * 120, "k", 1, "d", None) for i in range(200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, key string, refers_to int, digest string, surt string").repartition(3)
+    folder, parts = warc.write_warc(pages)
+    out = {r.page_id: r for r in warc.read_warc(spark, folder, parts).collect()}
+    assert len(out) == 200 and out[1].refers_to is None and all(out[i].refers_to == 1 and out[i].record_type == "revisit" for i in range(2, 200) if i % 3)
+    assert all(out[i].record_type == "response" and out[i].payload_bytes == len(rows[i][2]) for i in range(0, 200, 3))
