@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -9,11 +10,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def flatten_forest(nodes: DataFrame, tree: str, node: str, parent: str, order: str, most_depth: int = 10, per_level: int | None = None, deleted: str | None = None) -> DataFrame:
+def flatten_forest(nodes: DataFrame, tree: str, node: str, parent: str, order: str, most_depth: int | None = None, per_level: int | None = None, deleted: str | None = None) -> DataFrame:
     """Rows with depth and path (array of sibling ranks: sorting by it is depth first).
 
     Children of deleted nodes vanish with them; siblings beyond per_level are left out.  One join a level,
-    on (tree, parent), of the frontier only.
+    on (tree, parent), of the frontier only.  Without most_depth all levels come: each is checkpointed, and the
+    first empty one is the end.
     """
     live = nodes.where(~F.col(deleted)) if deleted else nodes
     rank = F.row_number().over(Window.partitionBy(tree, parent).orderBy(order, node))
@@ -22,13 +24,28 @@ def flatten_forest(nodes: DataFrame, tree: str, node: str, parent: str, order: s
         ranked = ranked.where(F.col("_rank") <= per_level)
     level = ranked.where(F.col(parent).isNull()).withColumn("depth", F.lit(0).cast("long")).withColumn("path", F.array("_rank"))
     out = level
-    for d in range(1, most_depth + 1):
+    d = 0
+    while most_depth is None or d < most_depth:
+        d += 1
+        if most_depth is None:
+            level = checkpointed(level)
+            out = level if d == 1 else out.unionByName(level)
+            if level.isEmpty():
+                break
         up = level.select(F.col(tree).alias("_t"), F.col(node).alias("_p"), F.col("path").alias("_path"))
         level = ranked.join(up, (F.col(tree) == F.col("_t")) & (F.col(parent) == F.col("_p"))).withColumn("depth", F.lit(d).cast("long")).withColumn("path", F.concat("_path", F.array("_rank"))).drop("_t", "_p", "_path")
-        out = out.unionByName(level)
+        out = out if most_depth is None else out.unionByName(level)
     return out.drop("_rank")
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df cut off from its lineage, in the folder that the cluster shares (a temporary one only where none is set)."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="millrace-"))
+    return df.checkpoint()
+
+
 def subtree_sums(flat: DataFrame, tree: str, node: str, value: str) -> DataFrame:
     """(tree, node, total, size): sums over each node's descendants, itself included, by prefixes of paths."""
     up = flat.select(tree, F.col(value).alias("_v"), F.explode(F.transform(F.sequence(F.lit(1), F.size("path")), lambda i: F.slice("path", 1, i))).alias("path"))

@@ -161,16 +161,20 @@ def with_index(state: State) -> DataFrame:
 def dense_index(df: DataFrame, order: list[Column], pieces: int = 64) -> DataFrame:
     """_index from 0 without sorting all rows in one task: counts of ranges of the first key, then rows in each.
 
-    The first key is ranked by its approximate quantiles where it is numeric; otherwise by the hash-free
-    fallback of a single window, which is meant for small tables.
+    The first key is ranked by approximate quantiles: Spark's sketch where it is numeric, those of a bounded sample
+    of values where it is a text.  Other types fall back to a single window, which is meant for small tables.
     """
     name = "_o0" if "_o0" in df.columns else None
     dtype = df.schema[name].dataType if name else T.StringType()
-    if not (name and js.is_numeric(dtype)):
+    if not (name and (js.is_numeric(dtype) or isinstance(dtype, T.StringType))):
         return df.withColumn("_index", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)).cast("long") - 1)
-    cuts = sorted(set(df.select(F.col(name).cast("double").alias("k")).approxQuantile("k", [i / pieces for i in range(1, pieces)], 0.001)))
+    if js.is_numeric(dtype):
+        cuts = sorted(set(df.select(F.col(name).cast("double").alias("k")).approxQuantile("k", [i / pieces for i in range(1, pieces)], 0.001)))
+        cuts = [float(c) for c in cuts]
+    else:
+        cuts = text_cuts(df, name, pieces)
     descending = "DESC" in str(order[0])
-    below = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c < F.col(name))) if cuts else F.lit(0)
+    below = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(name))) if cuts else F.lit(0)
     cut = df.withColumn("_oc", F.coalesce(-below if descending else below, F.lit(pieces if descending else -1)))
     counts = cut.groupBy("_oc").count()
     before = Window.partitionBy(F.lit(0)).orderBy("_oc").rowsBetween(Window.unboundedPreceding, -1)
@@ -179,6 +183,15 @@ def dense_index(df: DataFrame, order: list[Column], pieces: int = 64) -> DataFra
     return cut.join(F.broadcast(base), "_oc").withColumn("_index", F.row_number().over(inside) - 1 + F.col("_ob")).drop("_oc", "_ob")
 
 
+def text_cuts(df: DataFrame, name: str, pieces: int, most: int = 20_000) -> list[str]:
+    """Texts near a column's quantiles, from about `most` of its values chosen by hash; in Spark's order, by bytes."""
+    values = df.select(F.col(name).alias("k")).where("k is not null")
+    n = values.count()
+    some = values.where(F.pmod(F.xxhash64("k"), F.lit(1 << 30)) < int(min(1.0, most / max(1, n)) * (1 << 30))) if n > most else values
+    got = sorted({r.k for r in some.distinct().collect()}, key=str.encode)
+    return [got[len(got) * i // pieces] for i in range(1, pieces)] if len(got) >= pieces else got
+
+
 def indexed(df: DataFrame, order: list[Column]) -> DataFrame:
     """Adds _index from 0 in the given order, for tables outside a step pipeline."""
     first = order[0]

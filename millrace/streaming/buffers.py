@@ -13,12 +13,15 @@ LEASE_TTL_S = 45
 def ring_buffer(events: DataFrame, stream: str, arrival: str, ts: Column, now: Column, most: int = MOST_ITEMS, age_s: float = MOST_AGE_S) -> DataFrame:
     """What a buffer holds at `now`: the newest `most` arrivals after the last prefix that was too old.
 
-    Age prunes only a prefix in arrival order, so an old event behind a fresh one survives.
+    Age prunes only a prefix in arrival order, so an old event behind a fresh one survives: what counts is each
+    stream's first fresh arrival, an aggregate.  The newest `most` are cut before the shuffle, so a stream that
+    holds most events sends that many rows a task.
     """
-    w = Window.partitionBy(stream).orderBy(arrival)
-    fresh = F.max(F.when(now - F.col("_ts") <= age_s, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    timed = events.withColumn("_ts", ts).withColumn("_fresh", now - F.col("_ts") <= age_s)
+    first = timed.where("_fresh").groupBy(F.col(stream).alias("_s")).agg(F.min(arrival).alias("_first"))
+    kept = timed.join(first, F.col(stream).eqNullSafe(F.col("_s"))).where(F.col(arrival) >= F.col("_first"))
     newest = F.row_number().over(Window.partitionBy(stream).orderBy(F.desc(arrival)))
-    return events.withColumn("_ts", ts).withColumn("_fresh", fresh).withColumn("_n", newest).where((F.col("_fresh") == 1) & (F.col("_n") <= most)).drop("_ts", "_fresh", "_n")
+    return kept.withColumn("_n", newest).where(F.col("_n") <= most).select(*events.columns)
 
 
 def live_leases(beats: DataFrame, key: str, ts: Column, now: Column, ttl_s: float = LEASE_TTL_S) -> DataFrame:
@@ -100,11 +103,19 @@ def upsert_sink(target: str, key: str, order: str):
     """foreachBatch function that merges each batch into a Parquet folder, newest row a key; batches are versioned by id,
     so replaying one replaces its own output."""
 
+    def before(spark: SparkSession, epoch: int) -> DataFrame | None:
+        """The newest version before an epoch; batches without rows may have left none."""
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        found = [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+        versions = [int(n[1:]) for n in found if n[:1] == "v" and n[1:].isdigit() and int(n[1:]) < epoch]
+        return spark.read.parquet(f"{target}/v{max(versions)}") if versions else None
+
     def merge(batch: DataFrame, epoch: int) -> None:
         from ..operators.dedupe import keep_last
 
-        spark = batch.sparkSession
-        old = spark.read.parquet(f"{target}/v{epoch - 1}") if epoch else batch.limit(0)
+        old = before(batch.sparkSession, epoch)
+        old = batch.limit(0) if old is None else old
         keep_last(old.unionByName(batch), [key], [order]).write.mode("overwrite").parquet(f"{target}/v{epoch}")
 
     return merge

@@ -225,3 +225,34 @@ def test_nested_values(spark):
 def test_evidence_of_bodies():
     e = pages.evidence_of(json.dumps({"data": {"items": [{"id": 1}]}, "event": 1}))
     assert (e["keys"], e["business"], e["tracking"], e["nested"]) == (2, 3, 1, True) and pages.evidence_of(" <p>")["html"] and pages.evidence_of(None)["words"] is None
+
+
+def test_forest_of_any_depth(spark):
+    from millrace.operators import trees
+
+    chain = [("t", i, i - 1 if i else None) for i in range(14)] + [("u", 0, None)]
+    df = spark.createDataFrame(chain, "tree string, node int, parent int")
+    assert trees.flatten_forest(df, "tree", "node", "parent", "node").count() == 15
+    assert trees.flatten_forest(df, "tree", "node", "parent", "node", most_depth=3).count() == 5
+
+
+def test_index_by_text(spark):
+    df = spark.createDataFrame([(f"k{(i * 7919) % 5003}" if i % 50 else None, i) for i in range(4000)], "k string, i int").repartition(7)
+    rows = pl.run([{"sort": "k"}, {"map": {"i": "${{ item.i }}", "k": "${{ item.k }}", "n": "${{ index }}"}}], df, ["i"], ordered=False).collect()
+    assert sorted(r.n for r in rows) == list(range(4000))
+    one = pl.with_index(pl.State(df.withColumn("_o0", F.col("k")), [F.col("_o0").asc_nulls_first(), F.col("i")], small=True)).collect()
+    many = pl.dense_index(df.withColumn("_o0", F.col("k")), [F.col("_o0").asc_nulls_first(), F.col("i")], pieces=16).collect()
+    assert {(r.i, r._index) for r in one} == {(r.i, r._index) for r in many}
+
+
+def test_buffers_and_versions(spark, tmp_path):
+    from millrace.streaming import buffers
+
+    rows = [("a", i, float(t)) for i, t in enumerate([0, 500, 1, 510, 520, 530])] + [("b", 1, 0.0), (None, 1, 525.0)]
+    df = spark.createDataFrame(rows, "s string, seq int, ts double")
+    got = buffers.ring_buffer(df, "s", "seq", F.col("ts"), F.lit(530.0), most=4, age_s=100.0).collect()
+    assert sorted((r.s or "", r.seq) for r in got) == [("", 1), ("a", 2), ("a", 3), ("a", 4), ("a", 5)]
+    merge = buffers.upsert_sink(str(tmp_path / "t"), "k", "seq")
+    merge(spark.createDataFrame([("a", 1)], "k string, seq long"), 0)
+    merge(spark.createDataFrame([("b", 1)], "k string, seq long"), 3)
+    assert spark.read.parquet(str(tmp_path / "t" / "v3")).count() == 2
