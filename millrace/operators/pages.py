@@ -7,7 +7,7 @@ import re
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -149,6 +149,26 @@ def evidence_class(score: Column, status: Column | None = None) -> Column:
     return graded if status is None else F.when(status.isin(401, 403), "blocked").otherwise(graded)
 
 
+def top_evidence(responses: DataFrame, site: str, order: str, most: int = 8) -> DataFrame:
+    """The responses of each site that may be data, best score first, ties in order: rank from 1, at most `most`.
+
+    responses: site, order, score and verdict columns.  Noise with a score of 0 is no evidence.
+    """
+    w = Window.partitionBy(site).orderBy(F.desc("score"), order)
+    some = responses.where((F.col("verdict") != "noise") | (F.col("score") > 0))
+    return some.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= most)
+
+
+def site_patterns(responses: DataFrame, site: str, order: str, ssr: Column) -> DataFrame:
+    """(site, auth_failures, json_responses, candidates, pattern) from captured responses (status, content_type, score,
+    verdict); candidates are counted among the evidence of `top_evidence`, as a reader of a report sees it."""
+    json_type = F.coalesce(F.col("content_type").rlike("(?i)json"), F.lit(False))
+    all_of = responses.groupBy(site).agg(F.count_if(F.col("status").isin(401, 403)).alias("auth_failures"), F.count_if(json_type).alias("json_responses"), F.bool_or(ssr).alias("_ssr"))
+    good = top_evidence(responses, site, order).groupBy(site).agg(F.count_if(F.col("verdict").isin("likely_data", "maybe_data")).alias("candidates"))
+    both = all_of.join(good, site, "left").withColumn("candidates", F.coalesce("candidates", F.lit(0)))
+    return both.select(site, "auth_failures", "json_responses", "candidates", site_pattern(F.col("auth_failures"), F.col("json_responses"), F.col("_ssr"), F.col("candidates")).alias("pattern"))
+
+
 def site_pattern(auth_failures: Column, json_responses: Column, ssr: Column, candidates: Column) -> Column:
     """D, B, A or C by the decision tree over a site's aggregates."""
     return F.when((auth_failures >= 2) & (json_responses >= 1), "D").when(ssr, "B").when(candidates >= 1, "A").otherwise("C")

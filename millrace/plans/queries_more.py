@@ -534,3 +534,19 @@ def merge_order(t, spark):
     """Events of all streams in order of time, then id."""
     w = Window.partitionBy("user_id").orderBy(*sessions.merge_order("ts", "event_id"))
     return t("events").select("user_id", "event_id", F.row_number().over(w).cast("long").alias("place"))
+
+
+@query(r"""WITH c AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<!--.*?-->', '', 'g'), '(?is)(<(?:script|style)\b[^>]*>).*?</(?:script|style)>', '\1', 'g') AS html FROM pages),
+  x AS (SELECT page_id, regexp_extract_all(html, '<([a-zA-Z][a-zA-Z0-9]*)', 1) AS tags FROM c)
+  SELECT page_id, CAST(generate_subscripts(tags, 1) - 1 AS BIGINT) AS node, lower(unnest(tags)) AS tag FROM x""")
+def html_tags(t, spark):
+    """The elements of every page in document order, from its node table."""
+    return trees.html_nodes(t("pages"), "page_id", "html").select(F.col("id").alias("page_id"), "node", "tag")
+
+
+@query(r"""WITH c AS (SELECT page_id, regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1) AS h FROM pages)
+  SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(h, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM c WHERE h <> ''""")
+def markdown_titles(t, spark):
+    """The first-level heading of every page's Markdown, which must be the page's own."""
+    md = t("pages").select("page_id", text.article_markdown("html").alias("m"))
+    return md.select("page_id", F.regexp_extract("m", r"(?m)^# (.*)$", 1).alias("title")).where("title <> ''")

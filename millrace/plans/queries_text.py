@@ -157,17 +157,40 @@ def classify_pages(t, spark):
   SELECT event_id, score, CASE WHEN status = 401 THEN 'blocked' WHEN score >= 0.65 THEN 'likely_data' WHEN score >= 0.35 THEN 'maybe_data' ELSE 'noise' END AS verdict FROM r""")
 def endpoint_scores(t, spark):
     """Captured responses with bodies of every kind: arrays, objects, markup, text and none."""
+    return _responses(t).select("event_id", "score", "verdict")
+
+
+def _responses(t):
     body = F.expr("""element_at(array('[1, 2]', '[]', '{}', '{"items": [{"id": 1}], "title": "x"}', '{"event": "view", "clientId": "c"}', ' <html>', 'a plain text of over twenty characters', null), cast(event_id % 8 as int) + 1)""")
-    e = t("events").select("event_id", F.expr("case when event_id % 10 = 0 then 401 when event_id % 10 < 8 then 200 else 500 end").alias("status"), F.expr("element_at(array('text/html', 'application/json', 'text/plain'), cast(event_id % 3 as int) + 1)").alias("ct"), F.expr("if(event_id % 7 = 0, '/api/metrics', '/api/list')").alias("url"), body.alias("body"))
+    e = t("events").select("event_id", "user_id", F.expr("case when event_id % 10 = 0 then 401 when event_id % 10 < 8 then 200 else 500 end").alias("status"), F.expr("element_at(array('text/html', 'application/json', 'text/plain'), cast(event_id % 3 as int) + 1)").alias("content_type"), F.expr("if(event_id % 7 = 0, '/api/metrics', '/api/list')").alias("url"), body.alias("body"))
     e = e.withColumn("b", pg.body_evidence("body"))
-    score = pg.endpoint_score(F.col("status"), F.col("ct"), F.col("url").rlike(pg.NOISE_URL), *[F.col(f"b.{c}") for c in ("items", "keys", "business", "tracking", "nested", "html", "words")])
-    return e.withColumn("score", score).select("event_id", "score", pg.evidence_class(F.col("score"), F.col("status")).alias("verdict"))
+    score = pg.endpoint_score(F.col("status"), F.col("content_type"), F.col("url").rlike(pg.NOISE_URL), *[F.col(f"b.{c}") for c in ("items", "keys", "business", "tracking", "nested", "html", "words")])
+    return e.withColumn("score", score).withColumn("verdict", pg.evidence_class(F.col("score"), F.col("status")))
+
+
+@query("""WITH e AS (SELECT event_id, user_id, event_id % 8 AS kind, CASE WHEN event_id % 10 = 0 THEN 401 WHEN event_id % 10 < 8 THEN 200 ELSE 500 END AS status, CASE event_id % 3 WHEN 0 THEN 'text/html' WHEN 1 THEN 'application/json' ELSE 'text/plain' END AS ct, event_id % 7 = 0 AS noisy FROM events),
+  s AS (SELECT event_id, user_id, status, ct, (CASE WHEN status = 200 THEN 0.15 ELSE 0 END + CASE ct WHEN 'application/json' THEN 0.20 WHEN 'text/html' THEN -0.25 ELSE 0.05 END - CASE WHEN noisy THEN 0.30 ELSE 0 END
+    + CASE kind WHEN 0 THEN 0.30 WHEN 1 THEN -0.15 WHEN 2 THEN -0.15 WHEN 3 THEN 0.12 + 0.05 * 3 + 0.20 WHEN 4 THEN 0.12 - 0.08 * 2 WHEN 5 THEN -0.25 WHEN 6 THEN 0.05 ELSE 0 END)::DOUBLE AS raw FROM e),
+  r AS (SELECT event_id, user_id, status, ct, CASE WHEN status = 401 THEN 0.05 ELSE floor(greatest(0, least(1, raw)) * 100 + 0.5) / 100 END AS score FROM s),
+  v AS (SELECT *, CASE WHEN status = 401 THEN 'blocked' WHEN score >= 0.65 THEN 'likely_data' WHEN score >= 0.35 THEN 'maybe_data' ELSE 'noise' END AS verdict FROM r)
+  SELECT user_id, event_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, event_id) AS rank FROM v WHERE verdict <> 'noise' OR score > 0 QUALIFY rank <= 8""")
+def endpoint_evidence(t, spark):
+    """The eight best responses of each site."""
+    return pg.top_evidence(_responses(t), "user_id", "event_id").select("user_id", "event_id", "score", "rank")
 
 
-@query("""SELECT lang AS site, CASE WHEN count(*) FILTER (WHERE n_chars < 100) >= 2 AND count(*) FILTER (WHERE source = 'src0') >= 1 THEN 'D' WHEN bool_or(n_chars > 1000000) THEN 'B' WHEN count(*) FILTER (WHERE source = 'src1') >= 1 THEN 'A' ELSE 'C' END AS pattern FROM documents GROUP BY lang""")
+@query("""WITH e AS (SELECT event_id, user_id, event_id % 8 AS kind, CASE WHEN event_id % 10 = 0 THEN 401 WHEN event_id % 10 < 8 THEN 200 ELSE 500 END AS status, CASE event_id % 3 WHEN 0 THEN 'text/html' WHEN 1 THEN 'application/json' ELSE 'text/plain' END AS ct, event_id % 7 = 0 AS noisy FROM events),
+  s AS (SELECT event_id, user_id, status, ct, (CASE WHEN status = 200 THEN 0.15 ELSE 0 END + CASE ct WHEN 'application/json' THEN 0.20 WHEN 'text/html' THEN -0.25 ELSE 0.05 END - CASE WHEN noisy THEN 0.30 ELSE 0 END
+    + CASE kind WHEN 0 THEN 0.30 WHEN 1 THEN -0.15 WHEN 2 THEN -0.15 WHEN 3 THEN 0.12 + 0.05 * 3 + 0.20 WHEN 4 THEN 0.12 - 0.08 * 2 WHEN 5 THEN -0.25 WHEN 6 THEN 0.05 ELSE 0 END)::DOUBLE AS raw FROM e),
+  r AS (SELECT event_id, user_id, status, ct, CASE WHEN status = 401 THEN 0.05 ELSE floor(greatest(0, least(1, raw)) * 100 + 0.5) / 100 END AS score FROM s),
+  v AS (SELECT *, CASE WHEN status = 401 THEN 'blocked' WHEN score >= 0.65 THEN 'likely_data' WHEN score >= 0.35 THEN 'maybe_data' ELSE 'noise' END AS verdict FROM r),
+  k AS (SELECT * FROM v WHERE verdict <> 'noise' OR score > 0 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score DESC, event_id) <= 8),
+  c AS (SELECT user_id, count(*) FILTER (WHERE verdict IN ('likely_data', 'maybe_data')) AS n FROM k GROUP BY user_id),
+  a AS (SELECT user_id, count(*) FILTER (WHERE status = 401) AS f, count(*) FILTER (WHERE ct = 'application/json') AS j, user_id % 3 = 0 AS ssr FROM v GROUP BY user_id)
+  SELECT a.user_id, a.f AS auth_failures, a.j AS json_responses, coalesce(c.n, 0) AS candidates, CASE WHEN a.f >= 2 AND a.j >= 1 THEN 'D' WHEN a.ssr THEN 'B' WHEN coalesce(c.n, 0) >= 1 THEN 'A' ELSE 'C' END AS pattern FROM a LEFT JOIN c USING (user_id)""")
 def site_patterns(t, spark):
-    a = t("documents").groupBy(F.col("lang").alias("site")).agg(F.count_if(F.col("n_chars") < 100).alias("f"), F.count_if(F.col("source") == "src0").alias("j"), F.bool_or(F.col("n_chars") > 1000000).alias("s"), F.count_if(F.col("source") == "src1").alias("c"))
-    return a.select("site", pg.site_pattern(F.col("f"), F.col("j"), F.col("s"), F.col("c")).alias("pattern"))
+    """Each site's pattern from its captured responses."""
+    return pg.site_patterns(_responses(t), "user_id", "event_id", F.col("user_id") % 3 == 0)
 
 
 @query("SELECT doc_id FROM documents WHERE contains(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), 'the') AND contains(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), 'license')")
