@@ -61,6 +61,7 @@ def stage(f):
     @wraps(f)
     def run(spark, docs, sf_dir):
         sweep(spark)
+        modest_batches(spark)
         _Made.open = True
         try:
             return f(spark, docs, sf_dir)
@@ -70,6 +71,17 @@ def stage(f):
     return run
 
 
+#: Rows and bytes of Arrow batches in a pipeline, where the session has Spark's own: texts are long, and a batch is
+#: held by the JVM, on its way, and by the worker.
+_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m")}
+
+
+def modest_batches(spark: SparkSession) -> None:
+    for key, (default, own) in _BATCH.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, own)
+
+
 def sweep(spark: SparkSession) -> None:
     """Removes the folders of the stage before; Spark frees shuffles that no frame refers to any more."""
     gone, _Made.folders = _Made.folders, []
