@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from millrace.llm import toxicity as tx
 
 BAD = ["worthless", "disgusting", "pathetic", "moron"]
@@ -30,6 +32,28 @@ def test_separates_held_out_texts():
     assert ((0 <= s) & (s <= 1)).all() and s[0] == s[1]
 
 
+def test_features_by_a_plain_loop_over_windows():
+    import zstandard as z
+
+    model = tx.fit(*corpus(400), 0.25)
+    assert model.toxic and not any(model.toxic == w.encode() for w in BAD)
+    texts = [*corpus(30, 2)[0], "", None, "plain words " * 400, " ".join(BAD) * 60, "Größe 漢字 " * 90]
+    params = z.ZstdCompressionParameters.from_level(tx.LEVEL, format=z.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0)
+    coders = [z.ZstdCompressor(compression_params=params, dict_data=z.ZstdCompressionDict(model.ordinary + tx.spread(x) + tx._TAIL)) for x in (b"", model.toxic)]
+    table = model.grams.table
+    for t, got in zip(texts, model.features(texts), strict=True):
+        data, gains, at = (t or "").lower().encode(), [], 0
+        while True:
+            w = data[at : at + tx.LENGTH]
+            told = any(table[tx.Grams.hashes(np.frombuffer(w[i : i + tx.GRAM], np.uint8))[0]] for i in range(len(w) - tx.GRAM + 1))
+            a, b = (len(c.compress(tx.spread(w))) for c in coders) if told else (0, 0)
+            gains.append(a - b)
+            if at + tx.LENGTH >= len(data):
+                break
+            at += tx.STEP
+        assert got.tolist() == [max(0, *gains), sum(max(0, g) for g in gains), len(gains), sum(g >= tx.HIT for g in gains)]
+
+
 def test_too_few_labels():
     assert tx.fit(["a"], [1]) is None
 
