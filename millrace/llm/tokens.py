@@ -97,6 +97,7 @@ class Encoder:
         self.dtype = "<u2" if self.width == 2 else "<u4"
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
+        self.space = self.letters[ord(" ")]
         self.codes = [i.to_bytes(self.width, "little") for i in range(self.size)]
         import json
 
@@ -121,7 +122,10 @@ class Encoder:
         return b"".join(i.to_bytes(self.width, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _bpe(self, token: str) -> bytes:
-        word = token.encode().decode("latin-1").translate(self.letters)
+        if token.isascii() and token.isprintable():  # of these only the space has another letter
+            word = token.replace(" ", self.space)
+        else:
+            word = token.encode().decode("latin-1").translate(self.letters)
         return b"".join([self.codes[t.id] for t in self.model.tokenize(word)])
 
     def _pre_token(self, token: str) -> bytes:
@@ -171,16 +175,20 @@ class Encoder:
                 first, *parts = t.split(" ")
             memo.settle()
             self.tokens.settle()
-            got = list(map(memo.young.get, parts))
+            young, old, grown = memo.young, memo.old, 0
+            got = list(map(young.get, parts))
             at, n = -1, got.count(None)
             for _ in range(n):
                 at = got.index(None, at + 1)
                 p = parts[at]
-                # the text may have had it before
-                if (x := memo.get(p)) is None:
-                    x = self.piece(p)
-                    memo.put(p, x)
+                if (x := young.get(p)) is None:  # else the text has had it before
+                    if (x := old.get(p)) is None:
+                        x = self.piece(p)
+                    if len(p) <= LONG:
+                        young[p] = x
+                        grown += ENTRY + len(p) + len(x)
                 got[at] = x
+            memo.size += grown
             out.append(self.first(first) + b"".join(got))
         return out
 
