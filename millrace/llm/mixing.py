@@ -30,6 +30,8 @@ CYCLE = 1000
 #: Rows in one numbering cell, on average, and at which a cell is cut further.
 CELL = 50_000
 HOT_CELL = 1_000_000
+#: Rows at most in one range of slots that positions are counted in.
+RANGE = 5_000
 #: Ranges of slots counted together when their counts are summed up.
 TOP = 4096
 
@@ -145,12 +147,12 @@ def mix_sources(
 
 
 def _positions(rows: DataFrame, block: int) -> DataFrame:
-    """Dense position by slot: counts in ranges of slots that hold CELL rows at most, then row numbers inside each.
+    """Dense position by slot: counts in ranges of slots that hold RANGE rows at most, then row numbers inside each.
 
     Counts are summed up in two levels, so one window sees a row for TOP ranges only.  The join and the numbering
     share one partitioning, by range.
     """
-    binned = rows.withColumn("_bin", F.expr(f"slot div {max(1, CELL // block)}"))
+    binned = rows.withColumn("_bin", F.expr(f"slot div {max(1, RANGE // block)}"))
     counts = save(binned.groupBy("_bin").count(), "bins").withColumn("_top", F.expr(f"_bin div {TOP}"))
     before = lambda part, by: Window.partitionBy(part).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
     upto = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
