@@ -51,6 +51,8 @@ SLACK = 0.05
 THRESHOLD = 0.3
 #: Share of ordinary windows in which a string that tells may stand.
 COMMON = 0.02
+#: Threads of the driver that judge segments; workers use one each.
+THREADS = 4
 #: Windows compressed in one call.
 TOGETHER = 8192
 
@@ -95,23 +97,26 @@ class Grams:
             h = h * np.uint32(0x01000193) ^ data[i : len(data) - GRAM + 1 + i]
         return (h * np.uint32(0x9E3779B1)) >> np.uint32(14)
 
-    def of(self, ws: list[bytes]) -> np.ndarray:
-        """Places of the windows that share one."""
+    @staticmethod
+    def places(ws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all strings of windows laid end to end, and the windows' ends."""
         data = np.frombuffer(b"".join(ws), np.uint8)
-        if len(data) < GRAM or not self.table.any():
-            return np.empty(0, np.int64)
-        at = np.flatnonzero(self.table[self.hashes(data)])
-        ends = np.cumsum([len(w) for w in ws])
-        return np.unique(np.searchsorted(ends, at, "right"))
+        return Grams.hashes(data) if len(data) >= GRAM else np.empty(0, np.uint32), np.cumsum([len(w) for w in ws])
+
+    def of(self, places: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """Which windows share one."""
+        hashes, ends = places
+        return np.unique(np.searchsorted(ends, np.flatnonzero(self.table[hashes]), "right"))
 
 
 class Coder:
     """Compressed lengths of windows, spread, under the ordinary dictionary (of spread text) and a continuation of it."""
 
-    def __init__(self, ordinary: bytes, extra: bytes = b"", level: int = LEVEL):
+    def __init__(self, ordinary: bytes, extra: bytes = b"", threads: int = 1):
         import zstandard as z
 
-        params = z.ZstdCompressionParameters.from_level(level, format=z.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0)
+        self.threads = threads
+        params = z.ZstdCompressionParameters.from_level(LEVEL, format=z.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0)
         data = z.ZstdCompressionDict(ordinary + spread(extra) + _TAIL)
         data.precompute_compress(compression_params=params)
         self.coder = z.ZstdCompressor(compression_params=params, dict_data=data)
@@ -124,7 +129,7 @@ class Coder:
             some = ws[lo : lo + TOGETHER]
             size = np.array([len(w) for w in some], np.uint64) * np.uint64(SPREAD)
             at = np.cumsum(size) - size
-            got = self.coder.multi_compress_to_buffer(z.BufferWithSegments(spread(b"".join(some)) or b"\0", np.stack([at, size], 1).astype(np.uint64).tobytes()), threads=1)
+            got = self.coder.multi_compress_to_buffer(z.BufferWithSegments(spread(b"".join(some)) or b"\0", np.stack([at, size], 1).astype(np.uint64).tobytes()), threads=self.threads if len(some) > 64 else 1)
             out.append(np.array([len(got[i]) for i in range(len(got))], np.int64))
         return np.concatenate(out)
 
@@ -147,7 +152,7 @@ class CompressionModel:
         if self._coders is None:
             self._coders = Coder(self.ordinary), Coder(self.ordinary, self.toxic)
         plain, toxic = self._coders
-        out, at = np.zeros(len(ws), np.int64), self.grams.of(ws)
+        out, at = np.zeros(len(ws), np.int64), self.grams.of(Grams.places(ws))
         some = [ws[i] for i in at.tolist()]
         out[at] = plain.lengths(some) - toxic.lengths(some)
         return out
@@ -224,15 +229,16 @@ class _Trial:
         for docs in (toxic, plain):
             ws = [w for d in docs for w in d]
             self.sides.append((ws, np.repeat(np.arange(len(docs)), [len(d) for d in docs]), len(docs)))
-        coder = Coder(ordinary)
+        self.places = [Grams.places(ws) for ws, _, _ in self.sides]
+        coder = Coder(ordinary, threads=THREADS)
         self.start = [coder.lengths(ws) for ws, _, _ in self.sides]
         self.kept, self.now = b"", self.start
 
     def lengths(self, extra: bytes) -> list[np.ndarray]:
         """Of all windows, by what is kept and extra; only those that extra touches are compressed anew."""
-        grams, coder, out = Grams(extra), Coder(self.ordinary, self.kept + extra), []
-        for (ws, _, _), now in zip(self.sides, self.now, strict=True):
-            at = grams.of(ws)
+        grams, coder, out = Grams(extra), Coder(self.ordinary, self.kept + extra, THREADS), []
+        for (ws, _, _), places, now in zip(self.sides, self.places, self.now, strict=True):
+            at = grams.of(places)
             new = now.copy()
             new[at] = np.minimum(now[at], coder.lengths([ws[i] for i in at.tolist()]))
             out.append(new)
