@@ -48,7 +48,7 @@ def csv_round_trip(t, spark):
     """A CSV file sink with quotes and commas in values, read back."""
     folder = scratch(spark, "csv")
     sinks.write_csv(t("supplier").select("s_suppkey", F.col("s_suppkey").cast("string").alias("a"), F.concat(F.lit('"'), "s_name", F.lit('"')).alias("b")), folder)
-    return spark.read.option("header", True).option("escape", '"').csv(folder).select(F.col("s_suppkey").cast("int").alias("s_suppkey"), "a", "b")
+    return spark.read.option("header", True).option("escape", '"').csv(folder).select(F.col("s_suppkey").cast("long").alias("s_suppkey"), "a", "b")
 
 
 @query("SELECT event_id, event_type AS stream, 'Bearer [REDACTED]' AS payload FROM events")
@@ -65,7 +65,7 @@ def trace_artifact(t, spark):
 def error_rows(t, spark):
     """Failed commands as structured rows."""
     rows = [(r.s_suppkey, exports.error_envelope(f"E_{r.s_suppkey}", f"no {r.s_name}")) for r in t("supplier").orderBy("s_suppkey").collect()]
-    return spark.createDataFrame([(k, e["error"]["code"], e["error"]["message"]) for k, e in rows if not e["ok"]], "s_suppkey int, code string, message string")
+    return spark.createDataFrame([(k, e["error"]["code"], e["error"]["message"]) for k, e in rows if not e["ok"]], "s_suppkey long, code string, message string")
 
 
 # ---------------------------------------------------------------- sources
@@ -344,7 +344,7 @@ def node_refs(t, spark):
     return snapshots.with_refs(n, "page").select("page", "node", "ref", "nth")
 
 
-@query("""SELECT page, CASE v.i WHEN 0 THEN 0 WHEN 1 THEN NULL WHEN 2 THEN 2 WHEN 3 THEN 3 WHEN 4 THEN 4 ELSE 5 END AS old_pos, CASE v.i WHEN 0 THEN 1 WHEN 1 THEN 0 WHEN 2 THEN 4 WHEN 3 THEN 3 WHEN 4 THEN 2 ELSE NULL END AS new_pos,
+@query("""SELECT page, CAST(CASE v.i WHEN 0 THEN 0 WHEN 1 THEN NULL WHEN 2 THEN 2 WHEN 3 THEN 3 WHEN 4 THEN 4 ELSE 5 END AS BIGINT) AS old_pos, CAST(CASE v.i WHEN 0 THEN 1 WHEN 1 THEN 0 WHEN 2 THEN 4 WHEN 3 THEN 3 WHEN 4 THEN 2 ELSE NULL END AS BIGINT) AS new_pos,
   CASE v.i WHEN 0 THEN CASE WHEN page % 2 = 0 THEN 'same' ELSE 'modified' END WHEN 1 THEN 'added' WHEN 2 THEN 'same' WHEN 3 THEN 'modified' WHEN 4 THEN 'same' ELSE 'removed' END AS change FROM (SELECT p_partkey AS page FROM part), (VALUES (0), (1), (2), (3), (4), (5)) v(i)""")
 def match_children(t, spark):
     """Two versions of every page's children: matched by key, by fingerprint, by position; added and removed ones."""
@@ -437,7 +437,7 @@ def collection_filters(t, spark):
     return run(spec, df, ["p_partkey"], ordered=False)
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey::BIGINT END AS digits, CASE o_orderkey % 3 WHEN 0 THEN o_orderkey % 9 * 6.0 WHEN 1 THEN o_orderkey % 9 * 12.0 ELSE o_orderkey % 9 * 1.0 END AS months, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || 'Z' AS z,
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey::BIGINT END AS digits, CAST(CASE o_orderkey % 3 WHEN 0 THEN o_orderkey % 9 * 6 WHEN 1 THEN o_orderkey % 9 * 12 ELSE o_orderkey % 9 END AS DOUBLE) AS months, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || 'Z' AS z,
   CASE o_orderkey % 2 WHEN 0 THEN (o_orderkey % 30) || 'd' ELSE (o_orderkey % 11) || 'mo' END AS relative, 'Jan 2020' AS start, 'Present' AS stop, strftime(make_timestamp(o_orderkey * 1000000 + 5000), '%Y-%m-%dT%H:%M:%S') || '.005Z' AS iso FROM orders""")
 def number_and_date_scalars(t, spark):
     k = F.col("o_orderkey")
