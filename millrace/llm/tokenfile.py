@@ -128,9 +128,10 @@ def _zstd(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
-def write_tokens(docs: DataFrame, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text", tokenizer_path: str | None = None, end_id: int = END_ID, order: list[str] | None = None) -> tuple[str, list[tuple[int, int, int]]]:
+def write_tokens(docs: DataFrame, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text", tokenizer_path: str | None = None, end_id: int = END_ID, order: list[str] | None = None, memo_bytes: int | None = None) -> tuple[str, list[tuple[int, int, int]]]:
     """Write all documents as coded files; (folder, [(part, documents, ids)] in order).
 
+    memo_bytes: what a worker may keep of encoded pieces (None: the default); less costs time, never ids.
     order: columns to sort by (default: the document's id, then its text).  tokenizer_path None: the
     installed byte-level BPE.  The driver sees one row a part and one a vocabulary entry, never documents.
     """
@@ -157,7 +158,7 @@ def write_tokens(docs: DataFrame, folder: str | None = None, id_col: str = "doc_
             for b in batches:
                 for s in small_batches(pa.Table.from_batches([b]), 4000, "text", 4 << 20):
                     if enc is None:
-                        enc = encoder(tokenizer_path)
+                        enc = encoder(tokenizer_path) if memo_bytes is None else encoder(tokenizer_path, memo_bytes)
                         counts = np.zeros(max(enc.size, end_id + 1), dtype=np.int64)
                     end = end_id.to_bytes(enc.width, "little")
                     coded = [x + end for x in enc.ids(s.column("text").to_pylist())]

@@ -13,9 +13,8 @@ import re
 
 from .common import kept
 
-#: Bytes of pieces, and of pre-tokens, that a worker keeps in each of two generations.
+#: Bytes of pieces that a worker keeps in each of two generations; of other pre-tokens, half as many.
 MEMO_BYTES = 48 << 20
-TOKEN_BYTES = 24 << 20
 #: Bytes of an entry besides its key and ids: two objects and their place in a table.
 ENTRY = 190
 #: Pieces over this many characters aren't kept.
@@ -87,7 +86,7 @@ class Memo:
 class Encoder:
     """ids(texts): little-endian ids of each text, as bytes of `width`-byte unsigned integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo_bytes: int = MEMO_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -114,8 +113,8 @@ class Encoder:
         self.cuts = kind(self.tokenizer) == kind(Tokenizer.from_file(installed("byte_bpe_50k.json")))
 
         self.split = regex.compile(PATTERN).findall
-        self.memo = Memo(MEMO_BYTES)  # of " " + key
-        self.tokens = Memo(TOKEN_BYTES)  # of pre-tokens
+        self.memo = Memo(memo_bytes)  # of " " + key
+        self.tokens = Memo(memo_bytes // 2)  # of pre-tokens
 
     def whole(self, text: str) -> bytes:
         """The library's own path, for pieces out of the ordinary."""
@@ -194,8 +193,8 @@ class Encoder:
 
 
 @kept
-def encoder(path: str | None = None) -> Encoder:
+def encoder(path: str | None = None, memo_bytes: int = MEMO_BYTES) -> Encoder:
     """The worker's encoder for a tokenizers file; by default the installed byte-level BPE."""
     from public_tokenizers import path as installed
 
-    return Encoder(path or installed("byte_bpe_50k.json"))
+    return Encoder(path or installed("byte_bpe_50k.json"), memo_bytes)
