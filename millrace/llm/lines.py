@@ -69,7 +69,7 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         raise ValueError("a line is dropped where at least two documents hold it")
     text = F.col(f"`{text_col}`")
     lines = save(keyed_lines(docs, id_col, text_col, min_chars), "lines")
-    shared = shared_lines(lines, min_docs)
+    shared = save(shared_lines(lines, min_docs), "shared")  # read again, the join below has exchanges of its own, which AQE can split
     gone = lines.join(shared, ["h1", "h2"]).where("doc > first").groupBy("doc", "row").agg(F.collect_set("pos").alias("gone"))
 
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
