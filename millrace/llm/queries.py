@@ -15,6 +15,7 @@ _OPS = {
     "op8_warc_archive": "warc",
     "op9_simhash_near_dups": "simhash",
     "op10_suffix_array_dedup": "repeats",
+    "op12_embedding_whitening": "whitening",
     "op13_line_dedup": "lines",
 }
 
