@@ -15,6 +15,7 @@ _OPS = {
     "op8_warc_archive": "warc",
     "op9_simhash_near_dups": "simhash",
     "op10_suffix_array_dedup": "repeats",
+    "op11_conversation_repair": "conversations",
     "op12_embedding_whitening": "whitening",
     "op13_line_dedup": "lines",
 }
@@ -25,6 +26,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import lines, mixing, warc
+    from . import conversations, lines, mixing, warc
 
-    return {"op3_mix_sources": mixing.ORACLE_SQL, "op8_warc_archive": warc.ORACLE_SQL, "op13_line_dedup": lines.ORACLE_SQL}
+    return {"op3_mix_sources": mixing.ORACLE_SQL, "op8_warc_archive": warc.ORACLE_SQL, "op11_conversation_repair": conversations.ORACLE_SQL, "op13_line_dedup": lines.ORACLE_SQL}
