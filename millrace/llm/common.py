@@ -13,6 +13,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 from functools import lru_cache, wraps
 from urllib.parse import urlparse
 
@@ -39,38 +40,91 @@ def shared_base(spark: SparkSession) -> str:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new, unique folder name in the shared folder (not yet made)."""
     made = f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
-    if _Made.open:
-        _Made.folders.append(made)
+    if (scope := _scope.get()) is not None:
+        scope.folders.append(made)
     return made
 
 
-class _Made:
-    """Folders named while a pipeline's stage builds its result."""
+class Scope:
+    """Folders that were named while a result was built; whoever owns the scope removes them once the result is written."""
 
-    open = False
-    folders: list[str] = []
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folders = spark, []
+
+    def __enter__(self):
+        self.token = _scope.set(self)
+        return self
+
+    def __exit__(self, *error):
+        _scope.reset(self.token)
+
+    def _each(self):
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in self.folders:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            yield path, path.getFileSystem(conf)
+
+    def written(self) -> int:
+        """When the last of the folders was finished, by its store's clock."""
+        return max((fs.getFileStatus(p).getModificationTime() for p, fs in self._each() if fs.exists(p)), default=0)
+
+    def clear(self) -> None:
+        """Removes the folders; Spark frees shuffles that no frame refers to any more."""
+        for path, fs in self._each():
+            fs.delete(path, True)
+        self.folders = []
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
+
+_scope: ContextVar[Scope | None] = ContextVar("scope", default=None)
+#: Scopes of stages that were called by themselves, by thread of control.
+_open: ContextVar[tuple[Scope, ...]] = ContextVar("open", default=())
 
 
 def stage(f):
-    """A pipeline's stage (spark, docs, sf_dir) -> DataFrame, which first removes what the stage before it made.
+    """A pipeline's stage (spark, docs, sf_dir) -> DataFrame, whose intermediate tables have an owner.
 
-    A stage's result is written before the next stage begins, so the tables it was read from are done with then;
-    what lies in the shared folder stays bounded by one stage.  Results written by others are never removed.
+    Inside another scope (as in run()) that scope owns them.  A stage called by itself keeps them until a later stage
+    is given documents that are files, none of them its own tables, and all written after it had built its result: that
+    result has been written then, and is done with.  So what lies in the shared folder stays bounded by one stage where each result
+    is written and read again, and stages that are composed without writing keep what they need.
     """
 
     @wraps(f)
     def run(spark, docs, sf_dir):
-        sweep(spark)
         modest_batches(spark)
-        _Made.open = True
-        try:
+        if _scope.get() is not None:
             return f(spark, docs, sf_dir)
-        finally:
-            _Made.open = False
+        settle(spark, docs)
+        with Scope(spark) as own:
+            out = f(spark, docs, sf_dir)
+        _open.set((*_open.get(), own))
+        return out
 
     return run
 
 
+def settle(spark: SparkSession, docs) -> None:
+    """Clears the scopes of stages whose results have been written, as told by the files that docs reads."""
+    if not _open.get() or docs is None:
+        return
+    files = docs.inputFiles()
+    if not files:
+        return
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(files[0])
+    since = path.getFileSystem(conf).getFileStatus(path).getModificationTime()
+    left = []
+    for scope in _open.get():
+        names = {x.rsplit("/", 1)[-1] for x in scope.folders}
+        if since >= scope.written() and not any(part in names for x in files for part in x.split("/")):
+            scope.clear()
+        else:
+            left.append(scope)
+    _open.set(tuple(left))
+
+
 #: Rows and bytes of Arrow batches in a pipeline, where the session has Spark's own: texts are long, and a batch is
 #: held by the JVM, on its way, and by the worker.
 _BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m")}
@@ -82,17 +136,6 @@ def modest_batches(spark: SparkSession) -> None:
             spark.conf.set(key, own)
 
 
-def sweep(spark: SparkSession) -> None:
-    """Removes the folders of the stage before; Spark frees shuffles that no frame refers to any more."""
-    gone, _Made.folders = _Made.folders, []
-    jvm = spark.sparkContext._jvm
-    for folder in gone:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    jvm.System.gc()
-
-
 def save(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
@@ -193,6 +236,15 @@ def open_input(uri: str):
     return store.open_input_file(path)
 
 
+def packed(columns: list[str]) -> Column:
+    """A user's columns as one struct, so that no name of theirs meets one of an operator's."""
+    return F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+
+
+def unpacked(own: str, columns: list[str]) -> list[Column]:
+    return [F.col(own).getField(f"c{i}").alias(c) for i, c in enumerate(columns)]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

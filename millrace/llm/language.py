@@ -13,7 +13,6 @@ empty table; other columns are ignored (lang, source and doc_id are never inputs
 
 from __future__ import annotations
 
-import re
 
 import numpy as np
 import pandas as pd
@@ -28,11 +27,11 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16
 TRAIN_DOCS = 500
 TRAIN_WINDOWS = 4
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    """Whether any character is a letter (Unicode's categories L*): digits, fractions and number signs aren't."""
+    return bool(text) and any(map(str.isalpha, text))
 
 
 def windows(text: bytes) -> np.ndarray:

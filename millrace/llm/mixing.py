@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import save
+from .common import packed, save, unpacked
 
 #: Slots in a cycle: the resolution of weights.  Raised where there are many sources.
 CYCLE = 1000
@@ -104,7 +104,7 @@ def mix_sources(
     src = F.coalesce(F.concat(F.lit("s:"), F.col(source_col).cast("string")), F.lit("null"))
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
     tail = F.lower(F.lpad(F.hex(F.xxhash64(*[F.col(f"`{c}`") for c in kept])), 16, "0"))
-    keyed = docs.select(*kept).withColumns({"_src": src, "_digest": digest, "_tail": tail})
+    keyed = docs.select(packed(kept or [id_col]).alias("_own"), src.alias("_src"), digest.alias("_digest"), tail.alias("_tail"))
 
     coarse = save(keyed.groupBy(F.col("_src").alias("src"), _cell(F.col("_digest"), 3).alias("p3")).count(), "cells")
     sizes = coarse.groupBy("src").agg(F.sum("count").alias("n"))
@@ -135,7 +135,7 @@ def mix_sources(
     slotted = numbered.join(F.broadcast(per), "_src").withColumn("_j", F.col("_i") % F.col("_w")).join(F.broadcast(offsets.drop("_a")), ["_src", "_j"])
     c = F.lit(cycle)
     out = slotted.select(
-        *kept,
+        "_own",
         (F.col("_i") + 1).alias("source_block"),
         F.expr(f"_i * {cycle} div _w").alias("release"),
         F.expr(f"((_i + 1) * {cycle} + _w - 1) div _w").alias("deadline"),
@@ -143,7 +143,7 @@ def mix_sources(
         "_digest",
         "_tail",
     )
-    return _positions(out, block).select(*kept, *added)
+    return _positions(out, block).select(*unpacked("_own", kept), *added)
 
 
 def _positions(rows: DataFrame, block: int) -> DataFrame:

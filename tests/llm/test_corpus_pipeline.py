@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from millrace.llm import decontaminate as dc
@@ -57,9 +58,43 @@ def test_stages_remove_what_the_one_before_made(spark, odd_docs):
     @common.stage
     def make(spark, docs, sf_dir):
         made.append(common.local_path(common.shared_folder(spark, "own")))
+        os.makedirs(made[-1])
         return save(docs.select("doc_id"), "inner")
 
     first = save(make(spark, odd_docs, ""), "kept")
-    os.makedirs(made[0])
+    make(spark, odd_docs, "")
+    assert os.path.exists(made[0])
     make(spark, first, "")
     assert not os.path.exists(made[0]) and first.count() == 9
+
+
+def test_stages_compose_without_writing(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    lazy = cp.drop_near_duplicates(spark, docs, sf)
+    then = cp.decontaminate_benchmark(spark, lazy, sf)
+    other = cp.identify_language(spark, docs, sf)
+    kept = save(lazy, "kept")
+    assert then.count() == cp.decontaminate_benchmark(spark, kept, sf).count() and other.count() > kept.count() > 0
+
+
+def test_a_run_owns_its_tables(spark, sf):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from millrace.llm import common
+
+    with ThreadPoolExecutor(2) as pool:
+        outs = list(pool.map(lambda _: cp.run(spark, sf), range(2)))
+    assert len({tuple(sorted(map(tuple, o.collect()))) for o in outs}) == 1
+    assert common._open.get() == () or all(s.folders for s in common._open.get())
+
+
+def test_clashing_names(spark, odd_docs, sf):
+    names = ["_id", "_node", "_own", "position", "_src", "_i", "_j", "_at", "_w", "_row", "_bin", "_cell", "_digest", "_tail", "_hot", "_key", "node", "root", "file", "row", "lang_pred", "a.b"]
+    docs = odd_docs.withColumns({c: F.lit(f"own {i}") for i, c in enumerate(names)})
+    now = docs
+    for name, stage in cp.STAGES[:-1]:
+        now = save(stage(spark, now, sf), name)
+        assert now.columns == docs.columns
+        for i, c in enumerate(names):
+            assert now.where(F.col(f"`{c}`") != f"own {i}").isEmpty() and now.where(F.col(f"`{c}`").isNull()).isEmpty(), (name, c)
+    assert cp.STAGES[-1][1](spark, now, sf).count() == now.count() > 0

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from millrace.llm import language as lg
 
@@ -65,3 +66,32 @@ def test_odd_documents(spark, odd_docs, no_docs):
     kept = lg.keep_identified(odd_docs, net, 0.0)
     assert kept.columns == odd_docs.columns and {r.doc_id for r in kept.collect()} == {1, 2, 5, 7, None}
     assert [r.score for r in kept.where("doc_id = 1").collect()] == [1.0]  # the clashing column is the document's own
+
+
+@pytest.mark.parametrize(("text", "is_language"), [("½ ² ①", False), ("Ⅷ ㈠ 12 _", False), ("५ ٣", False), ("ª", True), ("½ a", True), ("漢", True), ("", False), (None, False)])
+def test_letters(text, is_language):
+    assert lg.has_letter(text) == is_language
+
+
+def test_forward_pass_by_plain_convolution():
+    """All widths, pooling, softmax and the mean over windows, position by position."""
+    rng = np.random.default_rng(9)
+    net = lg.ByteConvNet(["a", "b", "c"], seed=4)
+    net.bias = rng.normal(0, 0.1, net.bias.shape).astype(np.float32)
+    net.offset = rng.normal(0, 0.1, net.offset.shape).astype(np.float32)
+    text = "Some words of a text " * 30 + "and its end"
+    data = text.lower().encode()
+    total, weight = np.zeros(3), 0
+    for lo in range(0, len(data), lg.LENGTH):
+        piece = data[lo : lo + lg.LENGTH]
+        x = list(piece) + [0] * (lg.LENGTH - len(piece))
+        pooled = []
+        for w, table in zip(lg.WIDTHS, net.tables, strict=True):
+            pooled += [max(sum(float(table[k][x[p + k]][f]) for k in range(w)) for p in range(lg.LENGTH - w + 1)) for f in range(lg.FILTERS)]
+        act = np.maximum(0, np.array(pooled) + net.bias)
+        z = act @ net.dense + net.offset
+        e = np.exp(z - z.max())
+        total += e / e.sum() * len(piece)
+        weight += len(piece)
+    (lang, score), = net.predict([text])
+    assert lang == net.classes[int(total.argmax())] and abs(score - total.max() / weight) < 1e-4
