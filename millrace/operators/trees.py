@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_base
+
 
 def flatten_forest(nodes: DataFrame, tree: str, node: str, parent: str, order: str, most_depth: int | None = None, per_level: int | None = None, deleted: str | None = None) -> DataFrame:
     """Rows with depth and path (array of sibling ranks: sorting by it is depth first).
@@ -39,10 +40,11 @@ def flatten_forest(nodes: DataFrame, tree: str, node: str, parent: str, order: s
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df cut off from its lineage, in the folder that the cluster shares (a temporary one only where none is set)."""
+    """df cut off from its lineage, in the folder that the cluster shares."""
     context = df.sparkSession.sparkContext
+    base = shared_base(df.sparkSession)
     if not context.getCheckpointDir():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="millrace-"))
+        context.setCheckpointDir(base)
     return df.checkpoint()
 
 

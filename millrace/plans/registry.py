@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import shared_base
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the folder that the cluster shares (a temporary one only where none is set, as in tests)."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.gettempdir()}/millrace-scratch"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder in the folder that the cluster shares."""
+    return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -28,6 +28,18 @@ def session(name: str = "millrace", master: str | None = None, **conf: str) -> S
     return b.config(map=defaults | {k.replace("__", "."): v for k, v in conf.items()}).getOrCreate()
 
 
+def shared_base(spark: SparkSession) -> str:
+    """The folder that all machines see; a temporary one only in local mode, and only where none is set."""
+    context = spark.sparkContext
+    base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if not base:
+        if not (context.master or "").startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='millrace-')}"
+        context.setCheckpointDir(base)
+    return base.rstrip("/")
+
+
 def ensure_importable(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package: by path in local mode, else as a shipped archive, once an application."""
     sc = spark.sparkContext
