@@ -99,6 +99,15 @@ def drain(query_builder) -> None:
     q.awaitTermination()
 
 
+def settle(query_builder) -> None:
+    """Like drain, but with the batch without data that lets timers and watermarks act on the last input."""
+    q = query_builder.start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+
+
 def upsert_sink(target: str, key: str, order: str):
     """foreachBatch function that merges each batch into a Parquet folder, newest row a key; batches are versioned by id,
     so replaying one replaces its own output."""
