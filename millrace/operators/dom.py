@@ -3,11 +3,13 @@
 A row is an element: node is its place in document order, end the last place inside it, so x lies inside a where
 a.node < x.node <= a.end.  Row 0 of a page is the document itself and holds the text of the whole page once; an element's
 text is that text from `start` to `stop`.  nth and siblings count elements under one parent from 1, kind_nth and kinds those of the same
-tag; label is the nearest label around the element or itself.
+tag; above are the nearest ANCESTORS elements around it, from the parent on; label is the nearest label around the element or itself.  chars and commas count what stands in the element but in none inside it
+(without white space); its html is the page's from `source_from` to `source_to`.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -16,11 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SCHEMA = "node int, end int, parent int, depth int, nth int, siblings int, kind_nth int, kinds int, label int, tag string, attrs map<string,string>, start int, stop int, text string"
+SCHEMA = "node int, end int, parent int, above array<int>, depth int, nth int, siblings int, kind_nth int, kinds int, label int, tag string, attrs map<string,string>, start int, stop int, chars int, commas int, source_from int, source_to int, text string"
 #: Elements without an end, and those whose start ends an open one: by tag, what is ended, and within what it is looked for.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCK = "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()
 ENDS = {tag: (("p",), ("button", "table", "td", "th")) for tag in BLOCK} | {"li": (("li", "p"), ("ul", "ol")), "dt": (("dt", "dd", "p"), ("dl",)), "dd": (("dt", "dd", "p"), ("dl",)), "option": (("option",), ("select", "datalist")), "tr": (("tr", "td", "th"), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table"))}
+#: Commas of several scripts.
+COMMAS = re.compile("[\u002c\u060c\ufe50\ufe10\ufe11\u2e41\u2e34\u2e32\uff0c]")
+ANCESTORS = 5
 #: Bytes of html whose elements are given together.
 BATCH = 2 << 20
 
@@ -28,24 +33,31 @@ BATCH = 2 << 20
 class Elements(HTMLParser):
     """Elements of one page, in document order."""
 
-    def __init__(self):
+    def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.rows: list[dict] = [{"node": 0, "parent": None, "depth": 0, "label": None, "tag": "#document", "attrs": {}, "start": 0}]
+        self.rows: list[dict] = [{"node": 0, "parent": None, "above": [], "depth": 0, "label": None, "tag": "#document", "attrs": {}, "start": 0, "chars": 0, "commas": 0, "source_from": 0}]
         self.open, self.parts, self.size = [0], [], 0
+        self.html, self.lines = html, [0, *(m.end() for m in re.finditer("\n", html))]
+
+    def spot(self) -> int:
+        """Where in the html the tag at hand begins."""
+        line, column = self.getpos()
+        return self.lines[line - 1] + column
 
     def handle_starttag(self, tag, attrs):
         ended, within = ENDS.get(tag, ((), ()))
+        spot = self.spot()
         for i in range(len(self.open) - 1, 0, -1):
             name = self.rows[self.open[i]]["tag"]
             if name in ended:
-                self.shut(i)
+                self.shut(i, spot)
             elif name in within:
                 break
         node, above = len(self.rows), self.rows[self.open[-1]]
-        self.rows.append({"node": node, "parent": above["node"], "depth": above["depth"] + 1, "label": node if tag == "label" else above["label"], "tag": tag, "attrs": {k: v or "" for k, v in reversed(attrs)}, "start": self.size})
+        self.rows.append({"node": node, "parent": above["node"], "above": [above["node"], *above["above"]][:ANCESTORS], "depth": above["depth"] + 1, "label": node if tag == "label" else above["label"], "tag": tag, "attrs": {k: v or "" for k, v in reversed(attrs)}, "start": self.size, "chars": 0, "commas": 0, "source_from": spot})
         self.open.append(node)
         if tag in VOID:
-            self.shut(len(self.open) - 1)
+            self.shut(len(self.open) - 1, spot + len(self.get_starttag_text() or ""))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -53,21 +65,27 @@ class Elements(HTMLParser):
     def handle_endtag(self, tag):
         for i in range(len(self.open) - 1, 0, -1):
             if self.rows[self.open[i]]["tag"] == tag:
-                self.shut(i)
+                spot = self.spot()
+                if i + 1 < len(self.open):
+                    self.shut(i + 1, spot)
+                self.shut(i, self.html.find(">", spot) + 1 or len(self.html))
                 break
 
     def handle_data(self, data):
         self.parts.append(data)
         self.size += len(data)
+        own = self.rows[self.open[-1]]
+        own["chars"] += sum(map(len, data.split()))
+        own["commas"] += len(COMMAS.findall(data))
 
-    def shut(self, i: int) -> None:
+    def shut(self, i: int, spot: int) -> None:
         for node in self.open[i:]:
-            self.rows[node] |= {"end": len(self.rows) - 1, "stop": self.size}
+            self.rows[node] |= {"end": len(self.rows) - 1, "stop": self.size, "source_to": spot}
         del self.open[i:]
 
     def finish(self) -> list[dict]:
         self.close()
-        self.shut(0)
+        self.shut(0, len(self.html))
         among, alike = Counter(), Counter()
         for r in self.rows[1:]:
             among[r["parent"]] += 1
@@ -80,7 +98,7 @@ class Elements(HTMLParser):
 
 
 def elements(html: str | None) -> list[dict]:
-    parser = Elements()
+    parser = Elements(html or "")
     parser.feed(html or "")
     return parser.finish()
 
