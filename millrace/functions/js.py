@@ -24,6 +24,8 @@ def trim(c: Column) -> Column:
 
 def truthy(c: Column, dtype: T.DataType) -> Column:
     """null, false, 0, NaN and '' are falsy; everything else, '0' and empty arrays included, is truthy. Never null."""
+    if isinstance(dtype, T.VariantType):
+        return variant.truthy(c)
     if isinstance(dtype, T.NullType):
         return F.lit(False)
     if isinstance(dtype, T.BooleanType):
@@ -53,6 +55,8 @@ def number_of_string(c: Column) -> Column:
 
 
 def number(c: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.VariantType):
+        return variant.number(c)
     if isinstance(dtype, T.NullType):
         return F.lit(0.0)
     if isinstance(dtype, T.StringType):
@@ -66,6 +70,8 @@ def number(c: Column, dtype: T.DataType) -> Column:
 
 def string(c: Column, dtype: T.DataType, missing: str = "null") -> Column:
     """String(x): whole doubles print without a fraction; null prints as `missing`."""
+    if isinstance(dtype, T.VariantType):
+        return variant.string(c, "undefined" if missing == "null" else missing)  # SQL null is undefined here
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         whole = (c == F.floor(c)) & (F.abs(c) < 1e15)
         text = F.when(F.isnan(c), "NaN").when(whole, F.when(F.abs(c) < 1e15, c).cast("long").cast("string")).otherwise(c.cast("string"))
@@ -88,3 +94,6 @@ def natural_key(c: Column) -> Column:
     """Sorts like a numeric-aware comparison on ASCII: digit runs by value, other runs by lower case; null is ''."""
     runs = F.regexp_extract_all(F.lower(F.coalesce(c.cast("string"), F.lit(""))), F.lit(r"\d+|\D+"), F.lit(0))
     return F.transform(runs, lambda r: F.when(r.rlike(r"^\d"), F.concat(F.lit("0"), F.lpad(F.regexp_replace(r, "^0+", ""), 40, "0"))).otherwise(F.concat(F.lit("1"), r)))
+
+
+from . import variant  # noqa: E402  its coercions need those above

@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import filters, js
+from ..functions import filters, js, variant
 
 
 class ExpressionError(ValueError):
@@ -175,7 +175,13 @@ def literal(v) -> Value:
     return Value(F.lit(v), kind)
 
 
+def _any(*values: Value) -> bool:
+    return any(variant.is_variant(v.type) for v in values)
+
+
 def _common(a: Value, b: Value) -> tuple[Column, Column, T.DataType]:
+    if _any(a, b):
+        return variant.wrapped(a.col, a.type), variant.wrapped(b.col, b.type), T.VariantType()
     if isinstance(a.type, T.NullType):
         return a.col, b.col, b.type
     if isinstance(b.type, T.NullType) or a.type == b.type:
@@ -212,6 +218,8 @@ class Compiler:
         if key in FORBIDDEN:
             raise ExpressionError(f"{key} may not be used")
         t = v.type
+        if variant.is_variant(t):
+            return Value(*variant.field(v.col, key))
         if isinstance(t, T.StructType):
             return Value(v.col.getField(str(key)), t[str(key)].dataType) if str(key) in t.names else literal(None)
         if isinstance(t, T.MapType):
@@ -231,6 +239,8 @@ class Compiler:
         if key[0] == "lit":
             return self._field(v, key[1])
         k = self.node(key)
+        if variant.is_variant(v.type) and js.is_numeric(k.type):
+            return Value(*variant.element(v.col, k.col))
         if isinstance(v.type, T.ArrayType) and js.is_numeric(k.type):
             return Value(F.get(v.col, k.col.cast("int")), v.type.elementType)
         if isinstance(v.type, T.MapType):
@@ -268,13 +278,16 @@ class Compiler:
         a, b = self.node(left), self.node(right)
         if op == "??":
             x, y, t = _common(a, b)
-            return Value(F.coalesce(x, y), t)
+            return Value(F.when(variant.kind(x).isin("undefined", "null"), y).otherwise(x) if _any(a, b) else F.coalesce(x, y), t)
         if op in ("||", "&&"):
             x, y, t = _common(a, b)
             keep = self.truth(left)
             return Value(F.when(keep if op == "||" else ~keep, x).otherwise(y), t)
         if op in ("===", "!==", "==", "!="):
             strict = len(op) == 3
+            if _any(a, b):
+                same = variant.equal(variant.wrapped(a.col, a.type), variant.wrapped(b.col, b.type), strict)
+                return Value(~same if op[0] == "!" else same, BOOL)
             comparable = type(a.type) is type(b.type) or js.is_numeric(a.type) and js.is_numeric(b.type) or NULL in (a.type, b.type)
             if comparable:
                 x, y, _ = _common(a, b)
@@ -284,6 +297,9 @@ class Compiler:
             else:
                 same = F.when(a.col.isNull() | b.col.isNull(), a.col.isNull() & b.col.isNull()).otherwise(js.number(a.col, a.type) == js.number(b.col, b.type))
             return Value(~same if op[0] == "!" else same, BOOL)
+        if _any(a, b) and op in ("<", ">", "<=", ">=", "+"):
+            x, y = variant.wrapped(a.col, a.type), variant.wrapped(b.col, b.type)
+            return Value(variant.plus(x, y), T.VariantType()) if op == "+" else Value(variant.compare(op, x, y), BOOL)
         both_text = isinstance(a.type, T.StringType) and isinstance(b.type, T.StringType)
         if op == "+" and (isinstance(a.type, T.StringType) or isinstance(b.type, T.StringType)):
             return Value(F.concat(js.string(a.col, a.type, "undefined"), js.string(b.col, b.type, "undefined")), STR)
@@ -308,6 +324,8 @@ class Compiler:
         f = filters.FILTERS.get(name)
         if f is None:  # an unknown filter leaves the value
             return v
+        if variant.is_variant(v.type):
+            return self._variant_filter(name, v, args)
         given = []
         for a in args:
             if a[0] == "name":
@@ -318,6 +336,29 @@ class Compiler:
                 raise ExpressionError(f"arguments of {name} are literals")
         return Value(*f(v.col, v.type, *given))
 
+    def _variant_filter(self, name: str, v: Value, args) -> Value:
+        """Text filters change strings and leave other values; default, length, json, join, first and last go by the value."""
+        f, given = filters.FILTERS[name], [a[1] for a in args]
+        text, kind, items = variant.text_of(v.col), variant.kind(v.col), variant.elements(v.col)
+        if name == "default":
+            return Value(F.when(kind.isin("undefined", "null") | (text == ""), F.lit(given[0] if given else "").cast("variant")).otherwise(v.col), v.type)
+        if name == "json":
+            return Value(F.to_json(v.col), STR)
+        if name in ("first", "last"):
+            return Value(F.when(kind == "array", F.get(items, F.lit(0) if name == "first" else F.size(items) - 1)).otherwise(v.col), v.type)
+        if name == "length":
+            return Value(*variant.field(v.col, "length"))
+        if name == "join":
+            joined = F.array_join(F.transform(items, lambda x: variant.string(x, "")), str(given[0]) if given else ", ")
+            return Value(F.when(kind == "array", joined.cast("variant")).otherwise(v.col), v.type)
+        if name == "keys":
+            names = F.map_keys(F.try_variant_get(v.col, "$", "map<string,variant>"))
+            return Value(F.when(kind == "object", names), T.ArrayType(STR))
+        col, kept = f(text, STR, *given)
+        if not isinstance(kept, T.StringType):
+            raise ExpressionError(f"{name} can't be used on values of runtime type")
+        return Value(F.when(kind == "string", col.cast("variant")).otherwise(v.col), v.type)
+
     # ------------------------------------------------------------ calls
 
     def _call(self, callee, args) -> Value:
@@ -363,6 +404,18 @@ class Compiler:
 
     def _method(self, v: Value, name: str, args) -> Value:
         given = [self.node(a) for a in args]
+        if variant.is_variant(v.type):
+            if name == "includes" and given:  # of a string, or of an array
+                want = variant.wrapped(given[0].col, given[0].type)
+                within = F.contains(variant.text_of(v.col), variant.string(want))
+                among = F.exists(variant.elements(v.col), lambda x: variant.equal(x, want, True))
+                return Value(F.coalesce(within, among, F.lit(False)), BOOL)
+            if name == "toFixed":
+                v = Value(variant.number(v.col), NUM)
+            elif name == "join":
+                return Value(F.array_join(F.transform(variant.elements(v.col), lambda x: variant.string(x, "")), args[0][1] if args else ","), STR)
+            elif name != "toString":
+                v = Value(variant.text_of(v.col), STR)  # methods of strings; other values have none and give null
         plain = [a[1] if a[0] == "lit" else -a[2][1] if a[0] == "unary" and a[1] == "-" and a[2][0] == "lit" else None for a in args]
         if isinstance(v.type, T.TimestampType):
             if name == "toISOString":

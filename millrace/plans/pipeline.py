@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import js
+from ..functions import js, variant
 from .jsexpr import FORBIDDEN, Compiler, ExpressionError, Value, literal, names_in, outer_parts, render, trees_of
 
 
@@ -277,10 +277,10 @@ def _filter(state: State, expression: str) -> State:
     return replace(state, df=df.where(_scope(state, df).condition(expression)).drop("_index"))
 
 
-def numeric_column(df: DataFrame, name: str) -> bool:
+def numeric_column(df: DataFrame, c: Column) -> bool:
     """A text column sorts as numbers if some value is one and no other is anything but blank."""
-    t = js.trim(F.col(f"`{name}`"))
-    n = js.number_of_string(F.col(f"`{name}`"))
+    t = js.trim(c)
+    n = js.number_of_string(c)
     blank = F.coalesce(t == "", F.lit(True))
     got = df.agg(F.bool_and(blank | ~F.isnan(n)).alias("every"), F.bool_or(~blank & ~F.isnan(n)).alias("some")).first()
     return bool(got["every"]) and bool(got["some"])
@@ -291,8 +291,10 @@ def sort_key(df: DataFrame, name: str) -> Column:
     c = F.col(f"`{name}`")
     if js.is_numeric(t) or isinstance(t, (T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
         return c
+    if isinstance(t, T.VariantType):
+        c, t = F.when(~variant.kind(c).isin("undefined", "null"), variant.string(c)), T.StringType()
     if isinstance(t, T.StringType):
-        if numeric_column(df, name):
+        if numeric_column(df, c):
             return F.when(js.trim(c) == "", F.lit(None).cast("double")).otherwise(js.number_of_string(c))
         return js.natural_key(c)
     return js.natural_key(c.cast("string"))

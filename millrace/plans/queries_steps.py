@@ -174,3 +174,15 @@ def zip_root(t, spark):
     docs = docs.select("l_orderkey", "lines", F.transform(F.slice("lines", 2, 1_000_000), lambda x: x["l_extendedprice"]).alias("asks"))
     spec = [{"map": {"select": "lines", "l_orderkey": "${{ root.l_orderkey }}", "l_linenumber": "${{ item.l_linenumber }}", "bid": "${{ data[index].l_extendedprice }}", "ask": "${{ root.asks[index] }}", "label": "order ${{ root.l_orderkey }} of ${{ data.length }}"}}]
     return run(spec, docs, ["l_orderkey"], ordered=False)
+
+
+@query("""
+WITH e AS (SELECT event_id, event_id % 5 AS m, CASE event_id % 5 WHEN 0 THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) WHEN 2 THEN 0 WHEN 4 THEN NULL ELSE event_id % 100 END AS n FROM events)
+SELECT event_id AS id, CASE m WHEN 2 THEN 'null' WHEN 4 THEN 'undefined' ELSE CAST(CAST(n AS BIGINT) AS VARCHAR) END AS k, coalesce(n, 0) * 2 AS twice, m = 1 AS is_text,
+  CASE m WHEN 2 THEN CAST(event_id AS VARCHAR) ELSE 'undefined' END AS x, CASE m WHEN 1 THEN CAST(event_id % 100 AS VARCHAR) || '!' WHEN 3 THEN CAST(event_id % 100 AS VARCHAR) || '!' WHEN 2 THEN 'null!' WHEN 4 THEN 'undefined!' ELSE CAST(CAST(n AS BIGINT) AS VARCHAR) || '!' END AS shout
+FROM e WHERE m IN (2, 4) OR n > 30""")
+def variant_paths(t, spark):
+    """Paths into values of mixed runtime types: numbers, numbers as text, null, lists and nothing at all."""
+    raw = F.expr("""case event_id % 5 when 0 then props when 1 then concat('{"k": "', event_id % 100, '"}') when 2 then concat('{"k": null, "deep": [{"x": ', event_id, '}]}') when 3 then concat('{"k": [', event_id % 100, ']}') else '{"deep": {"x": true}}' end""")
+    steps = [{"evaluate": "raw"}, {"filter": "item.raw_json.k > 30 || item.raw_json.deep"}, {"map": {"id": "${{ item.event_id }}", "k": "${{ String(item.raw_json.k) }}", "twice": "${{ Number(item.raw_json.k || 0) * 2 }}", "is_text": "${{ item.raw_json.k === String(item.raw_json.k) }}", "x": "${{ String(item.raw_json.deep[0].x) }}", "shout": "${{ String(item.raw_json.k + '!') }}"}}]
+    return run(steps, t("events").select("event_id", raw.alias("raw")), ["event_id"], ordered=False)
