@@ -32,26 +32,33 @@ def nearest_rank(c: str, q: float) -> Column:
     return F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY {c})")
 
 
-def nearest_ranks(df: DataFrame, by: str, c: str, ranks: dict[str, float], pieces: int = 256) -> DataFrame:
-    """(by, one column a rank): nearest_rank of each group, without a group's values in one place.
+#: Accuracy of the sketch that brackets a rank: a share of 4 / ACCURACY of a group's values lies between the bounds.
+ACCURACY = 10_000
+#: Groups whose bounds are broadcast.
+FEW_GROUPS = 1000
 
-    An approximate sketch cuts each group into pieces; counts of pieces tell which one holds a rank; only that
-    piece's values are counted and put in order.
+
+def nearest_ranks(df: DataFrame, by: str, c: str, ranks: dict[str, float]) -> DataFrame:
+    """(by, one column a rank): nearest_rank of each group that has values, without a group's values in one place.
+
+    A mergeable sketch brackets each rank between two of the group's values.  One pass then counts what lies below a bracket, as one
+    row a task, and the values inside it; only those are put in order.
     """
-    rows = df.where(F.col(c).isNotNull()).select(by, F.col(c).alias("_v"))
-    cuts = rows.groupBy(by).agg(F.percentile_approx("_v", [i / pieces for i in range(1, pieces)], 20 * pieces).alias("_cuts"), F.count("*").alias("_n"))
-    small = F.broadcast(cuts.withColumnRenamed(by, "_by")) if df.select(by).distinct().limit(1001).count() <= 1000 else cuts.withColumnRenamed(by, "_by")
-    cut = rows.join(small, F.col(by).eqNullSafe(F.col("_by"))).select(by, "_v", "_n", F.size(F.filter("_cuts", lambda x: x < F.col("_v"))).alias("_piece"))
-    counts = cut.groupBy(by, "_n", "_piece").agg(F.count("*").alias("_k"))
-    w = Window.partitionBy(by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_before", F.coalesce(F.sum("_k").over(w), F.lit(0)))
-    asked = F.explode(F.array(*[F.struct(F.lit(k).alias("_name"), F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(q))).cast("long").alias("_rank")) for k, q in ranks.items()]))
-    wanted = counts.select(by, "_piece", "_k", "_before", asked.alias("_a")).select(by, "_piece", "_k", "_before", "_a.*").where("_rank > _before and _rank <= _before + _k")
-    wanted = F.broadcast(wanted.select(F.col(by).alias("_by"), F.col("_piece").alias("_p"), "_before", "_name", "_rank"))  # a row a group and rank
-    values = cut.join(wanted, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_piece") == F.col("_p"))).groupBy(by, "_name", "_rank", "_before", "_v").count()
-    running = F.sum("count").over(Window.partitionBy(by, "_name").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
-    found = values.withColumn("_upto", running + F.col("_before")).where(F.col("_upto") >= F.col("_rank")).groupBy(by, "_name").agg(F.min("_v").alias("_v"))
-    return found.groupBy(by).agg(*[F.min(F.when(F.col("_name") == k, F.col("_v"))).alias(k) for k in ranks])
+    rows = df.where(F.col(c).isNotNull()).select(F.col(by).alias("_by"), F.col(c).alias("_v"))
+    margin, names = 2 / ACCURACY, list(ranks)
+    points = sorted({x for q in ranks.values() for x in (q - margin, q + margin) if 0 < x < 1})
+    cuts = rows.groupBy("_by").agg(F.percentile_approx("_v", points or [0.5], ACCURACY).alias("_cuts"), F.count("*").alias("_n"))
+    at = lambda x: F.get("_cuts", F.lit(points.index(x))) if x in points else F.lit(None)
+    asked = [F.struct(F.lit(k).alias("name"), F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(ranks[k]))).cast("long").alias("rank"), at(ranks[k] - margin).alias("low"), at(ranks[k] + margin).alias("high")) for k in names]
+    bounds = cuts.select(F.col("_by").alias("_of"), F.array(*asked).alias("_asked"))
+    if rows.select("_by").distinct().limit(FEW_GROUPS + 1).count() <= FEW_GROUPS:
+        bounds = F.broadcast(bounds)
+    each = rows.join(bounds, F.col("_by").eqNullSafe(F.col("_of"))).select("_by", "_v", F.explode("_asked").alias("_a")).where("_a.high is null or _v <= _a.high")
+    inside = F.when(F.col("_a.low").isNull() | (F.col("_v") >= F.col("_a.low")), F.col("_v"))
+    counts = each.groupBy("_by", F.col("_a.name").alias("_name"), F.col("_a.rank").alias("_rank"), inside.alias("_v")).count()
+    upto = F.sum("count").over(Window.partitionBy("_by", "_name").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    found = counts.withColumn("_upto", upto).where("_v is not null and _upto >= _rank")
+    return found.groupBy(F.col("_by").alias(by)).agg(*[F.min(F.when(F.col("_name") == k, F.col("_v"))).alias(k) for k in names])
 
 
 def recall(matched: Column, expected: Column) -> Column:
