@@ -177,60 +177,76 @@ def _dropped_below(role: str, text: str) -> bool:
     return role in NOISE_SUBTREES or any(w in lower for w in (*AD_WORDS, *BOILERPLATE)) or any(u in text for u in AD_URLS)
 
 
+def _parents(depths: list[int]) -> list[int]:
+    """The nearest row before each that is less deep, -1 where there is none."""
+    out, path = [], []
+    for i, d in enumerate(depths):
+        while path and depths[path[-1]] >= d:
+            path.pop()
+        out.append(path[-1] if path else -1)
+        path.append(i)
+    return out
+
+
 def readable(rows: list[tuple[int, str, str]], most_text: int = 200) -> list[str]:
-    """Lines of (depth, role, text) rows: noise out, advertisements out with all below them, repeated labels said once,
-    empty groups pruned until none is left, groups of one child joined to it; interactive nodes are numbered."""
-    kept, skip, n = [], None, 0
-    for depth, role, text in rows:
-        if skip is not None and depth > skip:
-            continue
-        skip = None
-        if _dropped(role, text):
-            continue
-        if _dropped_below(role, text):
-            skip = depth
-            continue
+    """Lines of (depth, role, text) rows, by parent pointers and counts that go up them.
+
+    Noise goes, advertisements go with all below them; of a heading or link and the equal link right inside it one stays,
+    and a text that says what it stands in goes; groups without text that hold nothing go, those that hold one row are joined to it.
+    Interactive rows are numbered before anything is said once.
+    """
+    noise = [_dropped(role, text) for _, role, text in rows]
+    ads = [not out and _dropped_below(role, text) for out, (_, role, text) in zip(noise, rows, strict=True)]
+    under = []  # whether a row is an advertisement or below one
+    for i, p in enumerate(_parents([r[0] for r in rows])):
+        under.append(ads[i] or (p >= 0 and under[p]))
+    rows = [r for r, out, ad in zip(rows, noise, under, strict=True) if not out and not ad]
+
+    labels, number = [], 0
+    for _, role, text in rows:
         label = f'{role} "{text}"' if text else role
-        label = label if len(label) <= most_text else label[:most_text] + "…"
-        if role in NUMBERED:
-            n += 1
-            label = f"[@{n}] {label}"
-        kept.append([depth, role, text, label])
-    once = []
-    i = 0
-    while i < len(kept):
-        depth, role, text, _ = kept[i]
-        after = kept[i + 1] if i + 1 < len(kept) else None
-        child = after is not None and after[0] == depth + 1 and after[1] == "link" and after[2] == text and text
-        if role in ("generic", "text"):
-            up = next((k for k in reversed(once) if k[0] <= depth), None)
-            if up is not None and up[0] < depth and text and up[2] == text:
-                i += 1
-                continue
-        if role == "link" and child:
-            i += 1
+        label = label[:most_text] + "…" * (len(label) > most_text)
+        number += role in NUMBERED
+        labels.append(f"[@{number}] {label}" if role in NUMBERED else label)
+
+    depths = [r[0] for r in rows]
+    parent = _parents(depths)
+    gone, staying = [False] * len(rows), set()  # (parent, depth) of rows that stay
+    for i, (depth, role, text) in enumerate(rows):
+        follows = i + 1 < len(rows) and rows[i + 1] == (depth + 1, "link", text) and bool(text)
+        if gone[i]:
             continue
-        once.append(kept[i])
-        i += 2 if role == "heading" and child else 1
-    while True:
-        left = [r for i, r in enumerate(once) if not (r[1] in GROUPS and not r[2] and not (i + 1 < len(once) and once[i + 1][0] > r[0]))]
-        if len(left) == len(once):
-            break
-        once = left
-    out, i = [], 0
-    while i < len(once):
-        depth, role, text, label = once[i]
-        below = []
-        j = i + 1
-        while j < len(once) and once[j][0] > depth:
-            below.append(j)
-            j += 1
-        if role in GROUPS and not text and len(below) == 1 and once[below[0]][0] == depth + 1:
-            out.append("  " * depth + f"{label} > {once[below[0]][3]}")
-            i += 2
+        p = parent[i]
+        while p >= 0 and gone[p]:
+            p = parent[p]
+        if role in ("generic", "text") and p >= 0 and (p, depth) not in staying and text and rows[p][2] == text:
+            gone[i] = True
+        elif role == "link" and follows:
+            gone[i] = True
         else:
-            out.append("  " * depth + label)
-            i += 1
+            staying.add((p, depth))
+            if role == "heading" and follows:
+                gone[i + 1] = True
+
+    rows, labels = ([x for x, out in zip(xs, gone, strict=True) if not out] for xs in (rows, labels))
+    depths, gone = [r[0] for r in rows], [False] * len(rows)
+    below, direct = [0] * len(rows), [0] * len(rows)  # rows that stay below each
+    parent = _parents(depths)
+    for i in range(len(rows) - 1, -1, -1):
+        gone[i] = rows[i][1] in GROUPS and not rows[i][2] and not below[i]
+        if (p := parent[i]) >= 0:
+            below[p] += below[i] + (not gone[i])
+            direct[p] += not gone[i] and depths[i] == depths[p] + 1
+    out, joined = [], set()
+    for i, (depth, role, text) in enumerate(rows):
+        if gone[i] or i in joined:
+            continue
+        line = labels[i]
+        if role in GROUPS and not text and below[i] == direct[i] == 1:
+            only = next(j for j in range(i + 1, len(rows)) if not gone[j])
+            joined.add(only)
+            line += f" > {labels[only]}"
+        out.append("  " * depth + line)
     return out
 
 
