@@ -32,22 +32,21 @@ def nearest_rank(c: str, q: float) -> Column:
     return F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY {c})")
 
 
-#: Accuracy of the sketch that brackets a rank: a share of 4 / ACCURACY of a group's values lies between the bounds.
-ACCURACY = 10_000
 #: Groups whose bounds are broadcast.
 FEW_GROUPS = 1000
 
 
-def nearest_ranks(df: DataFrame, by: str, c: str, ranks: dict[str, float]) -> DataFrame:
+def nearest_ranks(df: DataFrame, by: str, c: str, ranks: dict[str, float], pieces: int = 500) -> DataFrame:
     """(by, one column a rank): nearest_rank of each group that has values, without a group's values in one place.
 
     A mergeable sketch brackets each rank between two of the group's values.  One pass then counts what lies below a bracket, as one
-    row a task, and the values inside it; only those are put in order.
+    row a task, and the values inside it, one of `pieces` pieces of the group or less but for ties; only those are put in order.
     """
     rows = df.where(F.col(c).isNotNull()).select(F.col(by).alias("_by"), F.col(c).alias("_v"))
-    margin, names = 2 / ACCURACY, list(ranks)
+    accuracy = 20 * pieces
+    margin, names = 2 / accuracy, list(ranks)  # the sketch is off by one in `accuracy` at most
     points = sorted({x for q in ranks.values() for x in (q - margin, q + margin) if 0 < x < 1})
-    cuts = rows.groupBy("_by").agg(F.percentile_approx("_v", points or [0.5], ACCURACY).alias("_cuts"), F.count("*").alias("_n"))
+    cuts = rows.groupBy("_by").agg(F.percentile_approx("_v", points or [0.5], accuracy).alias("_cuts"), F.count("*").alias("_n"))
     at = lambda x: F.get("_cuts", F.lit(points.index(x))) if x in points else F.lit(None)
     asked = [F.struct(F.lit(k).alias("name"), F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(ranks[k]))).cast("long").alias("rank"), at(ranks[k] - margin).alias("low"), at(ranks[k] + margin).alias("high")) for k in names]
     bounds = cuts.select(F.col("_by").alias("_of"), F.array(*asked).alias("_asked"))

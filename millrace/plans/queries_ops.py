@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.js import round_half_up
 from ..operators import aggregates as agg
-from ..operators import dedupe, joins, ranking, setops, windows
+from ..operators import dedupe, intervals, joins, ranking, setops, windows
 from .registry import query
 
 _EPOCH = "unix_micros(cast(ts as timestamp)) / 1e6"
@@ -321,3 +321,18 @@ def cube_counts(t, spark):
 def frame_moving_average(t, spark):
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey").rowsBetween(-2, 0)
     return t("orders").select("o_orderkey", round_half_up(F.avg("o_totalprice").over(w)).alias("moving"))
+
+
+@query("""
+WITH a AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 0 ELSE user_id END AS k, epoch_us(ts) // 60000000 AS s, epoch_us(ts) // 60000000 + CASE WHEN event_id % 97 = 0 THEN 5000 ELSE event_id % 300 END + 1 AS e FROM events),
+b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 0 ELSE o_custkey % 150 END AS k, 28401120 + o_orderkey * 37 % 43200 AS s, 28401120 + o_orderkey * 37 % 43200 + o_orderkey % 100 + 1 AS e FROM orders)
+SELECT a.event_id, count(*) AS n, CAST(sum(least(a.e, b.e) - greatest(a.s, b.s)) AS BIGINT) AS minutes, min(b.o_orderkey) AS first_order FROM a JOIN b ON a.k = b.k AND a.s < b.e AND b.s < a.e GROUP BY a.event_id""")
+def overlap_minutes(t, spark):
+    """Intervals of events and of orders that overlap under one key, of which one holds half of all rows."""
+    m = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 60_000_000)
+    a = t("events").select("event_id", F.when(F.col("event_id") % 2 == 0, 0).otherwise(F.col("user_id")).alias("k"), m.alias("s"), (m + F.when(F.col("event_id") % 97 == 0, 5000).otherwise(F.col("event_id") % 300) + 1).alias("e"))
+    s = 28401120 + F.col("o_orderkey") * 37 % 43200
+    b = t("orders").select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, 0).otherwise(F.col("o_custkey") % 150).alias("k"), s.alias("s"), (s + F.col("o_orderkey") % 100 + 1).alias("e"))
+    each = intervals.overlap_join(a, b, (F.col("k"), F.col("k")), (F.col("s"), F.col("s")), (F.col("e"), F.col("e")))
+    both = F.least("left.e", "right.e") - F.greatest("left.s", "right.s")
+    return each.groupBy(F.col("left.event_id").alias("event_id")).agg(F.count("*").alias("n"), F.sum(both).cast("long").alias("minutes"), F.min("right.o_orderkey").alias("first_order"))
