@@ -66,6 +66,22 @@ def nearest(points: DataFrame, places: DataFrame, cutoff_km: float = 80.0) -> Da
     return points.join(best, "id", "left").select(*points.columns, F.col("_b.name").alias("nearest"), F.col("_b.km").alias("km"))
 
 
+def named_or_nearest(points: DataFrame, places: DataFrame, cutoff_km: float = 80.0) -> DataFrame:
+    """points(id, title, lat, lng) with the place of that name, else the nearest of places(name, names, rank, plat, plng) within the cut-off.
+
+    Names are compared without regard to case and outer or repeated space; of several places with a name the one of least
+    rank is taken.  Points without a name or coordinates that lead anywhere have no place.  km is null where the name decided.
+    """
+    fold = lambda c: F.lower(F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", " ")))
+    called = places.select("name", "rank", F.explode("names").alias("_n")).select("name", "rank", fold(F.col("_n")).alias("_called")).where("_called <> ''")
+    first = called.groupBy("_called").agg(F.min_by("name", F.struct("rank", "name")).alias("_named"))
+    told = points.join(first, fold(F.col("title")) == F.col("_called"), "left")
+    rest = told.where("_named is null").select(*points.columns)
+    near = nearest(rest.where("not isnan(lat) and not isnan(lng)"), places.select("name", "plat", "plng").where("not isnan(plat) and not isnan(plng)"), cutoff_km).select(F.col("id").alias("_id"), "nearest", "km")
+    out = told.join(near, told["id"] == near["_id"], "left")
+    return out.select(*points.columns, F.coalesce("_named", "nearest").alias("place"), F.when(F.col("_named").isNull(), F.col("km")).alias("km"))
+
+
 def range_assign(rows: DataFrame, by: list[str], order: str, is_anchor: Column, anchor: Column) -> Column:
     """The last anchor at or before each row."""
     w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)

@@ -336,3 +336,18 @@ def overlap_minutes(t, spark):
     each = intervals.overlap_join(a, b, (F.col("k"), F.col("k")), (F.col("s"), F.col("s")), (F.col("e"), F.col("e")))
     both = F.least("left.e", "right.e") - F.greatest("left.s", "right.s")
     return each.groupBy(F.col("left.event_id").alias("event_id")).agg(F.count("*").alias("n"), F.sum(both).cast("long").alias("minutes"), F.min("right.o_orderkey").alias("first_order"))
+
+
+@query("""WITH p AS (SELECT c_custkey AS id, CASE c_custkey % 3 WHEN 0 THEN '  supplier#' || lpad(CAST(c_custkey % 200 AS VARCHAR), 9, '0') || ' ' WHEN 1 THEN 'depot ' || c_custkey % 300 ELSE c_name END AS title, CAST(c_custkey * 37 % 120 - 60 AS DOUBLE) / 1.0 + 0.25 AS lat, CAST(c_custkey * 91 % 340 - 170 AS DOUBLE) + 0.5 AS lng FROM customer),
+  q AS (SELECT s_name AS name, s_suppkey AS rank, 'Depot ' || s_suppkey % 50 AS other, CAST(s_suppkey * 53 % 120 - 60 AS DOUBLE) AS plat, CAST(s_suppkey * 17 % 340 - 170 AS DOUBLE) AS plng FROM supplier),
+  n AS (SELECT lower(called) AS called, min_by(name, rank) AS name FROM (SELECT name AS called, name, rank FROM q UNION ALL SELECT other, name, rank FROM q) GROUP BY lower(called)),
+  e AS (SELECT p.*, n.name AS named FROM p LEFT JOIN n ON lower(trim(p.title)) = n.called),
+  d AS (SELECT id, name, 2 * 6371.0 * asin(least(1.0, sqrt(pow(sin(radians(plat - lat) / 2), 2) + cos(radians(lat)) * cos(radians(plat)) * pow(sin(radians(plng - lng) / 2), 2)))) AS km FROM e, q WHERE named IS NULL),
+  b AS (SELECT id, name, km FROM d WHERE km <= 80 QUALIFY row_number() OVER (PARTITION BY id ORDER BY km, name) = 1)
+  SELECT e.id, coalesce(e.named, b.name) AS place, floor(b.km * 1000 + 0.5) / 1000 AS km FROM e LEFT JOIN b ON e.id = b.id""")
+def named_or_nearest(t, spark):
+    """Customers with the supplier they name, by either of its names, else the nearest one."""
+    title = "case c_custkey % 3 when 0 then concat('  supplier#', lpad(cast(c_custkey % 200 as string), 9, '0'), ' ') when 1 then concat('depot ', c_custkey % 300) else c_name end as title"
+    points = t("customer").selectExpr("c_custkey as id", title, "cast(c_custkey * 37 % 120 - 60 as double) + 0.25d as lat", "cast(c_custkey * 91 % 340 - 170 as double) + 0.5d as lng")
+    places = t("supplier").selectExpr("s_name as name", "s_suppkey as rank", "array(s_name, concat('Depot ', s_suppkey % 50)) as names", "cast(s_suppkey * 53 % 120 - 60 as double) as plat", "cast(s_suppkey * 17 % 340 - 170 as double) as plng")
+    return joins.named_or_nearest(points, places).select("id", "place", round_half_up(F.col("km"), 3).alias("km"))

@@ -186,3 +186,11 @@ def variant_paths(t, spark):
     raw = F.expr("""case event_id % 5 when 0 then props when 1 then concat('{"k": "', event_id % 100, '"}') when 2 then concat('{"k": null, "deep": [{"x": ', event_id, '}]}') when 3 then concat('{"k": [', event_id % 100, ']}') else '{"deep": {"x": true}}' end""")
     steps = [{"evaluate": "raw"}, {"filter": "item.raw_json.k > 30 || item.raw_json.deep"}, {"map": {"id": "${{ item.event_id }}", "k": "${{ String(item.raw_json.k) }}", "twice": "${{ Number(item.raw_json.k || 0) * 2 }}", "is_text": "${{ item.raw_json.k === String(item.raw_json.k) }}", "x": "${{ String(item.raw_json.deep[0].x) }}", "shout": "${{ String(item.raw_json.k + '!') }}"}}]
     return run(steps, t("events").select("event_id", raw.alias("raw")), ["event_id"], ordered=False)
+
+
+@query("SELECT page_id, url AS decoded, url AS again FROM pages")
+def url_decode_all(t, spark):
+    """Urls encoded and decoded again, by the filters and by functions of expressions."""
+    rows = t("pages").select("page_id", "url")
+    out = run([{"map": {"page_id": "${{ item.page_id }}", "decoded": "${{ item.url | urlencode | urldecode }}", "again": "${{ decodeURIComponent(encodeURIComponent(item.url)) }}"}}], rows, ["page_id"], ordered=False)
+    return out

@@ -436,3 +436,10 @@ def evenly_spaced(t, spark):
 
     spots = windows.evenly_spaced((F.col("s_suppkey") + 100).cast("double"), 3)
     return t("supplier").select("s_suppkey", spots[1].alias("middle"), F.size(spots).cast("long").alias("n"))
+
+
+@query("""WITH h AS (SELECT doc_id, text, substr(text, 1, 400) AS head FROM documents), b AS (SELECT *, strpos(reverse(head), chr(10) || chr(10)) AS back FROM h)
+  SELECT doc_id, CASE WHEN length(text) <= 400 THEN text WHEN back > 0 AND back < 200 THEN substr(head, 1, 400 - back - 1) ELSE head END AS head FROM b""")
+def paragraph_heads(t, spark):
+    """The beginning of every text, cut at a blank line where one is near."""
+    return t("documents").select("doc_id", text.truncate_at_paragraph(F.col("text"), 400).alias("head"))
