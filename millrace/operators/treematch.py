@@ -28,13 +28,15 @@ def match_trees(old: DataFrame, new: DataFrame, tree: str, most_levels: int = 10
     """
     cols = ["pos", "key", "fingerprint", "kind", "content"]
     side = lambda df, name: df.select(tree, F.col("node").cast("long").alias(name), F.coalesce(F.col("parent").cast("long"), F.lit(_NONE)).alias("_parent"), *cols)
-    olds, news = side(old, "old_node"), side(new, "new_node")
+    olds, news = checkpointed(side(old, "old_node")), checkpointed(side(new, "new_node"))
     trees = olds.select(tree).distinct().join(news.select(tree).distinct(), tree)
     pairs = trees.select(tree, F.lit(_NONE).cast("long").alias("_po"), F.lit(_NONE).cast("long").alias("_pn"))
     found = None
     for _ in range(most_levels):
         under = lambda df, by: df.join(pairs.select(F.col(tree).alias("_tree"), *_PAIR), (F.col(tree) == F.col("_tree")) & (F.col("_parent") == F.col(by))).drop("_tree", "_parent")  # noqa: B023, E731
-        a, b = under(olds, "_po"), under(news, "_pn")
+        a, b = checkpointed(under(olds, "_po")), checkpointed(under(news, "_pn"))  # each is read a dozen times
+        if a.isEmpty() or b.isEmpty():
+            break
         met = match_children(a, b, [tree, *_PAIR]).where("old_pos is not null and new_pos is not null")
         key = [tree, *_PAIR]
         met = met.join(a.select(*key, F.col("pos").cast("long").alias("old_pos"), "old_node"), [*key, "old_pos"]).join(b.select(*key, F.col("pos").cast("long").alias("new_pos"), "new_node"), [*key, "new_pos"])
