@@ -38,14 +38,15 @@ def fresh_entries(entries: DataFrame, saved: Column, now: Column, ttl_s: float =
     return entries.withColumn("expired", now - saved > ttl_s)
 
 
-def retention(items: DataFrame, by: str, created: str, age_s: Column, size: str, protected: str, most_age_s: float, most_n: int, most_bytes: int) -> DataFrame:
+def retention(items: DataFrame, by: str, created: str, age_s: Column, size: str, protected: str, most_age_s: float, most_n: int, most_bytes: int, tie: str | None = None) -> DataFrame:
     """keep: unprotected rows go by age, then the oldest beyond a count, then beyond total bytes; protected rows stay.
 
-    Protected rows take up room in the count and the bytes all the same.
+    Protected rows take up room in the count and the bytes all the same.  Among rows of one age those with the larger `tie` count as newer.
     """
     aged = items.withColumn("_alive", F.col(protected) | (age_s <= most_age_s))
-    newest = Window.partitionBy(by, "_alive").orderBy(F.desc(protected), F.desc(created)).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = aged.withColumn("_rank", F.row_number().over(Window.partitionBy(by, "_alive").orderBy(F.desc(protected), F.desc(created))))
+    order = [F.desc(protected), F.desc(created), *([F.desc(tie)] if tie else [])]
+    newest = Window.partitionBy(by, "_alive").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = aged.withColumn("_rank", F.row_number().over(Window.partitionBy(by, "_alive").orderBy(*order)))
     counted = ranked.withColumn("_counted", F.col("_alive") & (F.col(protected) | (F.col("_rank") <= most_n)))
     totals = counted.withColumn("_bytes", F.sum(F.when(F.col("_counted"), F.col(size)).otherwise(0)).over(newest))
     return totals.withColumn("keep", F.col("_counted") & (F.col(protected) | (F.col("_bytes") <= most_bytes))).drop("_alive", "_rank", "_counted", "_bytes")
