@@ -4,6 +4,8 @@ An interval stands in every bucket that it touches, and a pair is taken in the b
 wide as the mean interval of the longer side, so an interval stands in few; very long ones stand in coarser buckets of
 their own level (each level twice as wide as the one before), which the others look up.  A bucket with many rows on one side is dealt into
 parts: that side's rows go to a part each, the other side's to all of them.
+
+Pairs under one key grow with the square of its rows.  Where only totals are wanted, `overlap_totals` works them out without pairs.
 """
 
 from __future__ import annotations
@@ -74,3 +76,41 @@ def overlap_join(left: DataFrame, right: DataFrame, key: tuple[Column, Column],
 
     # left intervals on their level with right ones up to that level, then right ones with strictly shorter left ones
     return meet(own[0], up[1], ("left", "right"), False).unionByName(meet(own[1], up[0], ("right", "left"), True).select("left", "right"))
+
+
+def _stretches(df: DataFrame, low: Column, high: Column) -> DataFrame:
+    """A row (tier, node) for each of the longest aligned stretches [node * 2^tier, (node + 1) * 2^tier) that make up [low, high)."""
+    tiers = df.withColumns({"_low": low, "_high": high}).where("_low < _high").withColumn("tier", F.explode(F.sequence(F.lit(0), F.ceil(F.log2(F.col("_high") - F.col("_low"))).cast("int"))))
+    ends = tiers.withColumns({"_first": -F.expr("shiftright(-_low, tier)"), "_last": F.expr("shiftright(_high, tier)")}).where("_first < _last")
+    odd = lambda c: F.when(F.col(c).bitwiseAND(F.lit(1).cast("long")) == 1, F.col(c) - int(c == "_last"))
+    return ends.withColumn("node", F.explode(F.array(odd("_first"), odd("_last")))).where("node is not null").drop("_low", "_high", "_first", "_last")
+
+
+def overlap_totals(left: DataFrame, right: DataFrame, key: tuple[Column, Column], start: tuple[Column, Column], end: tuple[Column, Column], by: str, least: str) -> DataFrame:
+    """(by, n, total, least) over the pairs of overlap_join: how many, their common length, and the smallest `least` of the right side.
+
+    In a pair the right interval holds the left one's start, or starts inside the left one.  Right intervals are added up by aligned stretches
+    of the axis, each tier's twice as long as those before: their ends in the stretches around them (tiers from 0), they themselves in
+    the stretches that they are made of (tiers from -1 down).  A left interval looks up the few that it is made of and those around its start, so work
+    grows with the rows, and a key's rows are spread over its stretches.  Groups without a pair have no row.  Starts and ends are below 2^62.
+    """
+    sides = []
+    for df, k, s, e, own in zip((left, right), key, start, end, (by, least), strict=True):
+        sides.append(df.select(k.alias("_key"), s.cast("long").alias("_s"), e.cast("long").alias("_e"), F.col(own).alias("_own")).where("_key is not null and _s < _e"))
+    # the highest tier that an interval of a side can be made of
+    top_left, top_right = ((s.agg(F.max(F.col("_e") - F.col("_s"))).first()[0] or 1).bit_length() - 1 for s in sides)
+
+    once = sides[1].groupBy("_key", "_s", "_e").agg(F.count("*").alias("_n"), F.min("_own").alias("low"))
+    starts, stops = once.select("_key", F.col("_s").alias("_at"), F.col("_n").alias("n"), F.col("_n").alias("ends"), "low"), once.select("_key", F.col("_e").alias("_at"), F.lit(0).cast("long").alias("n"), (-F.col("_n")).alias("ends"), F.lit(None).cast(once.schema["low"].dataType).alias("low"))
+    ends = starts.unionByName(stops).groupBy("_key", "_at").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"), F.min("low").alias("low"))
+    ends = ends.withColumn("tier", F.explode(F.sequence(F.lit(0), F.lit(top_left)))).withColumn("node", F.expr("shiftright(_at, tier)"))
+    inside = ends.select("_key", "tier", "node", "n", "ends", (F.col("ends") * (F.col("_at") - F.expr("shiftleft(node, tier)"))).alias("offset"), "low")
+    around = _stretches(once, F.col("_s"), F.col("_e")).select("_key", (-1 - F.col("tier")).alias("tier"), "node", F.col("_n").alias("n"), F.lit(0).cast("long").alias("ends"), F.lit(0).cast("long").alias("offset"), "low")
+    table = inside.unionByName(around).groupBy("_key", "tier", "node").agg(*(F.sum(c).alias(c) for c in ("n", "ends", "offset")), F.min("low").alias("low"))
+
+    made_of = _stretches(sides[0], F.col("_s") + 1, F.col("_e"))
+    start_in = sides[0].withColumn("tier", F.explode(F.sequence(F.lit(-1 - top_right), F.lit(-1)))).withColumn("node", F.expr("shiftright(_s, -1 - tier)"))
+    # inside: from each start, and no longer from each end, to the end of the left interval
+    common = F.when(F.col("tier") < 0, F.col("n") * (F.col("_e") - F.col("_s"))).otherwise(F.col("ends") * (F.col("_e") - F.expr("shiftleft(node, greatest(tier, 0))")) - F.col("offset"))
+    found = made_of.unionByName(start_in).join(table, ["_key", "tier", "node"]).groupBy(F.col("_own").alias(by)).agg(F.sum("n").alias("n"), F.sum(common).alias("total"), F.min("low").alias("least"))
+    return found.where("n > 0")

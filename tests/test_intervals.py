@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.intervals import overlap_join
+from millrace.operators.intervals import overlap_join, overlap_totals
 
 COLS = "k string, s long, e long, id long"
 
@@ -38,3 +38,30 @@ def test_odd_sides(spark):
     assert sorted(map(tuple, join(one, one, width=1).select("left.id", "right.id").collect())) == [(1, 1), (1, 2), (2, 1), (2, 2)]
     plan = join(one, one)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def totals(a, b):
+    return overlap_totals(a, b, (F.col("k"), F.col("k")), (F.col("s"), F.col("s")), (F.col("e"), F.col("e")), "id", "id")
+
+
+def test_totals_of_all_pairs(spark):
+    rng = random.Random(72)
+    left, right = side(rng, 260, 0), side(rng, 200, 1000)
+    got = totals(spark.createDataFrame(left, COLS).repartition(4), spark.createDataFrame(right, COLS).repartition(3))
+    fine = lambda rows: [r for r in rows if None not in r and r[1] < r[2]]
+    want = {}
+    for x in fine(left):
+        for y in fine(right):
+            if x[0] == y[0] and x[1] < y[2] and y[1] < x[2]:
+                n, total, least = want.get(x[3], (0, 0, y[3]))
+                want[x[3]] = n + 1, total + min(x[2], y[2]) - max(x[1], y[1]), min(least, y[3])
+    assert got.count() == len(want) and {r["id"]: (r["n"], r["total"], r["least"]) for r in got.collect()} == want
+
+
+def test_totals_make_no_pairs(spark):
+    none, far = spark.createDataFrame([], COLS), spark.createDataFrame([("a", -(2**40), 2**40, 1), ("a", 5, 6, 2)], COLS)
+    assert totals(none, far).count() == totals(far, none).count() == totals(none, none).count() == 0
+    assert sorted(map(tuple, totals(far, far).collect())) == [(1, 2, 2**41 + 1, 1), (2, 2, 2, 1)]
+    n = 30_000  # all pairs of one key overlap: 900 million
+    many = spark.range(n).selectExpr("'a' k", "-id s", "1 + id e", "id")
+    assert totals(many, many).agg(F.sum("n"), F.min("least"), F.sum("total")).first()[:2] == (n * n, 0)
