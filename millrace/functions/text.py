@@ -139,6 +139,21 @@ def article_markdown(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else to_markdown(main_content(x)))
 
 
+def only_references(page: str, names: tuple[str, ...]) -> str:
+    """The page with every & that doesn't begin one of these closed references written as a reference itself, so that it is read as it stands."""
+    return re.sub(rf"&(?!(?:{'|'.join(map(re.escape, names))});)", "&amp;", page)
+
+
+def article_markdown_of(c: Column, names: tuple[str, ...]) -> Column:
+    """article_markdown where only the closed references named are decoded; others, and those without a semicolon, stay."""
+
+    @F.pandas_udf(T.StringType())
+    def markdown(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: None if x is None else to_markdown(only_references(main_content(x), names)))
+
+    return markdown(c)
+
+
 @F.pandas_udf(T.StringType())
 def absolute_urls(page: pd.Series, base: pd.Series) -> pd.Series:
     """href and src attributes made absolute."""

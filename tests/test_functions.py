@@ -132,3 +132,16 @@ def test_sqlite_and_protected(spark, tmp_path):
     assert [tuple(r) for r in exports.sqlite_keys(spark, str(tmp_path / "s.db")).collect()] == [("a.1", "t"), ("b", '{"x":1}')]
     assert one(spark, lambda c: redact.protected(c, ["secret answer", "no", "B"]), "secret answer, no notes; answer: B, Bob") == "[REDACTED], [REDACTED] notes; answer: [REDACTED], Bob"
     assert exports.error_envelope("E", "m", "h")["error"] == {"code": "E", "message": "m", "hint": "h"}
+
+
+def test_markdown_titles_decode_closed_references_only(spark, tmp_path):
+    import oracle
+
+    from millrace.plans.catalogue import ORACLE, QUERIES
+
+    ends = ["and&amp", "a&ampb", "&lt", "&amp;lt;", "x &amp; y", "q&quot;&#39;", "1&nbsp;2", "&copy", "a & b"]
+    spark.createDataFrame([(i, f"<body><article><h1>Title {x}</h1><p>{'long enough text ' * 9}</p></article></body>") for i, x in enumerate(ends)], "page_id long, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = oracle.duckdb.connect()
+    con.execute(f"create view pages as select * from read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    _, got, _, want = oracle.both(spark, con, QUERIES["markdown_titles"], ORACLE["markdown_titles"], str(tmp_path))
+    assert got == want and len(got) == len(ends)
