@@ -26,6 +26,8 @@ RULES = (
 )
 #: What a text must hold for a rule to match: a cheap test that spares most texts the pattern.
 _HINTS = (r"(?i)(bearer|basic|negotiate|ntlm)\s", r"""(?i)(password|passwd|pwd|token|secret|api_?key|session_id)["']""", r"(?i)(token|secret|password|api_?key|session_id)[=:]", r"(?i)cookie[=:]", "eyJ")
+#: What a text that any rule matches holds: the hints in one pattern, so that other texts are read once.
+_ANY = r"""(?i)(?:bearer|basic|negotiate|ntlm)\s|(?:password|passwd|pwd|token|secret|api_?key|session_id)["'=:]|cookie[=:]|eyJ"""
 MOST = 50_000
 DEPTH, ITEMS, FIELDS = 5, 100, 100
 DEEP = "[truncated: max depth reached]"
@@ -36,12 +38,26 @@ def url(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, USER, "$1[REDACTED]@"), PARAMETERS, "$1$2=[REDACTED]")
 
 
+def _bound(c: Column, f) -> Column:
+    """f of a value worked out once; written out, each use in f would work it out again, and uses within uses multiply."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def text(c: Column, most: int = MOST) -> Column:
     """Auth schemes, quoted secrets, key=value secrets, cookies and JWTs; then cut, saying how much is left out."""
+
+    def rule(pattern: str, to: str, hint: str):
+        return lambda x: F.when(x.rlike(hint), F.regexp_replace(x, pattern, to)).otherwise(x)
+
+    ruled = c
     for (pattern, to), hint in zip(RULES, _HINTS, strict=True):
-        c = F.when(c.rlike(hint), F.regexp_replace(c, pattern, to)).otherwise(c)
-    rest = F.concat(F.lit("\n...[truncated, "), (F.length(c) - most).cast("string"), F.lit(" chars omitted]"))
-    return F.when(F.length(c) > most, F.concat(F.substring(c, 1, most), rest)).otherwise(c)
+        ruled = _bound(ruled, rule(pattern, to, hint))
+
+    def cut(x: Column) -> Column:
+        rest = F.concat(F.lit("\n...[truncated, "), (F.length(x) - most).cast("string"), F.lit(" chars omitted]"))
+        return F.when(F.length(x) > most, F.concat(F.substring(x, 1, most), rest)).otherwise(x)
+
+    return F.when(c.rlike(_ANY), _bound(ruled, cut)).otherwise(cut(c))
 
 
 def _open(allow: tuple[str, ...]) -> list[str]:
