@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,24 +17,28 @@ def gap_sessions(df: DataFrame, by: list[str], time: Column, order: list, gap_se
 def span_sessions(df: DataFrame, by: str, time: str, gap_seconds: float, span_seconds: float) -> DataFrame:
     """As gap_sessions, and a session may not last over span_seconds: an inherently sequential fold.
 
-    Gap sessions are found first with windows; the fold runs inside each, so a group is one gap session,
-    not one key, and a hot key is spread over tasks.
+    Gap sessions are found first with windows; the fold runs inside each, so a hot key is spread over tasks.  A task reads its
+    sessions one after the other in order of time, a batch of many at once, and carries only the last one's state on.
     """
     base = gap_sessions(df, [by], F.col(time), [time], gap_seconds).withColumnRenamed("session", "gap_session")
     names = [f.name for f in base.schema.fields]
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(time, kind="stable").reset_index(drop=True)
-        start, n, out = None, 0, []
-        for t in pdf[time]:
-            if start is None or t - start > span_seconds:
-                start, n = t, n + 1
-            out.append(n)
-        pdf["part"] = out
-        return pdf[[*names, "part"]]
+    def fold(batches):
+        import pyarrow as pa
+
+        now, start, n = None, None, 0
+        for b in batches:
+            out = []
+            for key, session, t in zip(*(b.column(names.index(c)).to_pylist() for c in (by, "gap_session", time)), strict=True):
+                if now != (key, session):
+                    now, start, n = (key, session), t, 1
+                elif t is not None and (start is None or t - start > span_seconds):
+                    start, n = t, n + 1
+                out.append(n)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.int64())], names=[*names, "part"])
 
     schema = T.StructType([*base.schema.fields, T.StructField("part", T.LongType())])
-    return base.groupBy(by, "gap_session").applyInPandas(fold, schema)
+    return base.repartition(by, "gap_session").sortWithinPartitions(by, "gap_session", time).mapInArrow(fold, schema)
 
 
 def islands(df: DataFrame, by: list[str], value: str) -> DataFrame:

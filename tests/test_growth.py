@@ -28,3 +28,8 @@ def test_own_aggregate_takes_counted_values(spark, tmp_path):
 def test_no_sketch_for_every_value(spark, sf):
     lines = [x for x in plan(QUERIES["approximate_distinct"](spark, sf)).splitlines() if "approx_count_distinct" in x]
     assert lines and all("l_orderkey" not in x.split("keys=[")[1].split("]")[0] for x in lines)
+
+
+def test_span_sessions_make_no_frame_a_session(spark, sf):
+    got = plan(QUERIES["span_sessions"](spark, sf))
+    assert "MapInArrow" in got and "FlatMapGroups" not in got
