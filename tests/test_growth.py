@@ -33,3 +33,8 @@ def test_no_sketch_for_every_value(spark, sf):
 def test_span_sessions_make_no_frame_a_session(spark, sf):
     got = plan(QUERIES["span_sessions"](spark, sf))
     assert "MapInArrow" in got and "FlatMapGroups" not in got
+
+
+def test_elements_are_taken_apart_once(spark, sf):
+    for name in ("select_links", "select_counts", "find_links", "main_content"):
+        assert "MapInArrow" not in plan(QUERIES[name](spark, sf)), name
