@@ -11,8 +11,8 @@ reach the plan, so pages outside them are never requested.
 
 A folder holds data files, one a page, and manifests that name them.  Writing has two phases: tasks write pages under new names,
 and the driver's commit adds one manifest in one step.  Until then, after an abort, and after a lost task, nobody reads
-them.  A stream's manifests bear the batch's number, and a batch that is run again adds nothing.  A manifest's name tells
-which pages it holds, so planning lists names only.
+them.  A stream's manifests bear the batch's number, and a batch that is run again adds nothing.  A manifest's name is its first
+page alone, so of writers that want the same numbers one gets them; planning lists names and reads the last manifest.
 """
 
 from __future__ import annotations
@@ -110,17 +110,22 @@ class FolderPages:
     def __init__(self, options):
         self.path = options["path"].rstrip("/")
 
-    def manifests(self) -> list[tuple[int, int, str]]:
-        """(first page, pages, name), in order."""
-        return [(int(n.split("-")[0]), int(n.split("-")[1]), n) for n in store.names(f"{self.path}/_manifest")]
+    def firsts(self) -> list[int]:
+        """First pages of the manifests, in order."""
+        return [int(n.removesuffix(".json")) for n in store.names(f"{self.path}/_manifest")]
+
+    def manifest(self, first: int) -> dict:
+        """The tag and the files of the manifest that begins with a page."""
+        return json.loads(store.get(f"{self.path}/_manifest/{first:012d}.json"))
 
     def count(self) -> int:
-        return max((first + n for first, n, _ in self.manifests()), default=0)
+        firsts = self.firsts()
+        return firsts[-1] + len(self.manifest(firsts[-1])["files"]) if firsts else 0
 
     def rows(self, page: int) -> list[str]:
         if not hasattr(self, "known") or not self.known[0] <= page < self.known[0] + len(self.known[1]):
-            first, _, name = next(m for m in self.manifests() if m[0] <= page < m[0] + m[1])
-            self.known = first, json.loads(store.get(f"{self.path}/_manifest/{name}"))
+            first = max(f for f in self.firsts() if f <= page)
+            self.known = first, self.manifest(first)["files"]
         data = store.get(f"{self.path}/{self.known[1][page - self.known[0]]}").decode()
         return data.split("\n") if data else []
 
@@ -232,7 +237,7 @@ class _Writing:
         pages = FolderPages(self.options)
         while files:
             try:
-                return store.put(f"{pages.path}/_manifest/{pages.count():012d}-{len(files):09d}-{tag}.json", json.dumps(files).encode(), new=True)
+                return store.put(f"{pages.path}/_manifest/{pages.count():012d}.json", json.dumps({"tag": tag, "files": files}).encode(), new=True)
             except FileExistsError:  # another writer took these numbers
                 continue
 
@@ -253,9 +258,19 @@ class PagedWriter(_Writing, DataSourceWriter):
 class PagedStreamWriter(_Writing, DataSourceStreamWriter):
     """`writer` tells apart queries that write into one folder."""
 
+    def committed(self, writer: str, batch: int) -> bool:
+        """A writer's batches come in order, so manifests are read from the last one back to one of no later batch."""
+        pages = FolderPages(self.options)
+        for first in reversed(pages.firsts()):
+            name, _, number = pages.manifest(first)["tag"].rpartition(".")
+            if name == writer and int(number) <= batch:
+                return int(number) == batch
+        return False
+
     def commit(self, messages, batchId):
-        tag = f"{self.options.get('writer', 'stream')}.{batchId}"
-        if any(name.endswith(f"-{tag}.json") for _, _, name in FolderPages(self.options).manifests()):
+        writer = self.options.get("writer", "stream")
+        tag = f"{writer}.{batchId}"
+        if self.committed(writer, batchId):
             self.drop(messages)  # the batch was committed before its query stopped
         else:
             self.add(messages, tag)

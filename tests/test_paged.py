@@ -109,6 +109,34 @@ def test_two_writers_get_pages_of_their_own(tmp_path):
     assert pages.count() == 6 and sorted(x for p in range(6) for x in pages.rows(p)) == sorted(f'"{k}{i}"' for k in "ab" for i in range(5))
 
 
+def test_writers_of_different_sizes_clash_on_their_first_page(tmp_path, monkeypatch):
+    options = {"path": str(tmp_path), "size": "2"}
+    a, b = paged.PagedWriter(options), paged.PagedWriter(options)
+    long, short = a.write(iter([(f'"a{i}"',) for i in range(5)])), b.write(iter([('"b"',)]))
+    put = store.put
+
+    def late(uri, data, new=False):
+        """b commits after a has counted the pages, before a's manifest is there."""
+        monkeypatch.setattr(store, "put", put)
+        b.commit([short])
+        put(uri, data, new)
+
+    monkeypatch.setattr(store, "put", late)
+    a.commit([long])
+    pages = paged.FolderPages(options)
+    assert [x for p in range(pages.count()) for x in pages.rows(p)] == ['"b"', *(f'"a{i}"' for i in range(5))]
+
+
+def test_a_batch_is_known_among_those_of_other_writers(tmp_path):
+    options = {"path": str(tmp_path), "size": "2"}
+    one, two, batch = paged.PagedStreamWriter(options), paged.PagedStreamWriter(options | {"writer": "a.b"}), paged.PagedWriter(options)
+    put = lambda w, x, *n: w.commit([w.write(iter([(x,)]))], *n)
+    for w, x, *n in ((one, "0", 0), (two, "1", 0), (one, "2", 1), (batch, "3"), (one, "2", 1), (two, "1", 0), (one, "0", 0), (two, "4", 1)):
+        put(w, x, *n)
+    pages = paged.FolderPages(options)
+    assert [pages.rows(p) for p in range(pages.count())] == [["0"], ["1"], ["2"], ["3"], ["4"]]
+
+
 def test_stream_stops_between_batches_and_resumes(spark, sf, tmp_path):
     paged.register(spark)
     source, sink, checkpoint = (f"file://{tmp_path}/{x}" for x in ("source", "sink", "checkpoint"))
