@@ -42,10 +42,20 @@ def span_sessions(df: DataFrame, by: str, time: str, gap_seconds: float, span_se
 
 
 def islands(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    """Runs of consecutive integers: (by, first, last, n)."""
-    w = Window.partitionBy(*by).orderBy(value)
-    distinct = df.select(*by, value).distinct()
-    return distinct.withColumn("_g", F.col(value) - F.row_number().over(w)).groupBy(*by, "_g").agg(F.min(value).alias("first"), F.max(value).alias("last"), F.count("*").alias("n")).drop("_g")
+    """Runs of consecutive integers: (by, first, last, n); nulls are one run without bounds.
+
+    One sort in as many parts as a shuffle has, and no hash table of the distinct values or of the runs: of each value's first row,
+    those that begin or end a run are kept.
+    """
+    w = Window.partitionBy(*by).orderBy("_v")
+    row = F.struct("_v")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    gap = lambda a, b: F.when(a.isNull() | b.isNull(), True).when(a < b, a + 1 < b).otherwise(False)
+    rows = df.select(*by, F.col(value).alias("_v")).repartition(parts, *by).withColumn("_b", F.lag(row).over(w))
+    rows = rows.where(F.col("_b").isNull() | ~F.col("_b._v").eqNullSafe(F.col("_v"))).withColumn("_n", F.lead(row).over(w)).withColumn("_b", F.lag(row).over(w))
+    ends = rows.select(*by, "_v", gap(F.col("_b._v"), F.col("_v")).alias("_first"), gap(F.col("_v"), F.col("_n._v")).alias("_last")).where("_first or _last")
+    last = F.when(F.col("_last"), F.col("_v")).otherwise(F.lead("_v").over(w))
+    return ends.withColumn("last", last).where("_first").select(*by, F.col("_v").alias("first"), "last", F.coalesce(F.col("last") - F.col("_v") + 1, F.lit(1)).cast("long").alias("n"))
 
 
 def top_k_with_rest(df: DataFrame, by: list[str], order: list, k: int) -> DataFrame:

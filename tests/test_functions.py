@@ -145,3 +145,17 @@ def test_markdown_titles_decode_closed_references_only(spark, tmp_path):
     con.execute(f"create view pages as select * from read_parquet('{tmp_path}/pages.parquet/*.parquet')")
     _, got, _, want = oracle.both(spark, con, QUERIES["markdown_titles"], ORACLE["markdown_titles"], str(tmp_path))
     assert got == want and len(got) == len(ends)
+
+
+def test_islands(spark):
+    low, high = -(2**63), 2**63 - 1
+    values = [("a", x) for x in (3, 1, 2, 2, 7, None, None, 9, 8, 9, 20)] + [("b", None), (None, 5), (None, 5), (None, 6), ("c", 4), ("d", low), ("d", low + 1), ("d", low), ("d", high), ("d", high - 1), ("d", 0)]
+    df = spark.createDataFrame(values, "k string, v long")
+    got = {tuple(r) for r in windows.islands(df, ["k"], "v").collect()}
+    assert got == {("a", None, None, 1), ("a", 1, 3, 3), ("a", 7, 9, 3), ("a", 20, 20, 1), ("b", None, None, 1), (None, 5, 6, 2), ("c", 4, 4, 1), ("d", low, low + 1, 2), ("d", high - 1, high, 2), ("d", 0, 0, 1)}
+
+
+def test_islands_take_one_sort_and_no_hash_table(spark):
+    df = spark.range(0, 1000, 1, 4).select((F.col("id") % 7).alias("k"), "id")
+    plan = windows.islands(df, ["k"], "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1 and plan.count("Exchange hashpartitioning") == 1 and "HashAggregate" not in plan
