@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import json
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEPTH, TEXT, BYTES = 6, 80, 2048
+#: Texts whose shapes are Python values at once; of a batch's others there are Arrow's bytes only.
+SLICE = 512
 
 
 def shape_of(value, path: str = "$", depth: int = 0, out: dict[str, str] | None = None) -> dict[str, str]:
@@ -34,17 +36,30 @@ def shape_of(value, path: str = "$", depth: int = 0, out: dict[str, str] | None
     return out
 
 
-@F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
-def shape(s: pd.Series) -> pd.Series:
-    """Shape of JSON texts; a text that doesn't parse has none."""
-
+def shapes_of(texts: pa.Array) -> pa.Array:
+    """Shapes of JSON texts as an array of maps; a text that doesn't parse has none."""
     def one(x):
         try:
             return shape_of(json.loads(x))
         except (TypeError, ValueError):
             return None
 
-    return s.map(one)
+    def part(at: int):
+        found = [one(x) for x in texts.slice(at, SLICE).to_pylist()]
+        offsets, n = [], 0
+        for x in found:
+            offsets.append(None if x is None else n)
+            n += len(x or ())
+        paths, kinds = [k for x in found for k in x or ()], [v for x in found for v in (x or {}).values()]
+        return pa.MapArray.from_arrays(pa.array([*offsets, n], pa.int32()), pa.array(paths, pa.string()), pa.array(kinds, pa.string()))
+
+    return pa.concat_arrays([part(at) for at in range(0, max(1, len(texts)), SLICE)])
+
+
+@F.arrow_udf(T.MapType(T.StringType(), T.StringType()))
+def shape(texts: pa.Array) -> pa.Array:
+    """Shape of JSON texts; a text that doesn't parse has none."""
+    return shapes_of(texts)
 
 
 def has_fields(shapes: Column, fields: list[str]) -> Column:

@@ -159,3 +159,23 @@ def test_islands_take_one_sort_and_no_hash_table(spark):
     df = spark.range(0, 1000, 1, 4).select((F.col("id") % 7).alias("k"), "id")
     plan = windows.islands(df, ["k"], "id")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Sort [") == 1 and plan.count("Exchange hashpartitioning") == 1 and "HashAggregate" not in plan
+
+
+def test_shapes_are_worked_out_a_slice_at_a_time(spark, monkeypatch):
+    import json
+    import subprocess
+    import sys
+
+    import pyarrow as pa
+
+    texts = ['{"a": [1, {"b": null}]}', None, "no json", "[]", '"x"', "{}", "1e400", None] * 200 + ['{"a": {"b": true}}']
+    seen, plain = [], shape.json.loads
+    monkeypatch.setattr(shape.json, "loads", lambda x: seen.append(x) or plain(x))
+    got = shape.shapes_of(pa.array(texts)).to_pylist()
+    bad = (None, "no json")
+    assert got == [None if x in bad else list(shape.shape_of(plain(x)).items()) for x in texts] and len(seen) == len(texts)
+    assert shape.shapes_of(pa.array([], pa.string())).to_pylist() == []
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts[:8])], "id long, js string")
+    assert [r.s for r in df.select("id", shape.shape("js").alias("s")).orderBy("id").collect()] == [None if x in bad else shape.shape_of(json.loads(x)) for x in texts[:8]]
+    # a worker that only takes shapes needs no pandas
+    assert subprocess.run([sys.executable, "-c", "import sys, millrace.operators.shape; sys.exit('pandas' in sys.modules)"]).returncode == 0
