@@ -70,7 +70,7 @@ def lease_timers(t, spark):
     for low, high in zip([None, *cut], [*cut, None], strict=True):
         part = events.where((F.lit(low).isNull() | (F.col("us") > F.lit(low))) & (F.lit(high).isNull() | (F.col("us") <= F.lit(high))))
         part.select(F.to_json(F.struct("*")).alias("item")).write.format("paged").option("size", 1000).mode("append").save(source)
-        settle(state.lease_events(_requests(t, spark, source), ttl_s=_LEASE_H * 3600).where("outcome = 'expired'").writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint))
+        settle(state.lease_events(_requests(t, spark, source), ttl_s=_LEASE_H * 3600, outcomes=["expired"]).writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint))
     ended = spark.read.parquet(sink).select("root", "key", "acquired", "beat", "beats", F.lit(False).alias("live"))
     held = spark.read.format("statestore").option("stateVarName", "leases").load(checkpoint)
     live = held.select("key.root", F.col("user_map_key.key").alias("key"), "user_map_value.acquired", "user_map_value.beat", "user_map_value.beats", F.lit(True).alias("live"))

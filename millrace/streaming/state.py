@@ -17,6 +17,8 @@ from .buffers import LEASE_TTL_S
 #: Between the parts of a lease's key: profile, session, site.
 SEP = "␟"
 LEASE_OUT = "root string, key string, run string, outcome string, holder string, acquired long, beat long, beats long, at long"
+#: A row of LEASE_OUT, by place.
+_OUT = Row("root", "key", "run", "outcome", "holder", "acquired", "beat", "beats", "at")
 CHANGE_OUT = "id string, version long, node string, change string, content string, before string"
 
 
@@ -37,10 +39,12 @@ class Leases(StatefulProcessor):
     acquire: refused while another run holds a conflicting lease that is live; the same run's lease is renewed.  heartbeat: renews
     what the same run holds under the key, else `ignored`.  release: all leases of the run in this root.  A lease is
     live while no more than the TTL has passed since its last beat.
+
+    A batch reads a root's leases in one request to the state store, writes those that changed, and sets at most one timer.
     """
 
-    def __init__(self, ttl_ms: int):
-        self.ttl_ms = ttl_ms
+    def __init__(self, ttl_ms: int, outcomes: list[str] | None = None):
+        self.ttl_ms, self.outcomes = ttl_ms, outcomes and frozenset(outcomes)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -49,24 +53,33 @@ class Leases(StatefulProcessor):
     def _held(self) -> dict[str, tuple]:
         return {k[0]: tuple(v) for k, v in self.leases.iterator()}
 
-    def _row(self, root: str, key: str, lease: tuple, outcome: str, at: int, holder: str | None = None, run: str | None = None) -> Row:
-        mine = run is None
-        return Row(root=root, key=key, run=lease[0] if mine else run, outcome=outcome, holder=holder, acquired=lease[1] if mine else None, beat=lease[2] if mine else None, beats=lease[3] if mine else None, at=at)
+    def _row(self, root: str, key: str, lease: tuple, outcome: str, at: int, holder: str | None = None, run: str | None = None) -> Iterator[Row]:
+        if self.outcomes and outcome not in self.outcomes:
+            return
+        if run is None:
+            yield _OUT(root, key, lease[0], outcome, holder, *lease[1:], at)
+        else:
+            yield _OUT(root, key, run, outcome, holder, None, None, None, at)
 
     def _expire(self, root: str, held: dict[str, tuple], now: int) -> Iterator[Row]:
         over = sorted((v[2], k) for k, v in held.items() if now - v[2] > self.ttl_ms)
         for beat, key in over:
-            yield self._row(root, key, held.pop(key), "expired", beat + self.ttl_ms)
+            yield from self._row(root, key, held.pop(key), "expired", beat + self.ttl_ms)
 
     def _store(self, before: dict[str, tuple], held: dict[str, tuple]) -> None:
-        """What a batch leaves.  A lease has one timer at a time: one that finds it renewed is set again."""
+        """What a batch leaves.  A root with leases has a timer at or before the end of the first of them; one that comes
+        too early, as that lease was renewed, is set again."""
+        if not held and before:
+            self.leases.clear()
+            return
         for key in before.keys() - held.keys():
             self.leases.removeKey((key,))
         for key, lease in held.items():
             if before.get(key) != lease:
                 self.leases.updateValue((key,), lease)
-                if key not in before or before[key][1] != lease[1]:
-                    self.handle.registerTimer(lease[2] + self.ttl_ms + 1)
+        first = min((lease[2] for lease in held.values()), default=None)
+        if held and (not before or first < min(lease[2] for lease in before.values())):
+            self.handle.registerTimer(first + self.ttl_ms + 1)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         root, held = key[0], self._held()
@@ -76,16 +89,16 @@ class Leases(StatefulProcessor):
             mine = held.get(r.key)
             if r.action == "release":
                 for k in sorted(k for k, v in held.items() if v[0] == r.run):
-                    yield self._row(root, k, held.pop(k), "released", r.at)
+                    yield from self._row(root, k, held.pop(k), "released", r.at)
                 continue
             if r.action == "heartbeat" and (mine is None or mine[0] != r.run):
-                yield self._row(root, r.key, (), "ignored", r.at, mine[0] if mine else None, r.run)
+                yield from self._row(root, r.key, (), "ignored", r.at, mine[0] if mine else None, r.run)
                 continue
             if r.action == "acquire" and (other := next((v[0] for k, v in sorted(held.items()) if v[0] != r.run and conflicts(r.key, k)), None)) is not None:
-                yield self._row(root, r.key, (), "refused", r.at, other, r.run)
+                yield from self._row(root, r.key, (), "refused", r.at, other, r.run)
                 continue
             held[r.key] = (r.run, mine[1], r.at, mine[3] + 1) if mine else (r.run, r.at, r.at, 1)
-            yield self._row(root, r.key, held[r.key], "renewed" if mine else "acquired", r.at)
+            yield from self._row(root, r.key, held[r.key], "renewed" if mine else "acquired", r.at)
         self._store(before, held)
 
     def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -98,16 +111,17 @@ class Leases(StatefulProcessor):
 
     def handleInitialState(self, key: Any, initialState: Row, timerValues) -> None:
         r = initialState
-        self._store({}, {r.key: (r.run, r.acquired, r.beat, 1)})
+        held = self._held()
+        self._store(held, held | {r.key: (r.run, r.acquired, r.beat, 1)})
 
 
-def lease_events(requests: DataFrame, lateness: str = "0 seconds", ttl_s: float = LEASE_TTL_S, initial: DataFrame | None = None) -> DataFrame:
+def lease_events(requests: DataFrame, lateness: str = "0 seconds", ttl_s: float = LEASE_TTL_S, initial: DataFrame | None = None, outcomes: list[str] | None = None) -> DataFrame:
     """What becomes of each request (root, key, run, action, ts, at in ms, seq), and of leases that run out: LEASE_OUT.
 
-    Requests of one batch are taken in order of time.  initial: leases (root, key, run, acquired, beat) held at the start.
+    Requests of one batch are taken in order of time.  outcomes: only rows of these are given (None: all).  initial: leases (root, key, run, acquired, beat) held at the start.
     """
     start = {"initialState": initial.groupBy("root")} if initial is not None else {}
-    return requests.withWatermark("ts", lateness).groupBy("root").transformWithState(Leases(int(ttl_s * 1000)), LEASE_OUT, "Append", "EventTime", **start)
+    return requests.withWatermark("ts", lateness).groupBy("root").transformWithState(Leases(int(ttl_s * 1000), outcomes), LEASE_OUT, "Append", "EventTime", **start)
 
 
 class Changes(StatefulProcessor):

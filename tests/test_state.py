@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from millrace.sources import paged
@@ -106,3 +107,31 @@ def test_changes_against_full_comparison(spark, tmp_path):
     frames = [spark.createDataFrame([r for r in rows if low <= r[1] < high], kinds) for low, high in ((0, 3), (3, 4), (4, 8))]
     got = run_stream(spark, tmp_path, frames, lambda items: state.change_stream(items.select(F.from_json("item", kinds).alias("s")).select("s.*")))
     assert sorted(map(tuple, got.select("id", "version", "node", "change", "content", "before").collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_a_root_has_one_timer_and_gives_chosen_outcomes():
+    class Store:
+        """State and timers of one root."""
+
+        def __init__(self):
+            self.leases, self.timers = {}, []
+            self.iterator = lambda: iter(list(self.leases.items()))
+            self.updateValue, self.removeKey, self.clear = self.leases.__setitem__, self.leases.pop, self.leases.clear
+            self.getMapState, self.registerTimer = lambda *_: self, self.timers.append
+
+    class Time:
+        def __init__(self, at):
+            self.getExpiryTimeInMs = self.getCurrentWatermarkInMs = lambda: at
+
+    request = Row("at", "seq", "key", "run", "action")
+    store, leases = Store(), state.Leases(100, ["expired"])
+    leases.init(store)
+    feed = lambda *rows: list(leases.handleInputRows(("p",), iter([request(at, i, f"p{state.SEP}{k:02d}", "r", "acquire") for i, (at, k) in enumerate(rows)]), None))
+    assert feed(*[(1000 + i, i) for i in range(50)]) == [] and store.timers == [1101]
+    assert feed(*[(1060 + i, i) for i in range(40)]) == [] and store.timers == [1101]
+    # the timer comes before the first lease ends, then at its end, then for the others
+    fire = lambda at: [(r.key[-2:], r.at) for r in leases.handleExpiredTimer(("p",), Time(at), Time(at))]
+    assert fire(1101) == [] and store.timers[1:] == [1141]
+    assert fire(1145) == [(str(40 + i), 1140 + i) for i in range(5)] and store.timers[2:] == [1146]
+    assert len(fire(5000)) == 45 and store.leases == {} and len(store.timers) == 3
+    assert feed((6000, 1)) == [] and store.timers[3:] == [6101]
