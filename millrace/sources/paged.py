@@ -29,6 +29,8 @@ from . import store, web
 
 SCHEMA = "page long, place int, item string"
 PAGES_PER_TASK, PAGE_SIZE = 16, 100
+#: Spark's own bound on an Arrow batch, and the one set here: a task that writes has a whole batch as Python values.
+BATCH, SMALL_BATCH = "67108864b", "8m"
 
 
 class PagedError(OSError):
@@ -37,6 +39,8 @@ class PagedError(OSError):
 
 def register(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == BATCH:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", SMALL_BATCH)
     spark.dataSource.register(Paged)
     return spark
 

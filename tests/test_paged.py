@@ -166,3 +166,17 @@ def test_stream_stops_between_batches_and_resumes(spark, sf, tmp_path):
     run()
     assert items(spark.read.format("paged").load(sink)) == sorted(r.item for r in pages.collect())
     assert store.names(f"{sink}/_manifest") and not [n for n in store.names(f"{sink}/data") if n.endswith("tmp")]
+
+
+def test_batches_are_small_unless_the_session_says_otherwise(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        assert spark.conf.get(key) == paged.BATCH
+        paged.register(spark)
+        assert spark.conf.get(key) == paged.SMALL_BATCH
+        spark.conf.set(key, "16m")
+        assert paged.register(spark).conf.get(key) == "16m"
+    finally:
+        spark.conf.set(key, own)
