@@ -156,17 +156,15 @@ def write_tokens(docs: DataFrame, folder: str | None = None, id_col: str = "doc_
         def chunks():
             nonlocal enc, counts, n_docs, n_ids
             for b in batches:
-                for s in small_batches(pa.Table.from_batches([b]), 4000, "text", 4 << 20):
+                for s in small_batches(pa.Table.from_batches([b]), 4000, "text", 4 << 20 if memo_bytes is None else max(1 << 20, memo_bytes // 12)):
                     if enc is None:
                         enc = encoder(tokenizer_path) if memo_bytes is None else encoder(tokenizer_path, memo_bytes)
                         counts = np.zeros(max(enc.size, end_id + 1), dtype=np.int64)
-                    end = end_id.to_bytes(enc.width, "little")
-                    coded = [x + end for x in enc.ids(s.column("text").to_pylist())]
-                    sizes = np.array([len(x) // enc.width for x in coded], dtype="<i8")
-                    flat = b"".join(coded)
-                    counts += np.bincount(np.frombuffer(flat, enc.dtype), minlength=len(counts))
+                    flat, sizes = enc.flat(s.column("text").to_pylist(), end_id)
+                    sizes = sizes.astype("<i8")
+                    counts += np.bincount(flat, minlength=len(counts))
                     n_docs, n_ids = n_docs + len(sizes), n_ids + int(sizes.sum())
-                    data = packer.compress(flat)
+                    data = packer.compress(flat.tobytes())
                     yield struct.pack("<III", len(sizes), len(data), enc.width) + s.column("key").to_numpy().astype("<i8").tobytes() + sizes.tobytes() + data
 
         first = next(made := chunks(), None)

@@ -11,12 +11,18 @@ from __future__ import annotations
 import os
 import re
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 from .common import kept
 
 #: Bytes of pieces that a worker keeps in each of two generations; of other pre-tokens, half as many.
-MEMO_BYTES = 48 << 20
+MEMO_BYTES = 80 << 20
 #: Bytes of an entry besides its key and ids: two objects and their place in a table.
 ENTRY = 190
+#: Pre-tokens given to the library at once.
+TOGETHER = 256
 #: Pieces over this many characters aren't kept.
 LONG = 40
 #: White space other than space and line feed, and the pairs with those two that may not be cut between.
@@ -84,7 +90,7 @@ class Memo:
 
 
 class Encoder:
-    """ids(texts): little-endian ids of each text, as bytes of `width`-byte unsigned integers."""
+    """flat(texts): ids of a slice of texts; ids(texts): those of each text, as little-endian bytes of `width`-byte unsigned integers."""
 
     def __init__(self, path: str, memo_bytes: int = MEMO_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -113,6 +119,10 @@ class Encoder:
         self.cuts = kind(self.tokenizer) == kind(Tokenizer.from_file(installed("byte_bpe_50k.json")))
 
         self.split = regex.compile(PATTERN).findall
+        # a byte that UTF-8 never has, if no merge has its letter
+        model, spare = json.loads(self.tokenizer.to_str())["model"], self.letters[0xC0]
+        lone = self.cuts and not any(spare in (x if isinstance(x, str) else "".join(x)) for x in model["merges"])
+        self.apart, self.apart_id = "\udcc0" if lone and spare in model["vocab"] else None, model["vocab"].get(spare)
         self.memo = Memo(memo_bytes)  # of " " + key
         self.tokens = Memo(memo_bytes // 2)  # of pre-tokens
 
@@ -158,38 +168,125 @@ class Encoder:
             return self.whole(" " + part)
         return b"".join(map(self._pre_token, self.split(" " + part)))
 
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        memo, out = self.memo, []
-        for t in texts:
-            if not t or not self.cuts:
-                out.append(self.whole(t) if t else b"")
-                continue
-            if joined(t):
-                first, *rest = pieces(t)
-                parts = [p[1:] for p in rest]
-                if any(p[-1:].isspace() for p in rest) or " " in "".join(parts):
-                    out.append(b"".join([self.whole(first), *(self.whole(p) if p[-1].isspace() or " " in p[1:] else self.piece(p[1:]) for p in rest)]))
-                    continue
+    def _cut(self, text: str) -> bytes:
+        """ids of a text with spaces out of the ordinary."""
+        first, *rest = pieces(text)
+        if any(p[-1:].isspace() or " " in p[1:] for p in rest):
+            return b"".join([self.whole(first), *(self.whole(p) if p[-1].isspace() or " " in p[1:] else self.piece(p[1:]) for p in rest)])
+        return b"".join([self.first(first), *(self.piece(p[1:]) for p in rest)])
+
+    def _all(self, tokens: list[str]) -> list[bytes]:
+        """_bpe() of many pre-tokens, some at a time, with a letter between them that no merge has."""
+        if self.apart is None:
+            return [self._bpe(t) for t in tokens]
+        out, w = [], self.width
+        for lo in range(0, len(tokens), TOGETHER):
+            word = self.apart.join(tokens[lo : lo + TOGETHER]).encode("utf-8", "surrogateescape").decode("latin-1").translate(self.letters)
+            ids = np.array([t.id for t in self.model.tokenize(word)], self.dtype)
+            data, at = ids.tobytes(), (w * np.flatnonzero(ids == self.apart_id)).tolist()
+            out += [data[a:b] for a, b in zip([0, *(x + w for x in at)], [*at, len(data)], strict=True)]
+        return out
+
+    def _mixed(self, parts: list[str]) -> list[bytes]:
+        """piece() of parts without odd letters or white space but line feeds inside, taken apart by one search."""
+        found = self.split("\n".join([" " + p for p in parts]))
+        seen, old = self.tokens.young, self.tokens.old
+        for t in [t for t in dict.fromkeys(found) if t not in seen and t in old]:
+            self.tokens.put(t, old[t])
+        fresh = [t for t in dict.fromkeys(found) if t not in seen]
+        made = dict(zip(fresh, self._all(fresh), strict=True))
+        for t, x in made.items():
+            self.tokens.put(t, x)
+        out, now = [], []
+        for t in found:
+            if now and t[0] == " ":  # only a part's first has a space, and the line feed before it is a pre-token
+                out.append(b"".join(now[:-1]))
+                now = []
+            now.append(seen.get(t) or made[t])
+        out.append(b"".join(now))
+        return out
+
+    def _new(self, words: list[str], got: list[bytes | None], used: np.ndarray) -> None:
+        """Fills in the pieces of a slice's distinct words that the young generation hasn't."""
+        young, old, grown = self.memo.young, self.memo.old, 0
+        fresh: dict[str, int] = {}
+        ended, mixed, done = [], [], []
+        for at in [i for i, (x, u) in enumerate(zip(got, used.tolist(), strict=True)) if x is None and u]:
+            p = words[at]
+            if (x := old.get(p)) is not None:
+                got[at] = x
+                done.append(at)
+            elif p.isalpha():
+                fresh[p] = at
+            elif p[-1] in _PLAIN_END and (core := p[:-1]).isalpha():
+                ended.append(at)
+                if core not in young and core not in old:
+                    fresh.setdefault(core, -1)
+            elif "\n" not in (p[0], p[-1]) and p.replace("\n", "").isprintable() and not _ODD.search(p):
+                mixed.append(at)
             else:
-                first, *parts = t.split(" ")
-            memo.settle()
-            self.tokens.settle()
-            young, old, grown = memo.young, memo.old, 0
-            got = list(map(young.get, parts))
-            at, n = -1, got.count(None)
-            for _ in range(n):
-                at = got.index(None, at + 1)
-                p = parts[at]
-                if (x := young.get(p)) is None:  # else the text has had it before
-                    if (x := old.get(p)) is None:
-                        x = self.piece(p)
-                    if len(p) <= LONG:
-                        young[p] = x
-                        grown += ENTRY + len(p) + len(x)
+                got[at] = self.piece(p)
+                done.append(at)
+        made = dict(zip(fresh, self._all([" " + p for p in fresh]), strict=True))
+        for p, at in fresh.items():
+            if at >= 0:
+                got[at] = made[p]
+                done.append(at)
+            elif len(p) <= LONG:
+                young[p] = made[p]
+                grown += ENTRY + len(p) + len(made[p])
+        for at in ended:
+            core = words[at][:-1]
+            got[at] = (made.get(core) or young.get(core) or old[core]) + self._pre_token(words[at][-1])
+        if mixed:
+            for at, x in zip(mixed, self._mixed([words[at] for at in mixed]), strict=True):
                 got[at] = x
-            memo.size += grown
-            out.append(self.first(first) + b"".join(got))
-        return out
+        for at in done + ended + mixed:
+            p, x = words[at], got[at]
+            if len(p) <= LONG:
+                young[p] = x
+                grown += ENTRY + len(p) + len(x)
+        self.memo.size += grown
+
+    def flat(self, texts: list[str | None], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a slice of texts, end to end, and how many each text has; end: an id after each text.
+
+        Each distinct word of the slice is looked up once.
+        """
+        self.memo.settle()
+        self.tokens.settle()
+        plain = [self.cuts and bool(t) and not joined(t) for t in texts]
+        parts = pc.split_pattern(pa.array([t if p else "" for t, p in zip(texts, plain, strict=True)], pa.string()), " ")
+        begin = parts.offsets.to_numpy()[:-1]
+        coded = parts.values.dictionary_encode()
+        seq, n = coded.indices.to_numpy(), len(coded.dictionary)
+        words = pc.binary_join(pa.ListArray.from_arrays([0, n], coded.dictionary), " ")[0].as_py().split(" ") if n else []
+        rest = np.ones(len(seq), bool)
+        rest[begin] = False
+        used = np.zeros(len(words), bool)
+        used[seq[rest]] = True  # as more than a text's first part
+        got: list[bytes | None] = list(map(self.memo.young.get, words))
+        self._new(words, got, used)
+        heads = [self.first(words[k]) if p else (self._cut(t) if self.cuts else self.whole(t)) if t else b"" for t, p, k in zip(texts, plain, seq[begin].tolist(), strict=True)]
+        # runs of ids: of words, of the texts' heads, and the end
+        pool = [x or b"" for x in got] + heads + [b"" if end is None else end.to_bytes(self.width, "little")]
+        seq = seq.astype(np.int32)
+        seq[begin] = len(words) + np.arange(len(texts), dtype=np.int32)
+        stop = np.r_[begin[1:], len(seq)]
+        if end is not None:
+            seq = np.insert(seq, stop, len(pool) - 1)
+            begin = begin + np.arange(len(begin))
+        size = np.fromiter(map(len, pool), np.int64, len(pool)) // self.width
+        start = np.cumsum(size) - size
+        n = size[seq]
+        before = np.cumsum(n) - n
+        ids = np.frombuffer(b"".join(pool), self.dtype)[np.repeat(start[seq] - before, n) + np.arange(int(n.sum()))]
+        return ids, np.add.reduceat(n, begin) if len(begin) else n
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        flat, sizes = self.flat(texts)
+        data, ends = flat.tobytes(), (np.cumsum(sizes) * self.width).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 @kept

@@ -33,6 +33,26 @@ def test_pieces_encode_like_whole_texts():
         assert np.frombuffer(got, e.dtype).tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_a_slice_in_few_calls_of_the_library(monkeypatch):
+    e, rng, calls = encoder(), random.Random(5), []
+    e.tokenizer.encode("x")
+    letters = "abcdefghijklmnoprstuvé"
+    words = ["".join(rng.choices(letters, k=rng.randint(3, 9))) + rng.choice(["", "", ",", "(1)", ".\n\nX", "'s-"]) for _ in range(3000)]
+    texts = [" ".join(words[i : i + 30]) for i in range(0, 3000, 30)] + ["", None, "\n", "x\n", "é\n é", "\nab cd", "a\xad b\x7fc d"]
+
+    class Model:
+        def tokenize(self, word, of=e.tokenizer.model.tokenize):
+            calls.append(word)
+            return of(word)
+
+    monkeypatch.setattr(e, "model", Model())
+    ids, sizes = e.flat(texts, tokenfile.END_ID)
+    want = [[*e.tokenizer.encode(t or "", add_special_tokens=False).ids, tokenfile.END_ID] for t in texts]
+    assert sizes.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+    assert len(calls) < 600  # one a word before
+    assert e.flat([])[0].tolist() == []
+
+
 def check(out, docs):
     e, start = encoder(), 0
     order = sorted(docs, key=lambda d: (-(2**63) if d[0] is None else d[0], d[1] or ""))
