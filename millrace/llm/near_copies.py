@@ -1,13 +1,15 @@
 """Near copies by exact Jaccard similarity of word shingles, for the pipeline.
 
-* Candidates: with one order of all shingles, two sets at similarity s or more share one of the first
+* SimHash candidates: of each set's SimHash of 256 bits every 64-bit word is searched by operator 9's block buckets and
+  bit-sliced comparison; texts that have a word within NEAR bits of one another are linked.
+* Candidates beyond: with one order of all shingles, two sets at similarity s or more share one of the first
   n - ceil(s n) + 1 shingles of each (prefix filter), so no pair is missed.  The order is by levels of how
   common a shingle is, then by hash.  Levels are Bloom filters of bounded size, filled from a sample: as any
   fixed order will do, what a filter lets in wrongly changes the work only, never the result.
 * Fingerprints: a SimHash of each set's shingles drops pairs beyond RADIUS bits.  At similarity 0.8 they differ
   in about 39 of 256 bits, so more than 75 is 6 deviations away, and so is 75 from the 128 of unlike texts; sets
   under FEW shingles are never dropped.
-* Families: members of a small group are linked by their candidate pairs, those of a large one to the group's
+* Families: SimHash links join texts; members of a small group are linked by their candidate pairs, those of a large one to the group's
   smallest member; the components of these links are families, outside of which nobody has a near copy.
 * Verification: each text travels to its family once.  All pairs of a family are compared there, by counts of
   common shingles (a product of incidence matrices), and only a spanning forest of the true links comes out.
@@ -24,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import bloom
+from . import bloom, simhash
 from .common import partitions, save, schema_of, small_batches, tidy
 from .components import components
 from .parsing import mix
@@ -35,6 +37,8 @@ OVER, UNDER = 4, 5
 RADIUS, FEW = 75, 64
 #: 64-bit words of a fingerprint.
 WIDE = 4
+#: Bits that words of near fingerprints differ in at most, and fingerprints of a bucket that is searched whole.
+NEAR, NEAR_BUCKET = 3, 256
 #: Groups above BIG give no pairs; levels start at HOT / 8, HOT / 4, ... 8 HOT of one in SAMPLE texts.
 BIG, SAMPLE, HOT = 64, 16, 16
 LEVELS = (0.125, 0.5, 1, 2, 8)
@@ -42,6 +46,8 @@ LEVELS = (0.125, 0.5, 1, 2, 8)
 BLOCK, BLOCK_SHINGLES = 2048, 2_000_000
 #: Shingles counted in one matrix product.
 COLUMNS = 2048
+#: Bytes of texts whose shingles a worker has at a time.
+SLICE_BYTES = 2 << 20
 #: Rows that are broadcast rather than met through a Bloom filter: some hundred kilobytes.
 SMALL = 4_000
 
@@ -107,7 +113,7 @@ def _prints(texts: DataFrame, levels: list[str], whole: bool = False) -> DataFra
     def run(batches):
         common = [bloom.read(u) for u in levels]
         for b in batches:
-            for part in small_batches(pa.Table.from_batches([b]), 2000, "text"):
+            for part in small_batches(pa.Table.from_batches([b]), 2000, "text", SLICE_BYTES):
                 sets = [shingles(t) for t in part.column("text").to_pylist()]
                 keys = sets if whole else [prefix(s, common) for s in sets]
                 flat = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
@@ -218,6 +224,20 @@ def without(rows: DataFrame, gone: DataFrame, on: list[str]) -> DataFrame:
     return clear.unionByName(suspects.join(gone, same(suspects, gone), "left_anti"))
 
 
+def by_simhash(prints: DataFrame) -> DataFrame:
+    """Links (u, v) of texts whose fingerprints have a word within NEAR bits of one another; prints: node and the words.
+
+    Words of equal value hang on the smallest node that has it; of others, operator 9's search gives a spanning forest.
+    """
+    each = prints.select("node", F.explode(F.array_distinct(F.array(*_FP))).alias("fp"))
+    words = save(each.groupBy("fp").agg(F.min("node").alias("low"), F.count("*").alias("k")), "words")
+    same = each.join(words.where("k > 1"), "fp").where("node <> low").select(F.col("low").alias("u"), F.col("node").alias("v"))
+    near = save(simhash.links(words.select("fp"), NEAR, NEAR_BUCKET), "alike")
+    for end in "uv":
+        near = near.join(words.select(F.col("fp").alias(end), F.col("low").alias(f"{end}_low")), end)
+    return same.union(near.selectExpr("u_low as u", "v_low as v"))
+
+
 def _families(texts: DataFrame) -> DataFrame:
     """(node, family, n): texts that may have near copies, all of them in the same family."""
     sample = texts.where(F.pmod(F.col("node"), F.lit(SAMPLE)) == 0)
@@ -229,6 +249,7 @@ def _families(texts: DataFrame) -> DataFrame:
         if (n := level.count()) or not levels:
             levels.append(bloom.build(level, n))
     prints = save(_prints(texts, levels), "prints")
+    alike = save(by_simhash(prints), "alike-texts")
     keyed = prints.select(F.explode("keys").alias("key"), "node", "n", *_FP)
     sizes = save(keyed.groupBy("key").agg(F.count("*").alias("k"), F.min("node").alias("low")).where("k > 1"), "sizes")
     # most keys stand alone: a filter of the others spares them the shuffle
@@ -237,7 +258,7 @@ def _families(texts: DataFrame) -> DataFrame:
     few = members.where(F.col("k") <= BIG)
     pairs = few.alias("a").join(few.alias("b"), F.expr("a.key = b.key and a.node < b.node") & _like("a.", "b.")).selectExpr("a.node as u", "b.node as v")
     stars = members.where((F.col("k") > BIG) & (F.col("node") != F.col("low"))).select(F.col("low").alias("u"), F.col("node").alias("v"))
-    found = components(pairs.union(stars)).distinct()
+    found = components(alike.union(pairs).union(stars)).distinct()
     return save(found.select("node", F.col("root").alias("family")).join(prints.select("node", "n"), "node"), "families")
 
 

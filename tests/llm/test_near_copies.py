@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from millrace.llm import near_copies as nc
+from millrace.llm.common import save
+from millrace.llm.components import components
 
 
 def sets(text):
@@ -72,6 +74,21 @@ def test_stage_on_documents(spark, sf):
     assert sorted((False, r.doc_id) for r in cp.drop_near_duplicates(spark, docs, sf).collect()) == survivors(rows)
 
 
+def test_simhash_gives_candidates_of_its_own(spark, monkeypatch):
+    """With no shingle in common prefixes, what is linked is linked by SimHash alone, and a near fingerprint isn't enough."""
+    texts = [t for _, t in planted(12, 1, 8)]
+    rows = [(10 * i + k, f"{t} {k}" if k else t) for i, t in enumerate(t + " " + " ".join(f"z{j}" for j in range(100)) for t in texts) for k in range(3)]
+    monkeypatch.setattr(nc, "prefix", lambda s, common: s[:0])
+    left = stage(spark, rows)
+    assert set(survivors(rows)) <= set(left) and len(left) <= 18 and len(survivors(rows)) == 12
+    prints = save(nc._prints(spark.createDataFrame([(i, t.encode()) for i, t in rows], "node long, text binary"), []), "prints")
+    assert not any(r["keys"] for r in prints.collect())
+    words = {r.node: [r[c] % 2**64 for c in nc._FP] for r in prints.collect()}
+    near = {(a, b) for a in words for b in words if a < b and any((x ^ y).bit_count() <= nc.NEAR for x in words[a] for y in words[b])}
+    root = {r.node: r.root for r in components(nc.by_simhash(prints)).collect()}
+    assert near and all(root[a] == root[b] for a, b in near) and set(root) == {i for p in near for i in p}
+
+
 def test_repeated_and_null_ids(spark):
     a, b, c, d = (t for _, t in planted(4, 1, 3))
     rows = [(1, a), (1, a), (2, a), (2, b), (None, b), (None, c), (None, c), (None, d), (7, d), (8, None), (9, " ")]
