@@ -18,8 +18,8 @@ from millrace.session import ensure_importable
 #: None: language ID, near-dedup and token files can't be expressed in SQL; tests compare with brute force.
 ORACLE_SQL = None
 
-#: Bytes of encoded pieces that a worker keeps: executors here have been through four other stages.
-MEMO_BYTES = 12 << 20
+#: Bytes of encoded pieces that a worker keeps, and of texts that it walks together: executors here have been through other stages.
+MEMO_BYTES, WALK_BYTES = 12 << 20, 1 << 20
 
 
 @stage
@@ -33,6 +33,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group of texts linked by five-word Jaccard similarity of 0.8 or more.
 
+    Candidates are texts near one another by SimHash, and those that share a shingle of their prefixes; all are checked exactly.
+
     Rows are known by (doc_id, text), so a repeated or null id costs no other text of that id; the smallest
     id of a group stays, null last, and of rows equal in both any one.
     """
@@ -62,7 +64,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents over the coverage limit and cuts hit spans from the others."""
     ensure_importable(spark)
-    return decontaminate.remove_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.remove_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), slice_bytes=WALK_BYTES)
 
 
 @stage

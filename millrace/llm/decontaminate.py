@@ -318,7 +318,7 @@ def build_shards(benchmark: DataFrame, item_col: str = "item_id", text_col: str
     return [f"{folder}/{i:05d}.automaton" for i in sorted(r.shard for r in told)]
 
 
-def with_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def with_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, shard_bytes: int = SHARD_BYTES, slice_bytes: int = SLICE_BYTES // 4) -> DataFrame:
     """doc_id, n_words, items (sorted ids that occur), spans (merged word ranges as start, end, start, end, ...), cut (text without them)."""
     import pyarrow as pa
 
@@ -345,7 +345,7 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
         one = Walk(arrays.load(uris[0])) if len(uris) == 1 else None
         held, size = [], 0
         for b in batches:
-            for part in small_batches(pa.Table.from_batches([b]), 20_000, "text", SLICE_BYTES if len(uris) > 1 else SLICE_BYTES // 4):
+            for part in small_batches(pa.Table.from_batches([b]), 20_000, "text", SLICE_BYTES if len(uris) > 1 else slice_bytes):
                 held.append(part)
                 size += part.nbytes
                 if len(uris) == 1 or size >= SLICE_BYTES:
@@ -373,13 +373,13 @@ def _n_hit() -> Column:
     return F.expr("aggregate(transform(spans, (x, i) -> if(i % 2 = 1, x, -x)), 0L, (s, x) -> s + x)")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = SLICE_BYTES // 4) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, items, spans, cut, contaminated."""
-    hits = with_hits(docs, benchmark, id_col, text_col).withColumn("n_hit", _n_hit())
+    hits = with_hits(docs, benchmark, id_col, text_col, slice_bytes=slice_bytes).withColumn("n_hit", _n_hit())
     return hits.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * COVERAGE >= F.col("n_words")))
 
 
-def remove_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = SLICE_BYTES // 4) -> DataFrame:
     """Documents over the coverage limit go; from the others, spans of hit words are cut.  Keeps all columns.
 
     Rows travel through the automaton whole, so no join back is needed.
@@ -387,7 +387,7 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "d
     names = docs.columns
     # all but what the cut text gives anew
     packed = docs.select(F.struct(F.lit(True).alias("row"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names) if c not in (text_col, "n_chars")]).alias("row"), F.col(text_col).alias("text"))
-    scored = contamination(packed, benchmark, "row", "text").where(~F.col("contaminated"))
+    scored = contamination(packed, benchmark, "row", "text", slice_bytes).where(~F.col("contaminated"))
     out = [F.col("cut").alias(c) if c == text_col else F.char_length("cut").cast("long").alias(c) if c == "n_chars" else F.col(f"doc_id.c{i}").alias(c) for i, c in enumerate(names)]
     return scored.select(*out)
 

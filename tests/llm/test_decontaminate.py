@@ -51,6 +51,19 @@ def test_spans_are_cut(spark):
     assert row.text == f"{rest}. ! end" and row.n_chars == len(row.text)
 
 
+def test_pipeline_walks_small_slices(spark, monkeypatch):
+    import corpus_pipeline as cp
+
+    given, item = [], " ".join(f"q{i}" for i in range(13))
+    docs = spark.createDataFrame([(i, f"{'w ' * i}{item if i % 3 else ''} end") for i in range(300, 340)], "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([("i", item)], "item_id string, text string")
+    found = [sorted(map(str, dc.with_hits(docs, bench, slice_bytes=n).collect())) for n in (500, 1 << 20)]
+    assert found[0] == found[1]
+    monkeypatch.setattr(dc, "remove_contamination", lambda docs, bench, slice_bytes: given.append(slice_bytes) or docs)
+    cp.decontaminate_benchmark(spark, docs, "/root/testdata/sf0.001")
+    assert given == [1 << 20]
+
+
 @pytest.mark.parametrize("shard_bytes", [dc.SHARD_BYTES, 40])
 def test_items_without_id(spark, shard_bytes):
     words = [f"item{i}" for i in range(40)]
