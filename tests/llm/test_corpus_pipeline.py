@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from millrace.llm import decontaminate as dc
-from millrace.llm.common import save
+from millrace.llm.common import modest_batches, save
 from millrace.llm.tokens import encoder
 
 
@@ -98,3 +98,29 @@ def test_clashing_names(spark, odd_docs, sf):
         for i, c in enumerate(names):
             assert now.where(F.col(f"`{c}`") != f"own {i}").isEmpty() and now.where(F.col(f"`{c}`").isNull()).isEmpty(), (name, c)
     assert cp.STAGES[-1][1](spark, now, sf).count() == now.count() > 0
+
+
+def test_batches_of_stages_stay_within_arrows_pool(spark):
+    keys = [f"spark.sql.{k}" for k in ("execution.arrow.maxRecordsPerBatch", "execution.arrow.maxBytesPerBatch", "parquet.columnarReaderBatchSize")]
+    own = {k: spark.conf.get(k) for k in keys}
+
+    def sizes(batches):
+        for b in batches:
+            yield b.from_pydict({"rows": [b.num_rows], "size": [b.nbytes]}, schema=told)
+
+    import pyarrow as pa
+
+    told = pa.schema([("rows", pa.int64()), ("size", pa.int64())])
+    try:
+        for k in keys:
+            spark.conf.unset(k)
+        modest_batches(spark)
+        found = spark.range(0, 3000, 1, 1).selectExpr("repeat('x', 4000) as text").mapInArrow(sizes, "rows long, size long").collect()
+        assert sum(r.rows for r in found) == 3000 and max(r.size for r in found) <= 4 << 20
+        assert int(spark.conf.get(keys[2])) <= 512
+        spark.conf.set(keys[1], "16m")
+        modest_batches(spark)
+        assert spark.conf.get(keys[1]) == "16m"
+    finally:
+        for k in keys:
+            spark.conf.set(k, own[k])
