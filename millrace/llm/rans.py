@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from functools import cached_property
 
 import numpy as np
 
@@ -28,6 +29,11 @@ class Table:
         self.start = np.concatenate([[0], np.cumsum(self.freq)[:-1]]).astype(np.uint64)
         self.symbol = np.repeat(np.arange(len(freq), dtype=np.uint32), freq.astype(np.int64))
 
+    @cached_property
+    def step(self) -> np.ndarray:
+        """Of each slot: its symbol's frequency, and in the lowest BITS bits its place among the symbol's slots."""
+        return (self.freq[self.symbol] << np.uint64(BITS)) | (np.arange(len(self.symbol), dtype=np.uint64) - self.start[self.symbol])
+
     @classmethod
     def of_counts(cls, counts: np.ndarray) -> Table:
         total, used = int(counts.sum()), counts > 0
@@ -70,17 +76,17 @@ def encode(ids: np.ndarray, table: Table) -> bytes:
     if n and not f_all.all():
         raise ValueError("an id is not in the table")
     x = np.full(LANES, LOW, dtype=np.uint64)
-    shift, bits = np.uint64(63 - BITS), np.uint64(BITS)
+    over, gap = f_all << np.uint64(63 - BITS), np.uint64(1 << BITS) - f_all
     out: list[np.ndarray] = []
     for r in range(rows - 1, -1, -1):
         a, b = r * LANES, min(n, (r + 1) * LANES)
-        f, c, s = f_all[a:b], c_all[a:b], x[: b - a]
-        full = s >= (f << shift)
-        if full.any():
-            out.append((s[full] & np.uint64(0xFFFFFFFF)).astype("<u4"))
-            s = np.where(full, s >> _32, s)
-        q = s // f
-        x[: b - a] = (q << bits) + (s - q * f) + c
+        s = x[: b - a]
+        full = np.flatnonzero(s >= over[a:b])
+        if len(full):
+            high = s[full]
+            out.append(high.astype("<u4"))
+            s[full] = high >> _32
+        s += (s // f_all[a:b]) * gap[a:b] + c_all[a:b]  # (q << BITS) + s - q f + c
     words = np.concatenate(out[::-1]) if out else np.empty(0, dtype="<u4")
     head = struct.pack("<IIII", n, len(words), zlib.crc32(ids.astype("<u4").tobytes()), 0)
     body = x[: min(n, LANES)].astype("<u8").tobytes() + words.tobytes()
@@ -94,21 +100,21 @@ def decode(data: bytes, table: Table) -> np.ndarray:
         raise ValueError("damaged block")
     x = np.frombuffer(data, "<u8", lanes, 16).astype(np.uint64)
     words = np.frombuffer(data, "<u4", n_words, 16 + 8 * lanes).astype(np.uint64)
-    ids = np.empty(n, dtype=np.uint32)
+    slots = np.empty(n, dtype=np.int64)
     mask, bits, at = np.uint64((1 << BITS) - 1), np.uint64(BITS), 0
-    for r in range(-(-n // LANES)):
-        a, b = r * LANES, min(n, (r + 1) * LANES)
-        s = x[: b - a]
-        slot = s & mask
-        sym = table.symbol[slot]
-        ids[a:b] = sym
-        s = table.freq[sym] * (s >> bits) + slot - table.start[sym]
-        need = s < LOW
-        k = int(np.count_nonzero(need))
-        if k:
+    for a in range(0, n, LANES):
+        slot = slots[a : a + LANES]
+        s = x[: len(slot)]
+        np.bitwise_and(s, mask, out=slot.view(np.uint64))
+        step = table.step.take(slot)
+        s >>= bits
+        s *= step >> bits
+        s += step & mask
+        need = np.flatnonzero(s < LOW)
+        if k := len(need):
             s[need] = (s[need] << _32) | words[at : at + k]
             at += k
-        x[: b - a] = s
+    ids = table.symbol[slots]
     if zlib.crc32(ids.astype("<u4").tobytes()) != crc:
         raise ValueError("checksum of ids")
     return ids

@@ -28,6 +28,8 @@ from .common import NULL_ID, id_key, kept, local_path, open_input, partitions, p
 from .rans import BLOCK, Table, decode, encode
 
 END_ID = 2
+#: Bytes of texts encoded together: each distinct word of them is looked up once.
+SLICE_BYTES = 8 << 20
 _FOOT = struct.Struct("<QQQQQ4s")
 
 
@@ -156,7 +158,7 @@ def write_tokens(docs: DataFrame, folder: str | None = None, id_col: str = "doc_
         def chunks():
             nonlocal enc, counts, n_docs, n_ids
             for b in batches:
-                for s in small_batches(pa.Table.from_batches([b]), 4000, "text", 4 << 20 if memo_bytes is None else max(1 << 20, memo_bytes // 12)):
+                for s in small_batches(pa.Table.from_batches([b]), 4000, "text", SLICE_BYTES if memo_bytes is None else max(1 << 20, memo_bytes // 12)):
                     if enc is None:
                         enc = encoder(tokenizer_path) if memo_bytes is None else encoder(tokenizer_path, memo_bytes)
                         counts = np.zeros(max(enc.size, end_id + 1), dtype=np.int64)

@@ -101,3 +101,12 @@ def test_tokenizers_with_other_rules_encode_whole_texts():
         want = [e.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
         assert [np.frombuffer(x, e.dtype).tolist() for x in e.ids(texts)] == want
     assert True in seen
+
+
+def test_one_look_tells_a_slot_its_frequency_and_place():
+    table = rans.Table.of_counts(np.array([5, 0, 1, 90_000, 3]))
+    slot = np.arange(1 << rans.BITS)
+    assert (table.step >> np.uint64(rans.BITS) == table.freq[table.symbol]).all()
+    assert (table.step & np.uint64((1 << rans.BITS) - 1) == slot - table.start[table.symbol]).all()
+    alone = rans.Table.of_counts(np.array([0, 4]))  # its frequency takes a bit more
+    assert (alone.step >> np.uint64(rans.BITS) == 1 << rans.BITS).all()
