@@ -38,7 +38,7 @@ RADIUS, FEW = 75, 64
 #: 64-bit words of a fingerprint.
 WIDE = 4
 #: Bits that words of near fingerprints differ in at most, and fingerprints of a bucket that is searched whole.
-NEAR, NEAR_BUCKET = 3, 256
+NEAR, NEAR_BUCKET = 3, 2048
 #: Groups above BIG give no pairs; levels start at HOT / 8, HOT / 4, ... 8 HOT of one in SAMPLE texts.
 BIG, SAMPLE, HOT = 64, 16, 16
 LEVELS = (0.125, 0.5, 1, 2, 8)

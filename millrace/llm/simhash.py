@@ -5,7 +5,8 @@
   block and the masked value name a bucket.  Buckets over a bound are split again by blocks of their
   remaining bits (still exact), so no group lands in one task.
 * Comparison: bit planes stored vertically; one carry-save step a plane updates the distances of 64
-  pairs a word; a block of words is abandoned once all its pairs exceed the radius.
+  pairs a word; words whose pairs all exceed the radius are abandoned.  Larger buckets are compared by
+  tiles of 64 queries, several buckets at once.
 * Only a spanning forest of each bucket's links leaves a task; `components` joins the rest.
 
 Input cases: null or blank text has no words and gets fingerprint 0, linked like any other; repeated
@@ -24,6 +25,8 @@ from .components import components
 
 #: Buckets above this many fingerprints are split by further bits, as often as bits remain.
 BUCKET = 2048
+#: Words of 64 pairs that are compared together (64 planes: 2 MB), and rows that a task looks for buckets in together.
+TILE_WORDS, ROWS = 4096, 1 << 16
 _ALL = (1 << 64) - 1
 
 
@@ -98,43 +101,39 @@ def planes(fps: np.ndarray) -> np.ndarray:
     return packed.view(np.uint64)
 
 
-def within(x: np.ndarray, n: int, radius: int, block: int = 64) -> np.ndarray:
-    """Positions of the n pairs at distance <= radius, from the planes of their XOR.
+def within(x: np.ndarray, n: int, radius: int, block: int = 64, over: np.ndarray | None = None) -> np.ndarray:
+    """Positions of the n pairs at distance <= radius, from the planes of their XOR; over: lanes that don't count.
 
     counters holds the distances in vertical binary: plane by plane, a carry-save add ripples the
     new bit up; a carry out of the top, or a value above the radius, marks the pair as over.
-    Blocks of words whose pairs are all over are abandoned.
+    Words whose pairs are all over are abandoned once they are half of all, while there are more than a block.
     """
     words = x.shape[1]
     n = int(n)
     depth = max(1, radius.bit_length())
     counters = np.zeros((depth, words), dtype=np.uint64)
-    over = np.zeros(words, dtype=np.uint64)
+    over = np.zeros(words, dtype=np.uint64) if over is None else over.copy()
     if n % 64:
-        over[-1] = np.uint64(_ALL ^ ((1 << (n % 64)) - 1))
-    live = np.arange(words)
-    for p in range(64):
-        carry = x[p, live] if len(live) != words else x[p]
-        for d in range(depth):
-            c = counters[d, live]
-            counters[d, live] = c ^ carry
-            carry = c & carry
-        o = over[live] | carry
+        over[-1] |= np.uint64(_ALL ^ ((1 << (n % 64)) - 1))
+    at = np.arange(words)
+    while len(x):
+        for carry in x[:4]:
+            for c in counters:
+                up = c & carry
+                c ^= carry
+                carry = up
+            over |= carry
         if radius + 1 < (1 << depth):  # a value of the counter itself may exceed the radius
-            o = o | _above(counters[:, live], radius)
-        over[live] = o
-        if p >= 4 and p % 4 == 0:
-            full = o == np.uint64(_ALL)
-            if full.any():
-                if len(live) <= block:
-                    if full.all():
-                        return np.empty(0, dtype=np.int64)
-                else:
-                    live = live[~full]
-                    if not len(live):
-                        return np.empty(0, dtype=np.int64)
-    bits = np.unpackbits((~over).view(np.uint8), bitorder="little")[:n]
-    return np.flatnonzero(bits)
+            over |= _above(counters, radius)
+        x = x[4:]
+        alive = over != np.uint64(_ALL)
+        k = np.count_nonzero(alive)
+        if not k:
+            return np.empty(0, dtype=np.int64)
+        if len(at) > block and 2 * k <= len(at):
+            x, counters, over, at = x[:, alive], counters[:, alive], over[alive], at[alive]
+    word, lane = np.nonzero(np.unpackbits((~over).view(np.uint8), bitorder="little").reshape(-1, 64))
+    return 64 * at[word] + lane
 
 
 def _above(counters: np.ndarray, radius: int) -> np.ndarray:
@@ -168,7 +167,24 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[int]:
     return kept
 
 
-def bucket_links(group: np.ndarray, fps: np.ndarray, radius: int, small: int = 48) -> tuple[np.ndarray, np.ndarray]:
+def _tiles(f: np.ndarray):
+    """All pairs of a bucket by 64 queries at a time: (first, words, planes of XOR, lanes that aren't pairs).
+
+    A query meets the words from its own on, so a tile's word k is that of query first + k // words.
+    """
+    p, full, n = planes(f), np.uint64(_ALL), len(f)
+    for t in range(p.shape[1]):
+        q = f[64 * t : 64 * t + 64]
+        bits = np.where((q >> np.arange(64, dtype=np.uint64)[:, None]) & np.uint64(1), full, np.uint64(0))
+        words = p.shape[1] - t
+        over = np.zeros((len(q), words), np.uint64)
+        over[:, 0] = full >> np.arange(63, 63 - len(q), -1, dtype=np.uint64)  # itself and those before it
+        if n % 64:
+            over[:, -1] |= np.uint64(_ALL ^ ((1 << (n % 64)) - 1))
+        yield 64 * t, words, (p[:, None, t:] ^ bits[:, :, None]).reshape(64, -1), over.reshape(-1)
+
+
+def bucket_links(group: np.ndarray, fps: np.ndarray, radius: int, small: int = 16) -> tuple[np.ndarray, np.ndarray]:
     """Links of a spanning forest for rows sorted by group, each group being one bucket."""
     n = len(group)
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if n else np.empty(0, dtype=np.int64)
@@ -187,23 +203,38 @@ def bucket_links(group: np.ndarray, fps: np.ndarray, radius: int, small: int = 4
             hit = within(planes(fps[at] ^ fps[at + d]), len(at), radius)
             out_a.append(fps[at[hit]])
             out_b.append(fps[at[hit] + d])
-    # Large buckets: the planes are made once, each member is a query against the later ones.
-    full = np.uint64(_ALL)
+    # Large buckets: tiles of 64 queries against the words from theirs on, those of several buckets in one comparison.
+    label = np.arange(n)
+    held: list[tuple] = []
+
+    def compare() -> None:
+        x, over = (np.concatenate([h[k] for h in held], axis=-1) for k in (4, 5))
+        hit = within(x, 64 * x.shape[1], radius, over=over)
+        ends = np.cumsum([len(h[5]) for h in held])
+        tile = np.searchsorted(ends, hit >> 6, side="right")
+        start, size, first, words = np.array([h[:4] for h in held]).T
+        word = (hit >> 6) - np.r_[0, ends][tile]
+        a = start[tile] + first[tile] + word // words[tile]
+        b = start[tile] + first[tile] + 64 * (word % words[tile]) + (hit & 63)
+        new = label[a] != label[b]
+        for s, m, i, j in zip(start[tile[new]].tolist(), size[tile[new]].tolist(), a[new].tolist(), b[new].tolist(), strict=True):
+            if label[i] != label[j]:
+                own = label[s : s + m]
+                own[own == label[j]] = label[i]
+                out_a.append(fps[i : i + 1])
+                out_b.append(fps[j : j + 1])
+        held.clear()
+
+    waiting = 0
     for s, size in zip(starts[sizes > small], sizes[sizes > small], strict=True):
-        f = fps[s : s + size]
-        p = planes(f)
-        label = np.arange(size)
-        for i in range(size - 1):
-            lo = (i + 1) // 64
-            q = np.where((f[i] >> np.arange(64, dtype=np.uint64)) & np.uint64(1), full, np.uint64(0))[:, None]
-            hit = within(p[:, lo:] ^ q, size - 64 * lo, radius) + 64 * lo
-            hit = hit[hit > i]
-            roots, first = np.unique(label[hit], return_index=True)
-            new = roots != label[i]
-            if new.any():
-                out_a.append(np.full(int(new.sum()), f[i]))
-                out_b.append(f[hit[first[new]]])
-                label[np.isin(label, roots)] = label[i]
+        for first, words, x, over in _tiles(fps[s : s + size]):
+            held.append((s, size, first, words, x, over))
+            waiting += len(over)
+            if waiting >= TILE_WORDS:
+                compare()
+                waiting = 0
+    if held:
+        compare()
     if not out_a:
         none = np.empty(0, dtype=np.uint64)
         return none, none
@@ -258,28 +289,29 @@ def links(distinct: DataFrame, radius: int = 2, bucket: int = BUCKET) -> DataFra
         masks = sorted({x for m in used for x in finer[m]})
 
     def run(batches):
-        left: tuple | None = None
-
         def done(mask, val, fp):
             group = np.cumsum(np.r_[0, (mask[1:] != mask[:-1]) | (val[1:] != val[:-1])])
             a, b = bucket_links(group, fp, radius)
             return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["u", "v"])
 
+        left, rows, enough = [], 0, ROWS
         for b in batches:
             cols = [np.asarray(b.column(c).to_numpy(zero_copy_only=False)) for c in ("mask", "val", "fp")]
             cols[2] = cols[2].astype(np.int64).view(np.uint64)
-            if left is not None:
-                cols = [np.concatenate(x) for x in zip(left, cols, strict=True)]
-            n = len(cols[0])
-            if not n:
+            left.append(cols)
+            rows += len(cols[0])
+            if rows < enough:
                 continue
+            cols = [np.concatenate(x) for x in zip(*left, strict=True)]
             cut = np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]))
             cut = cut[-1] + 1 if len(cut) else 0  # the last bucket may go on in the next batch
             if cut:
                 yield done(*(x[:cut] for x in cols))
-            left = tuple(x[cut:] for x in cols)
-        if left is not None and len(left[0]):
-            yield done(*left)
+            left = [[x[cut:] for x in cols]]
+            rows -= cut
+            enough = rows + ROWS
+        if rows:
+            yield done(*(np.concatenate(x) for x in zip(*left, strict=True)))
 
     dealt = ready.select("mask", "val", "fp").repartition(partitions(spark), "mask", "val").sortWithinPartitions("mask", "val", "fp")
     return dealt.mapInArrow(tidy(run), schema_of(u="long", v="long"))

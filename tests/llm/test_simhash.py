@@ -85,3 +85,44 @@ def test_odd_documents(odd_docs, no_docs):
     got = sh.near_duplicates(odd_docs).collect()
     assert len(got) == 9 and {r.component_id for r in got if r.doc_id in (1, 2)} == {1} and {r.component_id for r in got if r.doc_id in (3, 4, 6)} == {3}
     assert sh.near_duplicates(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("size", [17, 63, 64, 65, 200, 700])
+def test_large_buckets_are_compared_together(monkeypatch, size):
+    """Same components as all pairs of each bucket, in a number of comparisons that doesn't grow by one a row."""
+    rng = np.random.default_rng(size)
+    fps = np.unique(np.concatenate([near_groups(3, size // 5, k) for k in range(8)] + [rng.integers(0, 2**63, 8 * size).astype(np.uint64)]))
+    fps = rng.permutation(fps)[: 6 * size]
+    group = np.arange(len(fps)) // size
+    calls = []
+    whole = sh.within
+    monkeypatch.setattr(sh, "within", lambda *a, **k: calls.append(1) or whole(*a, **k))
+    a, b = sh.bucket_links(group, fps, 3)
+    place = {int(f): i for i, f in enumerate(fps)}
+    assert all((int(x) ^ int(y)).bit_count() <= 3 and group[place[int(x)]] == group[place[int(y)]] for x, y in zip(a, b, strict=True))
+    root = {int(f): int(f) for f in fps}
+    for x, y in zip(a, b, strict=True):
+        old, new = root[int(x)], root[int(y)]
+        assert old != new  # a forest
+        root = {k: new if v == old else v for k, v in root.items()}
+    for g in range(6):
+        own = classes(fps[group == g], 3)
+        assert len(set(own.values())) == len({root[f] for f in own}) and all(root[f] == root[r] for f, r in own.items())
+    assert len(calls) < 20 + len(fps) * size // 64 // sh.TILE_WORDS * 2
+    assert len(a)
+
+
+def test_search_of_several_arrow_batches(spark, monkeypatch):
+    """Buckets that go on in later batches, and tasks that are given less than they wait for, lose no link."""
+    monkeypatch.setattr(sh, "ROWS", 50)
+    fps = near_groups(20, 60, 4)
+    df = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long").repartition(2)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "23")
+    try:
+        roots = {int(np.int64(r.node).view(np.uint64)): int(np.int64(r.root).view(np.uint64)) for r in components(sh.links(df, 3)).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    want = classes(fps, 3)
+    groups = lambda m: sorted(sorted(f for f in want if m.get(f, f) == r) for r in {m.get(f, f) for f in want})
+    assert groups(roots) == groups(want)
