@@ -171,3 +171,21 @@ def test_odd_table(spark):
     assert selectors.find(dom.dom(none, "page_id", "html"), "a b").count() == 0
     deep = spark.createDataFrame([("x", "<div>" * 3000 + "<a href=y>end</a>")], "page_id string, html string")
     assert selectors.find(dom.dom(deep, "page_id", "html"), "div div > a").select("text").first().text == "end" and F is not None
+
+
+def test_every_link_of_long_menus(spark, tmp_path):
+    """Pages with more matches than a listing shows: select_links has the rows of its SQL, find_links each link."""
+    import duckdb
+    import oracle
+
+    from millrace.plans.catalogue import ORACLE, QUERIES
+
+    menu = lambda n: "".join(f'<li><a href="/a{i}">the {i} &amp; more</a></li>' for i in range(n))
+    rows = [(i, f"http://h/{i}", f"<html><body><nav><ul>{menu(n)}</ul></nav><p>x</p></body></html>") for i, n in enumerate([0, 1, 99, 100, 101, 102, 700])]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    columns, got, named, want = oracle.both(spark, con, QUERIES["select_links"], ORACLE["select_links"], str(tmp_path))
+    assert columns == named and got == want and len(got) == 1 + 50 + 50 + 51 + 51 + 350
+    links = {(r.page, r.nth): r.matches for r in QUERIES["find_links"](spark, str(tmp_path)).collect()}
+    assert links == {(i, k): n for i, n in enumerate([0, 1, 99, 100, 101, 102, 700]) for k in range(n)}
